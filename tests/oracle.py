@@ -1,0 +1,105 @@
+"""Compare registered queries with their SQL twins in DuckDB."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder: str):
+    con = duckdb.connect()
+    con.execute("set timezone = 'UTC'")
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
+    return con
+
+
+def _cell(value):
+    if value is None:
+        return ("null",)
+    if isinstance(value, bool):
+        return ("bool", value)
+    if isinstance(value, int):
+        return ("num", value)
+    if isinstance(value, float):
+        return ("null",) if math.isnan(value) else ("float", repr(value))
+    if isinstance(value, dt.datetime):
+        return ("ts", value.isoformat())
+    if isinstance(value, dt.date):
+        return ("date", value.isoformat())
+    return (type(value).__name__, str(value))
+
+
+def table(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted(
+        tuple(_cell(r[i]) for i in order) for r in rows
+    )
+
+
+def spark_table(frame):
+    return table(frame.columns, [tuple(r) for r in frame.collect()])
+
+
+def sql_table(con, sql):
+    cursor = con.execute(sql)
+    return table([d[0] for d in cursor.description], cursor.fetchall())
+
+
+def difference(left, right):
+    if left[0] != right[0]:
+        return f"columns {left[0]} != {right[0]}"
+    if len(left[1]) != len(right[1]):
+        return f"rows {len(left[1])} != {len(right[1])}; {left[1][:2]} / {right[1][:2]}"
+    for a, b in zip(left[1], right[1]):
+        if a != b:
+            return f"{a}\n     != {b}"[:1500]
+    return None
+
+
+def main(folder: str, names: list[str]) -> None:
+    import __spark_entry__ as entry
+    from murmur.session import build_session
+
+    spark = build_session(
+        master="local[8]",
+        conf={
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "12g",
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(folder)
+    sql = entry.oracle_sql()
+    bad = []
+    for name, run in entry.queries().items():
+        if names and name not in names:
+            continue
+        begin = time.time()
+        try:
+            mine = spark_table(run(spark, folder))
+            spent = time.time() - begin
+            begin = time.time()
+            found = difference(mine, sql_table(con, sql[name])) if name in sql else "no sql"
+        except Exception as error:  # report and go on
+            mine, spent = ([], []), time.time() - begin
+            found = f"{type(error).__name__}: {str(error)[:900]}"
+        if found and found != "no sql":
+            bad.append(name)
+        mark = "ok" if found is None else found
+        print(f"{name:32s} {len(mine[1]):7d} rows {spent:6.2f}s sql {time.time()-begin:5.2f}s {mark}", flush=True)
+    print("failed:", bad)
+
+
+if __name__ == "__main__":
+    main(sys.argv[1], sys.argv[2:])
