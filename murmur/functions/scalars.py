@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from murmur.functions.fixed import DAY_NAME_FORMAT, NUMBER_PATTERN
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of `value`, with the value worked out once however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def json_field(data: Column, name: str) -> Column:
     """Member of a JSON object as text; null if absent or the text is not JSON."""
     return F.get_json_object(data, f"$.{name}")
@@ -15,8 +22,8 @@ def json_field(data: Column, name: str) -> Column:
 
 def numeric_coerce(text: Column) -> Column:
     """Text to double, null if it is not a plain decimal number."""
-    trimmed = F.trim(text.cast("string"))
-    return F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double"))
+    number = F.regexp_extract(F.trim(text.cast("string")), NUMBER_PATTERN, 0)
+    return number.try_cast("double")
 
 
 def json_field_or_default(

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from html.entities import name2codepoint
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.functions.fixed import AI_KEYWORDS, STOP_WORDS, WORD_PATTERN
+from murmur.functions.scalars import let, numeric_coerce
+
+# Largest dictionary lexicon that is broadcast.
+LEXICON_WORDS = 100_000
 
 SPACES = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
@@ -70,10 +75,12 @@ def decode_entities(text: Column) -> Column:
 
     Numeric references and the HTML 4 names are known; other names stay as text.
     """
-    pieces = F.split(text, "&")
-    tail = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_reference)
-    decoded = F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    def decoded(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_reference)
+        return F.concat(pieces[0], F.array_join(tail, ""))
+
+    return let(F.split(text, "&"), decoded)
 
 
 def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink") -> Column:
@@ -110,6 +117,17 @@ def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink")
     return F.coalesce(F.array_join(F.filter(lines, lambda line: line != ""), "\n"), F.lit(""))
 
 
+def lexicon_frame(spark: SparkSession, lexicon: dict[str, float]) -> DataFrame:
+    """Word polarities as a frame. Decimals keep sums exact in any order."""
+    rows = pd.DataFrame(
+        {"token": [w.lower() for w in lexicon], "polarity": [str(p) for p in lexicon.values()]}
+    )
+    frame = spark.createDataFrame(rows, "token string, polarity string").select(
+        "token", F.col("polarity").cast("decimal(6,4)").alias("polarity")
+    )
+    return F.broadcast(frame) if len(lexicon) <= LEXICON_WORDS else frame
+
+
 def words(text: Column) -> Column:
     """Lower-case words of a text, in order, with repeats."""
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD_PATTERN})"), F.lit(1))
@@ -136,52 +154,55 @@ def parse_moderation(response: Column) -> Column:
     An unreadable response, or a confidence that is there but not a number,
     gives (0.0, '', '0.00'). An absent confidence is 0.0 and keeps the class.
     """
-    record = F.try_parse_json(response)
-    is_object = F.startswith(F.ltrim(response), F.lit("{")) & record.isNotNull()
-    confidence = F.try_variant_get(record, "$.confidence", "variant")
-    as_text = F.trim(F.try_variant_get(record, "$.confidence", "string"))
-    number = (
-        F.when(confidence.isNull(), F.lit(0.0))
-        .when(F.lower(as_text) == "true", F.lit(1.0))
-        .when(F.lower(as_text) == "false", F.lit(0.0))
-        .otherwise(as_text.try_cast("double"))
-    )
-    label = F.try_variant_get(record, "$.class", "variant")
-    label_text = F.when(label.isNull(), F.lit("")).otherwise(
-        F.coalesce(F.try_variant_get(record, "$.class", "string"), F.lit("None"))
-    )
-    usable = F.coalesce(is_object & number.isNotNull(), F.lit(False))
-    score = F.when(usable, number).otherwise(F.lit(0.0))
-    return F.struct(
-        score.alias("score"),
-        F.when(usable, label_text).otherwise(F.lit("")).alias("class"),
-        F.format_string("%.2f", score).alias("score_text"),
-    )
 
+    def score_of(record: Column) -> Column:
+        text = F.lower(F.trim(record["confidence"]))
+        return (
+            F.when(~F.map_contains_key(record, "confidence"), F.lit(0.0))
+            .when(text == "true", F.lit(1.0))
+            .when(text == "false", F.lit(0.0))
+            .otherwise(numeric_coerce(text))
+        )
 
-def lexicon_frame(spark: SparkSession, lexicon: dict[str, float]) -> DataFrame:
-    """Word polarities as a frame. Decimals keep sums exact in any order."""
-    rows = [(word.lower(), str(polarity)) for word, polarity in lexicon.items()]
-    return spark.createDataFrame(rows, "token string, polarity string").select(
-        "token", F.col("polarity").cast("decimal(6,4)").alias("polarity")
-    )
+    def label_of(record: Column) -> Column:
+        return F.when(F.map_contains_key(record, "class"), F.coalesce(record["class"], F.lit("None")))
+
+    def result(record: Column) -> Column:
+        return let(
+            score_of(record),
+            lambda score: F.struct(
+                F.coalesce(score, F.lit(0.0)).alias("score"),
+                F.coalesce(F.when(score.isNotNull(), label_of(record)), F.lit("")).alias("class"),
+                F.format_string("%.2f", F.coalesce(score, F.lit(0.0))).alias("score_text"),
+            ),
+        )
+
+    return let(F.from_json(response, "map<string,string>"), result)
 
 
 def sentiment_polarity(
-    frame: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame
+    frame: DataFrame, keys: list[str], text_col: str, lexicon: dict[str, float] | DataFrame
 ) -> DataFrame:
     """Mean polarity of the words of each text that are in the lexicon.
 
     `keys` identify a text and are carried through; null or empty texts have no
     row, texts without a known word get 0.0. The words of a text sit in one
     task, so map-side aggregation leaves one small record per text to shuffle
-    and the text itself never moves. The lexicon has no hint: Spark broadcasts
-    it when its size allows and shuffles it otherwise.
+    and the text itself never moves.
+
+    A lexicon given as a dictionary travels with the plan: words outside it are
+    dropped inside the row and the few that are left meet it in a broadcast join.
+    Beyond LEXICON_WORDS words, or as a frame (`token`, `polarity`), it is joined
+    without a hint and Spark shuffles it when it is too large to broadcast.
     """
-    tokens = (
-        frame.where(F.col(text_col).isNotNull() & (F.col(text_col) != ""))
-        .select(*keys, F.explode_outer(words(F.col(text_col))).alias("token"))
-    )
+    found = words(F.col(text_col))
+    if isinstance(lexicon, dict):
+        if len(lexicon) <= LEXICON_WORDS:
+            known = [word.lower() for word in lexicon]
+            found = F.filter(found, lambda w: w.isin(known))
+        lexicon = lexicon_frame(frame.sparkSession, lexicon)
+    texts = frame.where(F.col(text_col).isNotNull() & (F.col(text_col) != ""))
+    tokens = texts.select(*keys, F.explode_outer(found).alias("token"))
     scored = tokens.join(lexicon, "token", "left")
     return (
         scored.groupBy(*keys)

@@ -269,7 +269,7 @@ def daily_sentiment(
     frame: DataFrame,
     keys: list[str],
     text_col: str,
-    lexicon: DataFrame,
+    lexicon: dict[str, float] | DataFrame,
     start: date,
     end: date,
 ) -> DataFrame:

@@ -134,9 +134,12 @@ def scale_min_max(users: DataFrame, metric: str, group: list[str] | None = None)
         return users.join(bounds, group).withColumn(
             "node_size", node_size(F.col(metric), F.col("_low"), F.col("_high"))
         ).drop("_low", "_high")
-    low = users.agg(F.min(metric)).scalar()
-    high = users.agg(F.max(metric)).scalar()
-    return users.withColumn("node_size", node_size(F.col(metric), low, high))
+    bounds = users.agg(
+        F.struct(F.min(metric).alias("low"), F.max(metric).alias("high"))
+    ).scalar()
+    return users.withColumn(
+        "node_size", node_size(F.col(metric), bounds["low"], bounds["high"])
+    )
 
 
 def network_nodes(interactions: DataFrame, n: int = 10) -> DataFrame:

@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from murmur.functions.text import lexicon_frame
 from murmur.operators import engagement as O
 from murmur.operators import network, series
 from murmur.operators.filters import filter_last_n_days
@@ -15,7 +14,6 @@ from murmur.plans.joins import BOTS, INTERACTIONS_SQL, USERS_SQL, interactions
 from murmur.plans.registry import query
 from murmur.plans.scalars import KEYWORDS, LEXICON, POLARITY_SQL, TERMS_SQL, TOKENS_SQL
 from murmur.schemas import POST_FIELDS
-from murmur.session import use_utc
 from murmur.sources import adapters
 from murmur.sources.adapters import DAY, epoch_of
 from murmur.sources.tables import expose_json_fields
@@ -341,7 +339,7 @@ def sentiment_by_day(spark, folder):
         adapters.doc_posts(spark, folder),
         ["post_id"],
         "cleaned_text",
-        lexicon_frame(use_utc(spark), LEXICON),
+        LEXICON,
         SENTIMENT_START,
         SENTIMENT_END,
     )

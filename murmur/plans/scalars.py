@@ -9,7 +9,6 @@ from murmur.functions import text as T
 from murmur.operators import network, retrieval
 from murmur.operators.joins import interaction_counts, posts_left_join_comments
 from murmur.plans.registry import query
-from murmur.session import use_utc
 from murmur.sources import adapters
 
 # Words that occur in the provided prose, with polarities.
@@ -140,7 +139,7 @@ select page_id, array_to_string(list_filter(list_transform(string_split(t, chr(1
 from g
 """)
 def clean_html_text(spark, folder):
-    pages = adapters.table(spark, folder, "pages")
+    pages = adapters.spread_table(spark, folder, "pages", "page_id")
     return pages.select(
         "page_id", T.clean_html_text(F.col("html"), "div", "ad").alias("cleaned")
     )
@@ -194,9 +193,8 @@ def moderation_flag(spark, folder):
 
 @query(f"with {POLARITY_SQL} select post_id, polarity from scored")
 def sentiment_polarity(spark, folder):
-    lexicon = T.lexicon_frame(use_utc(spark), LEXICON)
     return T.sentiment_polarity(
-        adapters.doc_posts(spark, folder), ["post_id"], "cleaned_text", lexicon
+        adapters.doc_posts(spark, folder), ["post_id"], "cleaned_text", LEXICON
     )
 
 

@@ -54,6 +54,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
+    """A table whose rows take long to parse, spread over the cores if its scan has fewer tasks.
+
+    A small table is one file with one row group and would be worked on by a
+    single core. Tables of many files keep their own partitions and are not
+    shuffled.
+    """
+    frame = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() < cores:
+        frame = frame.repartition(cores, *keys)
+    return frame
+
+
 def _epoch(ts: Column) -> Column:
     return F.unix_timestamp(ts.cast("timestamp"))
 
@@ -71,10 +85,18 @@ def _days_around(column: str, window: tuple[int, int] | None) -> Column:
 
 
 def posts(
-    spark: SparkSession, folder: str, text: bool = False, window: tuple[int, int] | None = None
+    spark: SparkSession,
+    folder: str,
+    text: bool = False,
+    window: tuple[int, int] | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Orders as posts. `text` joins the part table for title and text."""
-    orders = table(spark, folder, "orders").where(_days_around("o_orderdate", window))
+    orders = (
+        spread_table(spark, folder, "orders", "o_orderkey")
+        if spread
+        else table(spark, folder, "orders").where(_days_around("o_orderdate", window))
+    )
     key = F.col("o_orderkey")
     out = orders.select(
         key.cast("string").alias("post_id"),
@@ -113,7 +135,7 @@ def posts_json(spark: SparkSession, folder: str) -> DataFrame:
             F.concat(F.col("created").cast("string"), F.lit(".5")).alias("created"),
         )
     )
-    return posts(spark, folder).select("post_id", "subreddit", data.alias("data"))
+    return posts(spark, folder, spread=True).select("post_id", "subreddit", data.alias("data"))
 
 
 def comments(
@@ -158,7 +180,7 @@ def chan_posts(
 
 def doc_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as posts of January 2024."""
-    return table(spark, folder, "documents").select(
+    return spread_table(spark, folder, "documents", "doc_id").select(
         F.col("doc_id").cast("string").alias("post_id"),
         F.col("lang").alias("subreddit"),
         F.col("source").alias("board"),
@@ -196,7 +218,7 @@ def thread_payloads(spark: SparkSession, folder: str) -> DataFrame:
     body = F.array(
         post(number * 2, F.col("html")), post(number * 2 + 1, F.lit(None).cast("string"))
     )
-    return table(spark, folder, "pages").select(
+    return spread_table(spark, folder, "pages", "page_id").select(
         F.regexp_extract("url", "^https?://([^/]+)/", 1).alias("board"),
         number.alias("thread_number"),
         F.to_json(F.struct(body.alias("posts"))).alias("payload"),
@@ -261,7 +283,7 @@ def comment_trees(spark: SparkSession, folder: str) -> DataFrame:
         F.col("role").alias("body"),
         replies(F.transform(F.split("text", "\n"), line_node)).alias("replies"),
     )
-    return table(spark, folder, "conversations").select(
+    return spread_table(spark, folder, "conversations", "conv_id", "turn").select(
         conv.alias("post_id"), F.to_json(root).alias("payload")
     )
 
@@ -285,7 +307,7 @@ def moderation_responses(spark: SparkSession, folder: str) -> DataFrame:
         .when(number == 3, record(F.concat(F.lit('"'), confidence, F.lit('"'))))
         .otherwise(record(confidence))
     )
-    return table(spark, folder, "lineitem").select(
+    return spread_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber").select(
         F.col("l_orderkey").cast("string").alias("post_id"), number, response.alias("response")
     )
 
