@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -10,15 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.functions.fixed import (
-    AI_BOARD,
-    AI_BOARD_TEXTS,
-    AI_PHRASES,
-    AI_SUBREDDITS,
-    BOT_AUTHORS,
-    POLITICS_BOARD,
-    POLITICS_SUBREDDITS,
-)
+from murmur.functions.fixed import AI_PHRASES, BOT_AUTHORS
 
 
 def filter_epoch_between(frame: DataFrame, start: int, end: int, column: str = "created") -> DataFrame:
@@ -76,58 +67,6 @@ def filter_non_empty_text(frame: DataFrame, column: str) -> DataFrame:
     return frame.where(F.col(column).isNotNull() & (F.col(column) != ""))
 
 
-def communities(names: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    return lambda frame, posts: filter_in_list(frame, "subreddit", names)
-
-
-def comments_in(names: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    from murmur.operators.joins import comments_of_topic
-
-    return lambda frame, posts: comments_of_topic(
-        frame, filter_in_list(posts, "subreddit", names)
-    )
-
-
-def board(name: str, texts: list[str] | None = None) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    def apply(frame: DataFrame, posts: DataFrame) -> DataFrame:
-        out = frame.where(F.col("board") == name)
-        if texts:
-            out = out.where(
-                reduce(or_, [F.col("cleaned_text").ilike(f"%{t}%") for t in texts])
-            )
-        return out
-
-    return apply
-
-
-TOPICS = {
-    "Politics": {
-        "posts": communities(POLITICS_SUBREDDITS),
-        "comments": comments_in(POLITICS_SUBREDDITS),
-        "chan_posts": board(POLITICS_BOARD),
-    },
-    "AI": {
-        "posts": communities(AI_SUBREDDITS),
-        "comments": comments_in(AI_SUBREDDITS),
-        "chan_posts": board(AI_BOARD, AI_BOARD_TEXTS),
-    },
-}
-
-
-def topic_filter(
-    frame: DataFrame,
-    topic: str,
-    source: str,
-    posts: DataFrame | None = None,
-    topics: dict = TOPICS,
-) -> DataFrame:
-    """Rows of `source` (posts, comments, chan_posts) that belong to a topic.
-
-    Comments belong to a topic through their post, so they need `posts`.
-    """
-    return topics[topic][source](frame, posts)
-
-
 def stale_posts(
     posts: DataFrame,
     subreddit: str,

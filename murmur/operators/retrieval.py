@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from murmur.functions.scalars import preview, relevance
 from murmur.functions.text import tokenize_words
-from murmur.operators.filters import TOPICS, topic_filter
 from murmur.operators.ranking import latest_posts, most_common_terms
 from murmur.operators.skew import top_n_per_group
+from murmur.operators.topics import TOPICS, topic_filter
 
 # Questions that travel to every task in one piece; more are asked in several passes.
 QUERIES_PER_PASS = 2_000

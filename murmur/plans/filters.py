@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from murmur.operators import filters as O
+from murmur.operators import topics
 from murmur.operators.ranking import concat_frames
 from murmur.plans.registry import query
 from murmur.sources import adapters
@@ -22,9 +23,9 @@ PHRASES_SQL = " or ".join(
 
 TOPICS = {
     "hardware": {
-        "posts": O.communities(["1-URGENT", "2-HIGH"]),
-        "comments": O.comments_in(["1-URGENT", "2-HIGH"]),
-        "chan_posts": O.board("src1", ["THAT", " der "]),
+        "posts": topics.communities(["1-URGENT", "2-HIGH"]),
+        "comments": topics.comments_in(["1-URGENT", "2-HIGH"]),
+        "chan_posts": topics.board("src1", ["THAT", " der "]),
     }
 }
 
@@ -102,7 +103,7 @@ def topic_filter(spark, folder):
     }
     return concat_frames(
         [
-            O.topic_filter(frame, "hardware", source, posts, TOPICS).select(
+            topics.topic_filter(frame, "hardware", source, posts, TOPICS).select(
                 F.lit(source).alias("source"), F.col(key).alias("id")
             )
             for source, (frame, key) in frames.items()

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from murmur.functions.text import tokenize_words
-from murmur.operators import engagement, filters, retrieval
+from murmur.operators import engagement, retrieval
+from murmur.operators.topics import communities
 from murmur.plans.registry import query
 from murmur.plans.scalars import TOKENS_SQL
 from murmur.session import scratch_path
@@ -114,8 +115,8 @@ def embed_text(spark, folder):
 
 
 COLLECTION_TOPICS = {
-    "french": {"posts": filters.communities(["fr"])},
-    "english": {"posts": filters.communities(["en"])},
+    "french": {"posts": communities(["fr"])},
+    "english": {"posts": communities(["en"])},
 }
 
 

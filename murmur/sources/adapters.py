@@ -15,6 +15,31 @@ from pyspark.sql import functions as F
 from murmur.functions.scalars import json_field
 from murmur.session import use_utc
 
+# Given schemas spare a job that would read file footers before each query.
+TABLES = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
 DAY = 86400
 JAN_2024 = 1704067200
 
@@ -51,7 +76,7 @@ VIEWS = {
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
+    return use_utc(spark).read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def spread_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
