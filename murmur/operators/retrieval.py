@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -192,39 +193,42 @@ def cosine_top_k(
     over the whole collection.
     """
     asked = queries.select(F.col(query_id), F.col(query_vec))
-    total = asked.count()
-    passes = 1 if total <= per_pass else -(-2 * total // per_pass)
-    found = [
+    scans = [
         _scan_pass(collection, block, k, id_col, vec_col)
-        for block in _query_blocks(asked, query_id, passes)
+        for block in _query_blocks(asked, query_id, per_pass)
     ]
-    hits = found[0]
-    for more in found[1:]:
-        hits = hits.unionByName(more)
-    return top_n_per_group(
-        hits, ["query_id"], [F.col("distance").asc(), F.col("doc_id").asc()], k, rank="rank"
-    )
+    return _closest(scans, k)
 
 
-def _query_blocks(asked: DataFrame, query_id: str, passes: int) -> list[DataFrame]:
-    if passes == 1:
+def _query_blocks(asked: DataFrame, query_id: str, per_pass: int) -> list[DataFrame]:
+    """The questions in blocks small enough to travel, by a hash of their id."""
+    total = asked.count()
+    if total <= per_pass:
         return [asked]
+    passes = -(-2 * total // per_pass)
     block = F.pmod(F.xxhash64(query_id), F.lit(passes))
     return [asked.where(block == b) for b in range(passes)]
 
 
+def _closest(scans: list[DataFrame], k: int) -> DataFrame:
+    hits = reduce(DataFrame.unionByName, scans)
+    return top_n_per_group(
+        hits, ["query_id"], [F.col("distance").asc(), F.col("doc_id").asc()], k, rank="rank"
+    )
+
+
 def _scan_pass(
     collection: DataFrame, block: DataFrame, k: int, id_col: str, vec_col: str
 ) -> DataFrame:
     query_type = block.dtypes[0][1]
     local = block.toPandas()
+    if local.empty:
+        id_type = dict(collection.dtypes)[id_col]
+        return collection.sparkSession.createDataFrame(
+            [], f"query_id {query_type}, doc_id {id_type}, distance double"
+        )
     names = local.iloc[:, 0].to_numpy()
-    vectors = local.iloc[:, 1]
-    matrix = (
-        _unit_rows(np.stack(vectors.to_numpy()).astype(np.float64))
-        if len(local)
-        else np.zeros((0, 1))
-    )
+    matrix = _unit_rows(np.stack(local.iloc[:, 1].to_numpy()).astype(np.float64))
     return _scan(collection, names, matrix, k, id_col, vec_col, query_type)
 
 
@@ -290,22 +294,19 @@ def cosine_top_k_approx(
         queries.select(F.col(query_id), F.col(query_vec).alias(vec_col)), model, vec_col
     ).select(query_id, vec_col, "_buckets")
     hashed = _buckets(collection.select(id_col, vec_col), model, vec_col)
-    total = asked.count()
-    passes = 1 if total <= per_pass else -(-2 * total // per_pass)
-    hits = None
-    for block in _query_blocks(asked, query_id, passes):
+    scans = []
+    for block in _query_blocks(asked, query_id, per_pass):
         wanted = [
             row[0] for row in block.select(F.explode("_buckets")).distinct().collect()
         ]
         shared = F.filter(F.col("_buckets"), lambda b: b.isin(wanted))
         near = hashed.where(F.size(shared) >= min_matches)
-        found = _scan_pass(
-            near.select(id_col, vec_col), block.select(query_id, vec_col), k, id_col, vec_col
+        scans.append(
+            _scan_pass(
+                near.select(id_col, vec_col), block.select(query_id, vec_col), k, id_col, vec_col
+            )
         )
-        hits = found if hits is None else hits.unionByName(found)
-    return top_n_per_group(
-        hits, ["query_id"], [F.col("distance").asc(), F.col("doc_id").asc()], k, rank="rank"
-    )
+    return _closest(scans, k)
 
 
 # --- answers ------------------------------------------------------------------------
