@@ -83,7 +83,7 @@ def interaction_counts(
         F.count(F.lit(1)).alias("n"), F.sum("mod_score").alias("comment_score")
     )
     authors = _network_posts(posts, bots)
-    hot = hot_keys(human, ["post_id"], rows_per_task)
+    hot = hot_keys(human, ["post_id"], rows_per_task, ["id"])
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     said = said.join(F.broadcast(hot), "post_id", "left").withColumn(
         "_salt", F.pmod(F.xxhash64("comment_author"), parts.cast("bigint")).cast("int")

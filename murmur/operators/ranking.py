@@ -53,10 +53,10 @@ def latest_posts(
 
 
 def cap_rows_per_group(
-    frame: DataFrame, keys: list[str], order: list[Column], n: int, parts: int = 64
+    frame: DataFrame, keys: list[str], order: list[Column], n: int, parts: int | None = None
 ) -> DataFrame:
     """At most `n` rows per parent in arrival order."""
-    return top_n_per_group(frame, keys, order, n, parts)
+    return top_n_per_group(frame, keys, order, n, parts or (16 if n > 100 else 1))
 
 
 def active_users(interactions: DataFrame) -> DataFrame:

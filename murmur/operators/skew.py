@@ -8,15 +8,33 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 1_000_000
 
 
-def hot_keys(frame: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+# A key above the limit has about this many rows among those that are counted.
+ROWS_TO_NOTICE = 10_000
+
+
+def hot_keys(
+    frame: DataFrame,
+    keys: list[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    spread_by: list[str] | None = None,
+) -> DataFrame:
     """Keys with more than `rows_per_task` rows, and into how many parts to split each.
 
-    Reads only the key columns and pre-aggregates before the shuffle. At most
-    rows / rows_per_task keys can qualify, so the result is small by construction.
+    The answer only steers how rows are spread; a join is right whichever keys it
+    names. So with a large limit the rows are not all counted but every n-th by
+    hash, which keeps the count a small fraction of the join it prepares. The
+    hash is of the row itself: the answer is the same whenever it is worked out.
+    About rows / rows_per_task keys can qualify, so the result is small by
+    construction.
     """
+    every = max(1, rows_per_task // ROWS_TO_NOTICE)
+    counted = frame
+    if every > 1:
+        spread = spread_by or frame.columns
+        counted = frame.where(F.pmod(F.xxhash64(*spread), F.lit(every)) == 0)
     return (
-        frame.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        counted.groupBy(*keys)
+        .agg((F.count(F.lit(1)) * every).alias("_rows"))
         .where(F.col("_rows") > rows_per_task)
         .select(*keys, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias("_parts"))
     )
@@ -38,8 +56,8 @@ def salted_join(
     function of the row, so a task run again after a lost executor gives the
     same rows.
     """
-    hot = hot_keys(facts.where(_all_not_null(keys)), keys, rows_per_task)
     spread = spread_by or [c for c in facts.columns if c not in keys] or keys
+    hot = hot_keys(facts.where(_all_not_null(keys)), keys, rows_per_task, spread)
     salted = (
         facts.join(F.broadcast(hot), keys, "left")
         .withColumn(
@@ -78,15 +96,15 @@ def top_n_per_group(
 ) -> DataFrame:
     """First `n` rows of each group.
 
-    Spark limits each group before the shuffle. With `parts` > 1 a group is
-    first split by row hash and limited per part, so the last step sees at most
-    parts * n rows of it however large the group is; the answer is the same.
+    Spark limits each group inside a task before the shuffle, so one task at the
+    end sees at most tasks * n rows of a group. Where that is still much (large
+    n), `parts` > 1 adds a step between: input partitions are dealt into parts,
+    a group is limited per part, and the last step sees parts * n rows of it.
+    The answer is the same.
     """
     out = frame
     if parts > 1:
-        out = out.withColumn(
-            "_part", F.pmod(F.xxhash64(*frame.columns), F.lit(parts)).cast("int")
-        )
+        out = out.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(parts)))
         window = Window.partitionBy(*keys, "_part").orderBy(*order)
         out = (
             out.withColumn("_rn", F.row_number().over(window))

@@ -102,9 +102,17 @@ def wordcloud_weights(spark, folder):
     return retrieval.wordcloud_weights(counts).withColumn("font_size", F.round("font_size", 9))
 
 
-@query()
+@query(f"""
+with tokens as ({TOKENS_SQL})
+select 'doc_' || post_id id, 256 dims, cast(case when exists (
+         select 1 from tokens t where t.post_id = d.post_id) then 1.0 else 0.0 end as double) norm
+from doc_posts d
+""")
 def embed_text(spark, folder):
-    documents = retrieval.compose_document(adapters.doc_posts(spark, folder), "prose")
+    """Ids, width and length: texts with a word become unit vectors."""
+    documents = retrieval.compose_document(
+        adapters.doc_posts(spark, folder), "prose", title_col=None
+    )
     model = retrieval.fit_embedder(documents)
     squares = F.aggregate(
         F.col("embedding"), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")
