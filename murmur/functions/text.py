@@ -15,7 +15,11 @@ from murmur.functions.scalars import let, numeric_coerce
 LEXICON_WORDS = 100_000
 
 SPACES = r"[\p{IsWhite_Space}\x1c-\x1f]+"
-TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
+# A quoted attribute value may hold `>`; an unclosed quote ends with the tag.
+TAG = (
+    r"</?[A-Za-z][^>=]*+(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')?+[^>=]*+)*+>"
+    r"|<[!?][^>]*>"
+)
 
 
 def _element_pattern(tag: str, css_class: str) -> str:

@@ -88,6 +88,15 @@ def flatten_comment_tree(
     ).where(F.col("comment_text").isNotNull())
 
 
+def unreadable_payloads(comments: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """Rows whose payload is not JSON, or is nested too deeply for the parser.
+
+    `flatten_comment_tree` has no rows for them.
+    """
+    payload = F.col(payload_col)
+    return comments.where(payload.isNotNull() & F.try_parse_json(payload).isNull())
+
+
 def new_comments_since(
     comments: DataFrame,
     state: DataFrame,

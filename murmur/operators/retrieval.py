@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
+from pyspark.ml.feature import (
+    IDF,
+    BucketedRandomProjectionLSH,
+    BucketedRandomProjectionLSHModel,
+    HashingTF,
+    Normalizer,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +24,7 @@ from pyspark.sql import functions as F
 from murmur.functions.scalars import preview, relevance
 from murmur.functions.text import tokenize_words
 from murmur.operators.ranking import latest_posts, most_common_terms
-from murmur.operators.skew import top_n_per_group
+from murmur.operators.skew import hot_keys, top_n_per_group
 from murmur.operators.topics import TOPICS, topic_filter
 
 # Questions that travel to every task in one piece; more are asked in several passes.
@@ -134,6 +141,40 @@ def _best(distance: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], distance[near]))[:k]]
 
 
+class _Nearest:
+    """The k nearest documents seen so far for each question of a block."""
+
+    def __init__(self, names: np.ndarray, matrix: np.ndarray, k: int):
+        self.names, self.matrix, self.k = names, matrix, k
+        self.best: list = [None] * len(names)
+
+    def see(self, ids: np.ndarray, vectors: pd.Series) -> None:
+        rows = _unit_rows(np.stack(vectors.to_numpy()).astype(np.float64))
+        distances = np.round(1.0 - rows @ self.matrix.T, 12)
+        for q in range(len(self.names)):
+            d, i = distances[:, q], ids
+            if self.best[q] is not None:
+                d, i = np.concatenate([self.best[q][0], d]), np.concatenate([self.best[q][1], i])
+            keep = _best(d, i, self.k)
+            self.best[q] = (d[keep], i[keep])
+
+    def found(self) -> pd.DataFrame | None:
+        hits = [(n, b) for n, b in zip(self.names, self.best) if b is not None]
+        if not hits:
+            return None
+        return pd.DataFrame(
+            {
+                "query_id": np.repeat([n for n, _ in hits], [len(b[0]) for _, b in hits]),
+                "doc_id": np.concatenate([b[1] for _, b in hits]),
+                "distance": np.concatenate([b[0] for _, b in hits]),
+            }
+        )
+
+
+def _hit_schema(query_type: str, id_type: str) -> str:
+    return f"query_id {query_type}, doc_id {id_type}, distance double"
+
+
 def _scan(
     collection: DataFrame,
     names: np.ndarray,
@@ -146,32 +187,16 @@ def _scan(
     """Nearest `k` rows of each partition for each question: one matrix product per batch."""
 
     def partition(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: list = [None] * len(names)
+        nearest = _Nearest(names, matrix, k)
         for part in parts:
-            if part.empty:
-                continue
-            ids = part[id_col].to_numpy()
-            rows = _unit_rows(np.stack(part[vec_col].to_numpy()).astype(np.float64))
-            distances = np.round(1.0 - rows @ matrix.T, 12)
-            for q in range(len(names)):
-                d, i = distances[:, q], ids
-                if best[q] is not None:
-                    d, i = np.concatenate([best[q][0], d]), np.concatenate([best[q][1], i])
-                keep = _best(d, i, k)
-                best[q] = (d[keep], i[keep])
-        found = [(n, b) for n, b in zip(names, best) if b is not None]
-        if found:
-            yield pd.DataFrame(
-                {
-                    "query_id": np.repeat([n for n, _ in found], [len(b[0]) for _, b in found]),
-                    "doc_id": np.concatenate([b[1] for _, b in found]),
-                    "distance": np.concatenate([b[0] for _, b in found]),
-                }
-            )
-
-    id_type = dict(collection.dtypes)[id_col]
+            if not part.empty:
+                nearest.see(part[id_col].to_numpy(), part[vec_col])
+        found = nearest.found()
+        if found is not None:
+            yield found
+
     return collection.select(id_col, vec_col).mapInPandas(
-        partition, f"query_id {query_type}, doc_id {id_type}, distance double"
+        partition, _hit_schema(query_type, dict(collection.dtypes)[id_col])
     )
 
 
@@ -223,31 +248,42 @@ def _scan_pass(
     query_type = block.dtypes[0][1]
     local = block.toPandas()
     if local.empty:
-        id_type = dict(collection.dtypes)[id_col]
         return collection.sparkSession.createDataFrame(
-            [], f"query_id {query_type}, doc_id {id_type}, distance double"
+            [], _hit_schema(query_type, dict(collection.dtypes)[id_col])
         )
     names = local.iloc[:, 0].to_numpy()
     matrix = _unit_rows(np.stack(local.iloc[:, 1].to_numpy()).astype(np.float64))
     return _scan(collection, names, matrix, k, id_col, vec_col, query_type)
 
 
-def lsh_model(
+@dataclass(frozen=True)
+class Buckets:
+    """Random projections of unit vectors, `width` of them to a signature."""
+
+    model: BucketedRandomProjectionLSHModel
+    width: int
+
+
+def fit_buckets(
     collection: DataFrame,
     vec_col: str = "embedding",
     bucket_length: float = 0.25,
     tables: int = 4,
+    width: int = 2,
     seed: int = 42,
-):
-    """Random projections for unit vectors. Nothing is learned from the data but its width."""
+) -> Buckets:
+    """Nothing is learned from the data but the length of its vectors.
+
+    More tables find more neighbours, a larger width leaves fewer candidates.
+    """
     lsh = BucketedRandomProjectionLSH(
         inputCol="_vector",
         outputCol="_hashes",
         bucketLength=bucket_length,
-        numHashTables=tables,
+        numHashTables=tables * width,
         seed=seed,
     )
-    return lsh.fit(_as_vector(collection, vec_col))
+    return Buckets(lsh.fit(_as_vector(collection, vec_col)), width)
 
 
 def _as_vector(frame: DataFrame, vec_col: str) -> DataFrame:
@@ -257,56 +293,110 @@ def _as_vector(frame: DataFrame, vec_col: str) -> DataFrame:
     return frame.withColumn("_vector", array_to_vector(unit))
 
 
-def _buckets(frame: DataFrame, model, vec_col: str) -> DataFrame:
-    """Adds `_buckets`, the bucket of each hash table as ``table:bucket``."""
-    hashed = model.transform(_as_vector(frame, vec_col))
-    return hashed.withColumn(
-        "_buckets",
-        F.transform(
-            F.col("_hashes"),
-            lambda h, i: F.concat_ws(
-                ":", i.cast("string"), vector_to_array(h)[0].cast("bigint").cast("string")
-            ),
-        ),
+def _signatures(frame: DataFrame, buckets: Buckets, vec_col: str) -> DataFrame:
+    """Adds `_cells`: the signature of each table as ``table:bucket,bucket``."""
+    width = buckets.width
+    tables = buckets.model.getNumHashTables() // width
+    hashes = F.transform(
+        F.col("_hashes"), lambda h: vector_to_array(h)[0].cast("bigint").cast("string")
     )
+    cells = [
+        F.concat(F.lit(f"{t}:"), F.array_join(F.slice(hashes, t * width + 1, width), ","))
+        for t in range(tables)
+    ]
+    hashed = buckets.model.transform(_as_vector(frame, vec_col))
+    return hashed.select(*frame.columns, F.array(*cells).alias("_cells"))
 
 
 def cosine_top_k_approx(
     collection: DataFrame,
     queries: DataFrame,
-    model,
+    buckets: Buckets,
     k: int = 5,
     id_col: str = "id",
     vec_col: str = "embedding",
     query_id: str = "query_id",
     query_vec: str = "embedding",
-    min_matches: int = 2,
-    per_pass: int = QUERIES_PER_PASS,
+    few: int = QUERIES_PER_PASS,
+    rows_per_task: int = 100_000,
 ) -> DataFrame:
-    """`cosine_top_k` over the documents that share `min_matches` buckets with a question.
+    """`cosine_top_k` over the documents that share a signature with a question.
 
-    Rows are pruned by their own buckets against the set of asked buckets, pass
-    by pass, so no pairs are formed and no bucket is gathered in one place
-    however many documents it holds. Distances are exact; a neighbour may be
-    missed if it shares too few buckets.
+    Distances are exact; a neighbour without a common signature is missed. Up to
+    `few` questions prune the collection in place by the set of their
+    signatures and scan what is left, without a shuffle. More questions meet the
+    collection signature by signature.
     """
-    asked = _buckets(
-        queries.select(F.col(query_id), F.col(query_vec).alias(vec_col)), model, vec_col
-    ).select(query_id, vec_col, "_buckets")
-    hashed = _buckets(collection.select(id_col, vec_col), model, vec_col)
-    scans = []
-    for block in _query_blocks(asked, query_id, per_pass):
-        wanted = [
-            row[0] for row in block.select(F.explode("_buckets")).distinct().collect()
-        ]
-        shared = F.filter(F.col("_buckets"), lambda b: b.isin(wanted))
-        near = hashed.where(F.size(shared) >= min_matches)
-        scans.append(
-            _scan_pass(
-                near.select(id_col, vec_col), block.select(query_id, vec_col), k, id_col, vec_col
-            )
+    documents = _signatures(
+        collection.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("_vec")),
+        buckets,
+        "_vec",
+    )
+    asked = _signatures(
+        queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("_vec")),
+        buckets,
+        "_vec",
+    )
+    if asked.count() <= few:
+        wanted = [row[0] for row in asked.select(F.explode("_cells")).distinct().collect()]
+        near = documents.where(F.exists("_cells", lambda c: c.isin(wanted)))
+        scan = _scan_pass(
+            near.select("doc_id", "_vec"), asked.select("query_id", "_vec"), k, "doc_id", "_vec"
         )
-    return _closest(scans, k)
+        return _closest([scan], k)
+    return _closest([_cell_join(documents, asked, k, rows_per_task).distinct()], k)
+
+
+def _cell_join(
+    documents: DataFrame, asked: DataFrame, k: int, rows_per_task: int
+) -> DataFrame:
+    """Nearest documents of each question within each common signature.
+
+    Of equal vectors only the k smallest ids can be among the k nearest, so the
+    rest go first. A signature with more than `rows_per_task` documents or
+    questions is split on that side and the other side repeated, so no task
+    holds more than about that many of either. No pairs leave a task: a question
+    hands on k documents per part.
+    """
+    documents = top_n_per_group(documents, ["_vec"], [F.col("doc_id").asc()], k)
+    docs = documents.select(F.explode("_cells").alias("cell"), "doc_id", "_vec")
+    questions = asked.select(F.explode("_cells").alias("cell"), "query_id", "_vec")
+    many_docs = hot_keys(docs, ["cell"], rows_per_task, ["doc_id"])
+    many_questions = hot_keys(questions, ["cell"], rows_per_task, ["query_id"])
+
+    def split(rows: DataFrame, own: DataFrame, key: str, salt: str) -> DataFrame:
+        part = F.pmod(F.xxhash64(key), F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint"))
+        joined = rows.join(F.broadcast(own), "cell", "left")
+        return joined.withColumn(salt, part.cast("int")).drop("_parts")
+
+    def repeat(rows: DataFrame, other: DataFrame, salt: str) -> DataFrame:
+        every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+        joined = rows.join(F.broadcast(other), "cell", "left")
+        return joined.withColumn(salt, F.explode(every)).drop("_parts")
+
+    left = repeat(split(docs, many_docs, "doc_id", "_d"), many_questions, "_q")
+    right = repeat(split(questions, many_questions, "query_id", "_q"), many_docs, "_d")
+    types = dict(asked.dtypes)["query_id"], dict(documents.dtypes)["doc_id"]
+
+    def compare(docs_part: pd.DataFrame, asked_part: pd.DataFrame) -> pd.DataFrame:
+        hits = []
+        if len(docs_part) and len(asked_part):
+            for q in range(0, len(asked_part), 1024):
+                block = asked_part.iloc[q : q + 1024]
+                matrix = _unit_rows(np.stack(block["_vec"].to_numpy()).astype(np.float64))
+                nearest = _Nearest(block["query_id"].to_numpy(), matrix, k)
+                for d in range(0, len(docs_part), 8192):
+                    rows = docs_part.iloc[d : d + 8192]
+                    nearest.see(rows["doc_id"].to_numpy(), rows["_vec"])
+                hits.append(nearest.found())
+        if not hits:
+            return pd.DataFrame({"query_id": [], "doc_id": [], "distance": []})
+        return pd.concat(hits)
+
+    keys = ["cell", "_d", "_q"]
+    return (
+        left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, _hit_schema(*types))
+    )
 
 
 # --- answers ------------------------------------------------------------------------

@@ -62,7 +62,7 @@ def cosine_top_k_approx(spark, folder):
     return retrieval.cosine_top_k_approx(
         vectors,
         label_questions(spark, folder),
-        retrieval.lsh_model(vectors),
+        retrieval.fit_buckets(vectors),
         5,
         id_col="vec_id",
     )

@@ -31,7 +31,7 @@ def explode_thread_posts(
     rows = threads.select(*keys, F.explode(posts).alias("data"))
     out = rows.select(
         *keys,
-        json_field(F.col("data"), "no").cast("bigint").alias("post_number"),
+        json_field(F.col("data"), "no").try_cast("bigint").alias("post_number"),
         epoch_seconds(json_field(F.col("data"), "time")).alias("created_at"),
         F.coalesce(json_field(F.col("data"), "com"), F.lit("")).alias("com"),
         "data",

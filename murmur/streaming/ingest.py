@@ -8,6 +8,7 @@ and replace themselves when run again, so restarts do not repeat rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,9 +41,18 @@ def _files(
 
 
 def _each_batch(frame: DataFrame, checkpoint: str, work, trigger: dict, mode: str = "append"):
+    """Runs `work` on each micro-batch, which is read once however often it is used."""
+
+    def held(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            work(batch, batch_id)
+        finally:
+            batch.unpersist()
+
     return (
         frame.writeStream.outputMode(mode)
-        .foreachBatch(work)
+        .foreachBatch(held)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -79,6 +79,9 @@ def test_time_buckets(one):
         ("AT&T &unknownname; &", "AT&T &unknownname; &"),
         ("&#0; &#xD800;", "� �"),
         ("1 < 2 > 0", "1 2 0"),
+        ('<a title="a>b" href=\'x>y\'>link</a>', "link"),
+        ("<p don't>y it's <b class=x>z</b>", "y it's z"),
+        ('<a href="open>text', "text"),
         ("", ""),
         (None, ""),
     ],

@@ -5,7 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from murmur.operators import engagement, filters, joins, network, ranking, series, topics
-from murmur.operators.nested import flatten_comment_tree, new_comments_since, next_markers
+from murmur.operators.nested import (
+    flatten_comment_tree,
+    new_comments_since,
+    next_markers,
+    unreadable_payloads,
+)
 
 
 def epoch(*parts):
@@ -352,7 +357,7 @@ def test_empty_replies_are_a_leaf(spark):
     assert [(r.id, r.parent_id, r.comment_text) for r in rows] == [("a", "p", "x")]
 
 
-@pytest.mark.parametrize("depth", [3, 60])
+@pytest.mark.parametrize("depth", [3, 150])
 def test_deep_trees_come_out_whole_and_in_order(spark, depth):
     ids = [f"c{i}" for i in range(depth)]
     rows = flat(spark, tree(*ids))
@@ -374,8 +379,10 @@ def test_pre_order_and_skipped_children(spark):
     assert '"id":"b"' in rows[1].data
 
 
-def test_bad_payload_gives_no_rows(spark):
+def test_unreadable_payloads_are_listed(spark):
     assert flat(spark, "nope") == []
+    frame = spark.createDataFrame([("nope",), (tree("a"),), (None,)], "payload string")
+    assert [r.payload for r in unreadable_payloads(frame).collect()] == ["nope"]
 
 
 def test_marker_moves_to_the_first_new_comment(spark):

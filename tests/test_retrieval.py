@@ -51,25 +51,49 @@ def test_no_questions_no_hits(spark, collection):
     assert retrieval.cosine_top_k(collection, none, 5).count() == 0
 
 
-def test_approximate_neighbours_recall(spark, collection, vectors):
-    questions = vectors[240:270] + 0.05
-    asked = spark.createDataFrame(
-        [(i, [float(x) for x in v]) for i, v in enumerate(questions)],
+def ask(spark, matrix):
+    return spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(matrix)],
         "query_id int, embedding array<double>",
     )
-    model = retrieval.lsh_model(collection, bucket_length=0.5, tables=4)
-    got = retrieval.cosine_top_k_approx(collection, asked, model, 3, min_matches=3, per_pass=8)
-    found = {(r.query_id, r.doc_id) for r in got.collect()}
+
+
+@pytest.mark.parametrize("few, rows_per_task", [(2000, 10**5), (0, 10**5), (0, 20)])
+def test_approximate_neighbours_recall(spark, collection, vectors, few, rows_per_task):
+    """Both forms; the last case splits crowded signatures on both sides."""
+    questions = np.vstack([vectors[240:270] + 0.05, vectors[[100]]])
+    buckets = retrieval.fit_buckets(collection, bucket_length=0.5, tables=8, width=2)
+    got = retrieval.cosine_top_k_approx(
+        collection, ask(spark, questions), buckets, 3, few=few, rows_per_task=rows_per_task
+    )
+    hits = got.collect()
+    assert len({(r.query_id, r.doc_id) for r in hits}) == len(hits)
+    found = {(r.query_id, r.doc_id) for r in hits}
     exact = {(q, i) for q, i, _ in brute(vectors, questions, 3)}
     assert len(found & exact) / len(exact) >= 0.6
     nearest = {(q, i) for q, i, r in brute(vectors, questions, 3) if r == 1}
     assert len(found & nearest) / len(nearest) >= 0.9
+    copies = [(r["rank"], r.doc_id) for r in hits if r.query_id == 30]
+    assert sorted(copies) == [(1, 100), (2, 101), (3, 102)]
+
+
+def test_cell_join_splits_do_not_change_the_answer(spark, collection, vectors):
+    buckets = retrieval.fit_buckets(collection, bucket_length=0.5, tables=3, width=1)
+    asked = ask(spark, vectors[230:330])
+
+    def rows(n):
+        got = retrieval.cosine_top_k_approx(
+            collection, asked, buckets, 4, few=0, rows_per_task=n
+        )
+        return sorted((r.query_id, r["rank"], r.doc_id) for r in got.collect())
+
+    assert rows(15) == rows(10**5)
 
 
 def test_approximate_scan_prunes(spark, collection):
-    model = retrieval.lsh_model(collection, bucket_length=0.1, tables=2)
+    buckets = retrieval.fit_buckets(collection, bucket_length=0.1, tables=2, width=2)
     asked = collection.where("id = 5").select(F.lit(0).alias("query_id"), "embedding")
-    got = retrieval.cosine_top_k_approx(collection, asked, model, 400, min_matches=2)
+    got = retrieval.cosine_top_k_approx(collection, asked, buckets, 400)
     assert 1 <= got.count() < 200
     assert got.where("rank = 1").collect()[0].doc_id == 5
 
