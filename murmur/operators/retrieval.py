@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -27,6 +29,9 @@ from murmur.operators.ranking import latest_posts, most_common_terms
 from murmur.operators.skew import hot_keys, top_n_per_group
 from murmur.operators.topics import TOPICS, topic_filter
 
+# Functions sent to tasks carry their code, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Questions that travel to every task in one piece; more are asked in several passes.
 QUERIES_PER_PASS = 2_000
 
@@ -287,10 +292,8 @@ def fit_buckets(
 
 
 def _as_vector(frame: DataFrame, vec_col: str) -> DataFrame:
-    values = F.col(vec_col).cast("array<double>")
-    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, x: s + x * x))
-    unit = F.transform(values, lambda x: x / F.when(norm > 0, norm).otherwise(F.lit(1.0)))
-    return frame.withColumn("_vector", array_to_vector(unit))
+    raw = frame.withColumn("_raw", array_to_vector(F.col(vec_col).cast("array<double>")))
+    return Normalizer(inputCol="_raw", outputCol="_vector").transform(raw).drop("_raw")
 
 
 def _signatures(frame: DataFrame, buckets: Buckets, vec_col: str) -> DataFrame:

@@ -29,11 +29,12 @@ def explode_thread_posts(
     """
     posts = F.from_json(F.col(payload_col), "struct<posts:array<string>>")["posts"]
     rows = threads.select(*keys, F.explode(posts).alias("data"))
-    out = rows.select(
+    record = F.from_json("data", "no string, time string, com string")
+    out = rows.select(*keys, "data", record.alias("_post")).select(
         *keys,
-        json_field(F.col("data"), "no").try_cast("bigint").alias("post_number"),
-        epoch_seconds(json_field(F.col("data"), "time")).alias("created_at"),
-        F.coalesce(json_field(F.col("data"), "com"), F.lit("")).alias("com"),
+        F.col("_post.no").try_cast("bigint").alias("post_number"),
+        epoch_seconds(F.col("_post.time")).alias("created_at"),
+        F.coalesce("_post.com", F.lit("")).alias("com"),
         "data",
     )
     return out.withColumn("cleaned_text", clean_html_text(F.col("com"))) if clean else out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.functions.scalars import epoch_seconds, json_field, numeric_coerce
+from murmur.functions.scalars import epoch_seconds, numeric_coerce
 
 
 def expose_json_fields(frame: DataFrame, fields: dict, data_col: str = "data") -> DataFrame:
@@ -13,16 +13,21 @@ def expose_json_fields(frame: DataFrame, fields: dict, data_col: str = "data") -
 
     `fields` maps a column to ((member, ...), type); the first member present is
     taken. Type is string, int, double or epoch (whole seconds). Malformed
-    values are null. Extracting once at load lets every later query prune the
-    JSON and push filters on the typed columns down to the scan.
+    values are null. The JSON is parsed once for all members. Extracting at load
+    lets every later query prune the JSON and push filters on the typed columns
+    down to the scan.
     """
-    return frame.withColumns(
-        {name: _typed(F.col(data_col), members, kind) for name, (members, kind) in fields.items()}
+    members = dict.fromkeys(m for names, _ in fields.values() for m in names)
+    record = F.from_json(F.col(data_col), ", ".join(f"`{m}` string" for m in members))
+    return (
+        frame.withColumn("_json", record)
+        .withColumns({name: _typed(names, kind) for name, (names, kind) in fields.items()})
+        .drop("_json")
     )
 
 
-def _typed(data: Column, members: tuple[str, ...], kind: str) -> Column:
-    text = F.coalesce(*[json_field(data, m) for m in members])
+def _typed(members: tuple[str, ...], kind: str) -> Column:
+    text = F.coalesce(*[F.col(f"_json.`{m}`") for m in members])
     if kind == "epoch":
         return epoch_seconds(text)
     if kind == "double":
