@@ -23,14 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write `frame` to the shared scratch folder and read it back.
 
     Cuts the lineage: an executor lost later costs a read, not the work before. Used
     where a table is read more than once or where row placement has to stay fixed.
     """
     path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmur.llm import mixing, sharding
+from murmur.llm import huffman, mixing, sharding
 from murmur.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer(name: str) -> str:
+    """A public vocabulary file; the folder is an installed package on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.token_digest(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -21,6 +32,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_token_huffman": op5_token_huffman,
     "op9_mix": op9_mix,
     "op10_shards": op10_shards,
 }
