@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +20,15 @@ def ship(name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def worker_store() -> dict:
+    """Lives as long as the Python worker, so that tasks after one another share what is in it.
+
+    Code that travels with a task is made anew for each task, and so are its globals.
+    """
+    name = "_murmur_worker_store"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("held", {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -69,3 +79,6 @@ def numbered(frame: DataFrame, order: list[str], name: str) -> DataFrame:
 
 def clean_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+ship(__name__)

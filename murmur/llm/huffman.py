@@ -200,7 +200,7 @@ def encode_ids(
     spark = documents.sparkSession
     ordered = (
         documents.select("doc_id", clean_text().alias("text"))
-        .repartitionByRange(partitions(spark), "doc_id", "text")
+        .repartitionByRange(partitions(spark), "doc_id")
         .sortWithinPartitions("doc_id", "text")
         .withColumn("part", F.spark_partition_id())
     )

@@ -9,14 +9,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from murmur.llm.common import ship
+from murmur.llm.common import ship, worker_store
 
 ship(__name__)
 
 BLANK = "▁"
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
-# Words and pairs remembered by a worker; when full, they are emptied and filled anew.
-REMEMBERED = 400_000
+# Words and pairs remembered by a worker (about 200 bytes each); when full, they are
+# emptied and filled anew.
+REMEMBERED = 800_000
 BATCH_ROWS = 500
 
 
@@ -36,13 +37,12 @@ class Pieces:
     does not merge back to is never used, as the rule cannot make it.
     """
 
-    _made: dict[str, "Pieces"] = {}
-
     @classmethod
     def of(cls, path: str) -> "Pieces":
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        held = worker_store()
+        if ("pieces", path) not in held:
+            held["pieces", path] = cls(path)
+        return held["pieces", path]
 
     def __init__(self, path: str):
         import ahocorasick

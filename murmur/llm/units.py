@@ -6,18 +6,19 @@ import re
 
 import numpy as np
 
-from murmur.llm.common import ship
+from murmur.llm.common import ship, worker_store
 
 ship(__name__)
 
 # White space next to white space, or at either end of the text.
 ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
-# Pieces remembered by a worker; when full, it is emptied and filled anew.
-REMEMBERED = 600_000
+# Pieces remembered by a worker (about 200 bytes each); when full, those of the texts at
+# hand are kept, the frequent ones among them.
+REMEMBERED = 1_000_000
 
 
 # Distinct pieces put into one call of the library, a line each.
-LINES = 4096
+LINES = 64
 
 
 class ByteBpe:
@@ -29,13 +30,12 @@ class ByteBpe:
     go through the library whole.
     """
 
-    _made: dict[str, "ByteBpe"] = {}
-
     @classmethod
     def of(cls, path: str) -> "ByteBpe":
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        held = worker_store()
+        if ("byte bpe", path) not in held:
+            held["byte bpe", path] = cls(path)
+        return held["byte bpe", path]
 
     def __init__(self, path: str):
         import os
@@ -77,10 +77,11 @@ class ByteBpe:
             for i, t in enumerate(texts)
             if i not in odd
         }
+        here = set().union(*cut.values())
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = {p: self.known[p] for p in here if p in self.known}
+        self.learn([p for p in here if p not in self.known and p != "\n"])
         self.known["\n"] = np.array([self.line_feed], "<u4").tobytes()
-        self.learn(list(set().union(*cut.values()).difference(self.known)))
         known = self.known.__getitem__
         for i, pieces in cut.items():
             out[i] = b"".join(map(known, pieces)) + tail
