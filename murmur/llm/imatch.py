@@ -86,17 +86,17 @@ def fingerprints(texts: DataFrame, keys: list[str], column: str, band: DataFrame
         .select(*keys, F.xxhash64("word").alias("term"))
         .join(F.broadcast(band), "term")
     )
-    terms = hit.groupBy(*keys).agg(
-        F.sort_array(F.array_distinct(F.collect_list("term"))).alias("terms")
+    # Hashed before the join, so that lists of terms are not shuffled.
+    hashes = (
+        hit.groupBy(*keys)
+        .agg(F.sort_array(F.array_distinct(F.collect_list("term"))).alias("terms"))
+        .select(*keys, subset_hashes(F.col("terms")).alias("hashes"))
     )
-    none = F.array().cast("array<bigint>")
+    none = F.array(*[F.lit(EMPTY).cast("bigint")] * (len(ONE_IN) * SEEDS))
     return (
         texts.select(*keys, F.sha2(F.encode(column, "UTF-8"), 256).alias("sha"))
-        .join(terms, keys, "left")
-        .select(
-            *keys,
-            F.struct(subset_hashes(F.coalesce("terms", none)).alias("hashes"), "sha").alias("print"),
-        )
+        .join(hashes, keys, "left")
+        .select(*keys, F.struct(F.coalesce("hashes", none).alias("hashes"), "sha").alias("print"))
     )
 
 
@@ -114,64 +114,76 @@ def fingerprint_documents(
     The texts are shuffled once, by document; what a document hands to the one before is a
     third of that at most. Everything else moves ids, hashes or fingerprints.
     """
+    key = ["id", "mark"]
     keyed = documents.select("doc_id", clean_text().alias("text")).select(
-        F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("k"), "text"
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text", F.col("doc_id").isNull()).alias("mark"),
+        "doc_id",
+        "text",
     )
     order = (
-        keyed.select("k", F.length("text").cast("bigint").alias("n_chars"))
-        .groupBy("k", "n_chars")
+        keyed.select(*key, "doc_id", F.length("text").cast("bigint").alias("n_chars"))
+        .groupBy(*key, "doc_id", "n_chars")
         .agg(F.count(F.lit(1)).alias("rows"))
-        .select("k.doc_id", "k.mark", "k", "n_chars", "rows")
     )
-    order = numbered(order, ["doc_id", "mark"], name).drop("doc_id", "mark")
+    order = numbered(order, ["doc_id", "mark"], f"{name}-order")
     total = max(order.count(), 1)
     next_of = order.select(
-        F.col("k").alias("next"), F.pmod(F.col("row") + 1, F.lit(total)).alias("row")
+        F.col("id").alias("next_id"),
+        F.col("mark").alias("next_mark"),
+        F.pmod(F.col("row") + 1, F.lit(total)).alias("row"),
     )
-    pairs = order.join(next_of, "row").withColumn(
-        "cut", F.floor(F.col("n_chars") / 3).cast("int")
+    pairs = order.join(next_of, "row").select(
+        *key, "doc_id", "n_chars", "rows", "next_id", "next_mark",
+        F.floor(F.col("n_chars") / 3).cast("int").alias("cut"),
     )
+    # Both uses of the texts, as the document and as the next one, read this one shuffle.
     once = (
-        keyed.withColumn("_no", F.row_number().over(Window.partitionBy("k").orderBy("k")))
+        keyed.select(*key, "text")
+        .withColumn("_no", F.row_number().over(Window.partitionBy(*key).orderBy(*key)))
         .where("_no = 1")
         .drop("_no")
     )
-    gifts = once.withColumnRenamed("k", "next").join(pairs.select("next", "k", "cut"), "next").select(
-        "k", F.expr("substring(text, 1, cut)").alias("gift")
+    gifts = (
+        once.withColumnsRenamed({"id": "next_id", "mark": "next_mark"})
+        .join(pairs.select("next_id", "next_mark", *key, "cut"), ["next_id", "next_mark"])
+        .select(*key, F.expr("substring(text, 1, cut)").alias("gift"))
     )
     texts = (
-        once.join(pairs, "k")
-        .join(gifts, "k")
+        once.join(pairs.select(*key, "n_chars", "cut"), key)
+        .join(gifts, key)
         .select(
-            "k",
+            *key,
             "text",
-            F.concat(F.expr("substring(text, 1, n_chars - cut)"), F.col("gift")).alias("edited"),
+            F.concat(F.expr("substring(text, 1, int(n_chars) - cut)"), F.col("gift")).alias("edited"),
         )
     )
     band = lexicon(keyed, "text", least, most)
     sides = texts.select(
-        "k",
+        *key,
         F.explode(
             F.array(
                 F.struct(F.lit(0).alias("side"), F.col("text").alias("text")),
                 F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")),
             )
         ).alias("s"),
-    ).select("k", "s.side", "s.text")
-    marks = fingerprints(sides, ["k", "side"], "text", band)
-    prints = marks.groupBy("k").agg(
+    ).select(*key, "s.side", "s.text")
+    marks = fingerprints(sides, [*key, "side"], "text", band)
+    prints = marks.groupBy(*key).agg(
         F.max(F.when(F.col("side") == 0, F.col("print"))).alias("own"),
         F.max(F.when(F.col("side") == 1, F.col("print"))).alias("other"),
     )
-    # Read twice (as itself and as the next one), so kept; 300 bytes a document.
+    # Read twice (as itself and as the next one), so kept; 500 bytes a document.
     prints = stored(prints, name)
-    following = prints.select(F.col("k").alias("next"), F.col("own").alias("following"))
+    following = prints.select(
+        F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("own").alias("following")
+    )
     return (
-        prints.join(pairs, "k")
-        .join(following, "next")
+        prints.join(pairs, key)
+        .join(following, ["next_id", "next_mark"])
         .withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
         .select(
-            "k.doc_id",
+            "doc_id",
             "n_chars",
             F.col("other.sha").alias("edited_sha256"),
             fingerprint_of(F.col("own")).alias("fingerprint"),
