@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmur.llm import huffman, imatch, mixing, pieces, sharding
+from murmur.llm import huffman, imatch, mixing, pieces, sharding, toxicity
 from murmur.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op5_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.token_digest(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op6_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -41,6 +47,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op5_token_huffman": op5_token_huffman,
+    "op6_toxicity_mil": op6_toxicity_mil,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_imatch": op8_imatch,
     "op9_mix": op9_mix,

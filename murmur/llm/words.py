@@ -70,16 +70,20 @@ def is_space(body: np.ndarray) -> np.ndarray:
     return (body == 32) | ((body >= 9) & (body <= 13))
 
 
-def word_hashes(body: np.ndarray, offsets: np.ndarray):
+def word_hashes(body: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = ()):
     """(hash of each word, start byte, end byte, number of words of each text).
 
+    With `prefixes`, also a hash for each of these numbers of first bytes, a fifth item:
+    one array per number, of all words; it is the word's own hash where the word is shorter.
+
     A word is a longest run without ASCII white space inside one text. Its hash is a
     polynomial over its bytes and its length; position is divided out, so equal words
     hash alike wherever they are.
     """
     if not len(body):
         none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, np.zeros(len(offsets) - 1, np.int64)
+        parts = (none.astype(np.uint64), none, none, np.zeros(len(offsets) - 1, np.int64))
+        return (*parts, [none.astype(np.uint64)] * len(prefixes)) if prefixes else parts
     word = ~is_space(body)
     edge = np.zeros(len(body) + 1, bool)
     edge[offsets] = True
@@ -94,10 +98,15 @@ def word_hashes(body: np.ndarray, offsets: np.ndarray):
     up, down = powers(len(body))
     sums = np.zeros(len(body) + 1, np.uint64)
     np.cumsum((body.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * down[starts]
-    hashes = mixed(hashes + mixed((ends - starts).astype(np.uint64)))
-    counts = np.diff(np.searchsorted(starts, offsets))
-    return hashes, starts, ends, counts
+
+    def hashed(upto: np.ndarray) -> np.ndarray:
+        value = (sums[upto] - sums[starts]) * down[starts]
+        return mixed(value + mixed((upto - starts).astype(np.uint64)))
+
+    parts = hashed(ends), starts, ends, np.diff(np.searchsorted(starts, offsets))
+    if not prefixes:
+        return parts
+    return (*parts, [hashed(np.minimum(starts + k, ends)) for k in prefixes])
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE):
