@@ -75,28 +75,37 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def fingerprints(texts: DataFrame, keys: list[str], column: str, band: DataFrame) -> DataFrame:
-    """keys and print (hashes and sha256 of the text) of each row; `keys` tell rows apart.
+def fingerprints(texts: DataFrame, keys: list[str], columns: list[str], band: DataFrame) -> DataFrame:
+    """keys and, for each of the text columns, a struct of that name: hashes, and sha256 of the text.
 
-    Terms outside the band are dropped by a join with the lexicon, which is bounded (see
-    LEAST) and so sent to all executors.
+    `keys` tell rows apart. Terms outside the band are dropped by a join with the lexicon,
+    which is bounded (see LEAST) and so sent to all executors. Where the rows are already
+    partitioned by `keys`, nothing is shuffled.
     """
+    sides = F.array(
+        *[F.struct(F.lit(i).alias("side"), F.col(c).alias("text")) for i, c in enumerate(columns)]
+    )
     hit = (
-        texts.select(*keys, F.explode(distinct_terms(F.col(column))).alias("word"))
-        .select(*keys, F.xxhash64("word").alias("term"))
+        texts.select(*keys, F.explode(sides).alias("s"))
+        .select(*keys, "s.side", F.explode(distinct_terms(F.col("s.text"))).alias("word"))
+        .select(*keys, "side", F.xxhash64("word").alias("term"))
         .join(F.broadcast(band), "term")
     )
-    # Hashed before the join, so that lists of terms are not shuffled.
-    hashes = (
-        hit.groupBy(*keys)
-        .agg(F.sort_array(F.array_distinct(F.collect_list("term"))).alias("terms"))
-        .select(*keys, subset_hashes(F.col("terms")).alias("hashes"))
+    none = F.array().cast("array<bigint>")
+    terms = hit.groupBy(*keys).agg(
+        *[F.collect_list(F.when(F.col("side") == i, F.col("term"))).alias(f"_{c}") for i, c in enumerate(columns)]
     )
-    none = F.array(*[F.lit(EMPTY).cast("bigint")] * (len(ONE_IN) * SEEDS))
-    return (
-        texts.select(*keys, F.sha2(F.encode(column, "UTF-8"), 256).alias("sha"))
-        .join(hashes, keys, "left")
-        .select(*keys, F.struct(F.coalesce("hashes", none).alias("hashes"), "sha").alias("print"))
+    marks = [F.sha2(F.encode(c, "UTF-8"), 256).alias(f"sha_{c}") for c in columns]
+    joined = texts.select(*keys, *marks).join(terms, keys, "left")
+    return joined.select(
+        *keys,
+        *[
+            F.struct(
+                subset_hashes(F.sort_array(F.coalesce(f"_{c}", none))).alias("hashes"),
+                F.col(f"sha_{c}").alias("sha"),
+            ).alias(c)
+            for c in columns
+        ],
     )
 
 
@@ -154,25 +163,12 @@ def fingerprint_documents(
         .join(gifts, key)
         .select(
             *key,
-            "text",
-            F.concat(F.expr("substring(text, 1, int(n_chars) - cut)"), F.col("gift")).alias("edited"),
+            F.col("text").alias("own"),
+            F.concat(F.expr("substring(text, 1, int(n_chars) - cut)"), F.col("gift")).alias("other"),
         )
     )
     band = lexicon(keyed, "text", least, most)
-    sides = texts.select(
-        *key,
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("side"), F.col("text").alias("text")),
-                F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")),
-            )
-        ).alias("s"),
-    ).select(*key, "s.side", "s.text")
-    marks = fingerprints(sides, [*key, "side"], "text", band)
-    prints = marks.groupBy(*key).agg(
-        F.max(F.when(F.col("side") == 0, F.col("print"))).alias("own"),
-        F.max(F.when(F.col("side") == 1, F.col("print"))).alias("other"),
-    )
+    prints = fingerprints(texts, key, ["own", "other"], band)
     # Read twice (as itself and as the next one), so kept; 500 bytes a document.
     prints = stored(prints, name)
     following = prints.select(
