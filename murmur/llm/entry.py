@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmur.llm import huffman, imatch, language, mixing, pieces, sharding, toxicity
+from murmur.llm import huffman, imatch, language, links, mixing, pieces, sharding, toxicity
 from murmur.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.judge_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.token_digest(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -53,6 +57,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
+    "op4_url_trust": op4_url_trust,
     "op5_token_huffman": op5_token_huffman,
     "op6_toxicity_mil": op6_toxicity_mil,
     "op7_sentencepiece": op7_sentencepiece,
