@@ -127,30 +127,36 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     L2 penalty. A document without words has no sentence and teaches nothing. Classes are
     weighed to count alike.
     """
-    buckets, owners, docs = [], [], []
+    weights = np.zeros(1 << BITS)
+    y = labels.astype(bool)
+    n1, n0 = max(int(y.sum()), 1), max(int((~y).sum()), 1)
+    # Once over the texts: in how many documents of each class a feature is.
+    toxic, seen = np.zeros(1 << BITS), np.zeros(1 << BITS)
     sentence = doc = 0
     for bucket, number, firsts, _, per_text, n in features(pa.array(texts, pa.string())):
-        buckets.append(bucket)
-        owners.append(number + sentence)
-        docs.append(np.repeat(np.arange(n), per_text) + doc)
+        of_doc = np.repeat(np.arange(n), per_text)
+        at_doc, at = np.divmod(np.unique(of_doc[number] * (1 << BITS) + bucket), 1 << BITS)
+        toxic += np.bincount(at[y[doc + at_doc]], minlength=1 << BITS)
+        seen += np.bincount(at, minlength=1 << BITS)
         sentence += len(firsts)
         doc += n
-    weights = np.zeros(1 << BITS)
     if not sentence:
         return weights, PRIOR
-    bucket, owner, of_doc = (np.concatenate(x) for x in (buckets, owners, docs))
-    y = labels.astype(bool)
-    # In how many documents of each class a feature is.
-    at_doc, at = np.divmod(np.unique(of_doc[owner] * (1 << BITS) + bucket), 1 << BITS)
-    toxic = np.bincount(at[y[at_doc]], minlength=1 << BITS)
-    seen = np.bincount(at, minlength=1 << BITS)
-    n1, n0 = max(int(y.sum()), 1), max(int((~y).sum()), 1)
     p = seen / (n0 + n1)
     error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n0 + 1 / n1))
-    z = np.abs(toxic / n1 - (seen - toxic) / n0) / error
-    use = ((seen >= SEEN_IN) & (z >= Z_LEAST))[bucket]
-    columns, bucket = np.unique(bucket[use], return_inverse=True)
-    owner = owner[use]
+    use = (seen >= SEEN_IN) & (np.abs(toxic / n1 - (seen - toxic) / n0) >= Z_LEAST * error)
+    # Again: only the features in use are kept, a small part.
+    buckets, owners, docs = [], [], []
+    sentence = doc = 0
+    for bucket, number, firsts, _, per_text, n in features(pa.array(texts, pa.string())):
+        kept = use[bucket]
+        buckets.append(bucket[kept])
+        owners.append(number[kept] + sentence)
+        docs.append(np.repeat(np.arange(n), per_text) + doc)
+        sentence += len(firsts)
+        doc += n
+    bucket, owner, of_doc = (np.concatenate(x) for x in (buckets, owners, docs))
+    columns, bucket = np.unique(bucket, return_inverse=True)
     # A word counts once in a sentence.
     cells = np.unique(owner * max(len(columns), 1) + bucket)
     owner, bucket = np.divmod(cells, max(len(columns), 1))
@@ -235,8 +241,9 @@ def _scorer(model, score: str, found: str):
         for batch in batches:
             scores, rows = [], []
             for bucket, number, starts, ends, per_text, n in features(batch.column("text")):
-                # A word counts once in a sentence.
-                cells = np.unique(number * (1 << BITS) + bucket)
+                # A word counts once in a sentence; most have no weight.
+                told = weights[bucket] != 0
+                cells = np.unique(number[told] * (1 << BITS) + bucket[told])
                 z = bias + np.bincount(
                     cells >> BITS, weights[cells & ((1 << BITS) - 1)], minlength=len(starts)
                 )
