@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmur.llm import huffman, imatch, jaccard, language, links, mixing, pieces, sharding, toxicity
+from murmur.llm import forest, huffman, imatch, jaccard, language, links, mixing, pieces, sharding, toxicity
 from murmur.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_pages(
         table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
@@ -61,6 +65,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_prefix_forest": op2_prefix_forest,
     "op3_language_id": op3_language_id,
     "op4_url_trust": op4_url_trust,
     "op5_token_huffman": op5_token_huffman,

@@ -1,0 +1,69 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from murmur.llm import forest as A
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, k=20):
+    good = {i: np.array(v, np.float32).astype(float) for i, v in rows
+            if i is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(v)}
+    out = {}
+    for q in good:
+        if q % 20 == 0:
+            scores = sorted(((-float(np.dot(good[q], v)), i) for i, v in good.items() if i != q))
+            out[q] = [(i, -s) for s, i in scores[:k]]
+    return out
+
+
+def run(spark, rows, **options):
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).withColumn("vid", F.lit("x")).withColumn("copy", F.lit(1))
+    out = {}
+    for r in A.search_embeddings(frame, **options).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def recall(got, want):
+    return np.mean([len({i for i, _ in got[q]} & {i for i, _ in w}) / len(w) for q, w in want.items()])
+
+
+@pytest.mark.parametrize("scale", [False, True])
+def test_recall(spark, monkeypatch, scale):
+    monkeypatch.setattr(A, "STRETCH", 100)
+    rng = np.random.default_rng(1)
+    centers = rng.normal(size=(30, 16))
+    x = centers[rng.integers(0, 30, 3000)] + 0.2 * rng.normal(size=(3000, 16))
+    x *= rng.uniform(0.5, 2, size=(3000, 1)) if scale else 1 / np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want = brute(rows)
+    got = run(spark, rows)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert recall(got, want) >= 0.9
+    score = {q: dict(w) for q, w in want.items()}
+    assert all(s == pytest.approx(score[q][i], abs=1e-9) for q, v in got.items() for i, s in v if i in score[q])
+
+
+def test_structureless(spark):
+    x = np.random.default_rng(2).normal(size=(1500, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    assert recall(run(spark, rows), brute(rows)) >= 0.9
+
+
+def test_copies_ties_and_bad_rows(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(60)] + [(i, [0.0, float(i % 3 + 1)]) for i in range(60, 100)]
+    rows += [(200, None), (220, [0.0, 0.0]), (240, [float("nan"), 1.0]), (260, [1.0, None]), (280, [float("inf"), 1.0]),
+             (300, [1.0]), (None, [1.0, 1.0]), (320, [])]
+    want = brute([r for r in rows if r[1] is None or len(r[1]) == 2])
+    got = run(spark, rows)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_small_tables(spark):
+    assert run(spark, []) == {}
+    assert run(spark, [(1, [1.0, 2.0])]) == {}
+    assert run(spark, [(0, [1.0, 2.0])]) == {}
+    assert run(spark, [(0, [1.0, 2.0]), (7, [2.0, 1.0]), (3, [1.0, 2.0])]) == {0: [(3, 5.0), (7, 4.0)]}
