@@ -297,9 +297,8 @@ def score_documents(documents: DataFrame, labels: DataFrame, **options) -> DataF
     )
 
 
-def clean_documents(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents without those predicted toxic; same columns, in place."""
-    model = train(documents, labels, **options)
+def clean_documents(documents: DataFrame, model) -> DataFrame:
+    """The documents of score below 0.5 by a trained model; same columns, in place."""
     rows = documents.select(
         F.struct(*documents.columns).alias("row"), clean_text().alias("text")
     )

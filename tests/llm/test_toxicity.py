@@ -50,7 +50,7 @@ def test_finds_documents_and_sentences(spark, docs):
     spans = [bad["text"].encode()[s.start : s.end].decode().lower() for s in got[bad["doc_id"]].sentences]
     assert any("scum" in s or "vile" in s for s in spans)
     assert got[2000].score == got[2001].score == 0 and got[None].predicted == 1 and got[2002].predicted == 1
-    left = T.clean_documents(frame, labels)
+    left = T.clean_documents(frame, T.train(frame, labels))
     assert left.columns == frame.columns
     assert {r.doc_id for r in left.collect()} == {i for i, r in got.items() if not r.predicted}
 
