@@ -54,10 +54,8 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 DAY_NAME_FORMAT = "EEEE"
 
-# Small polarity lexicon, word -> polarity in [-1, 1]. Pass your own for real use.
-DEFAULT_LEXICON = {
-    "amazing": 0.6, "awful": -1.0, "bad": -0.7, "best": 1.0, "better": 0.5,
-    "good": 0.7, "great": 0.8, "happy": 0.8, "hate": -0.8, "horrible": -1.0,
-    "love": 0.5, "nice": 0.6, "poor": -0.4, "sad": -0.5, "terrible": -1.0,
-    "useful": 0.3, "useless": -0.5, "wonderful": 1.0, "worse": -0.4, "worst": -1.0,
-}
+# Escapes left after decoding, and angle brackets, with what they become, in this order.
+LEFT_ESCAPES = [
+    ("&gt;", ""), ("&lt;", " "), ("&amp;", "&"), ("&#039;", "'"), ("&quot;", '"'),
+    (">", ""), ("<", ""),
+]

@@ -29,9 +29,9 @@ def numeric_coerce(text: Column) -> Column:
 def json_field_or_default(
     data: Column, name: str, default: float = 0, dtype: str = "double"
 ) -> Column:
-    """Numeric member of a JSON object, `default` if absent, null or malformed."""
+    """Numeric member of a JSON object, `default` if absent, null, malformed or out of range."""
     return F.coalesce(
-        numeric_coerce(json_field(data, name)).cast(dtype), F.lit(default).cast(dtype)
+        numeric_coerce(json_field(data, name)).try_cast(dtype), F.lit(default).cast(dtype)
     )
 
 

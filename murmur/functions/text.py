@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import zlib
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.functions.fixed import AI_KEYWORDS, STOP_WORDS, WORD_PATTERN
+from murmur.functions.fixed import AI_KEYWORDS, LEFT_ESCAPES, STOP_WORDS, WORD_PATTERN
 from murmur.functions.scalars import let, numeric_coerce
 
 # Largest dictionary lexicon that is broadcast.
@@ -33,8 +34,19 @@ def _literal_map(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
 
 
-def _named_characters() -> Column:
-    return _literal_map({name: chr(code) for name, code in name2codepoint.items()})
+# The names are dealt into this many maps, as a literal map is searched from its start.
+NAME_MAPS = 64
+
+
+def _named_character(name: Column) -> Column:
+    """Characters of an HTML 5 name, null if there is no such name."""
+    maps: list[dict[str, str]] = [{} for _ in range(NAME_MAPS)]
+    for known, characters in html5.items():
+        known = known.rstrip(";")
+        maps[zlib.crc32(known.encode()) % NAME_MAPS][known] = characters
+    dealt = F.array(*[_literal_map(m) for m in maps])
+    place = F.pmod(F.crc32(F.encode(name, "UTF-8")), F.lit(NAME_MAPS)).cast("int")
+    return F.element_at(F.get(dealt, place), name)
 
 
 def _c1_characters() -> Column:
@@ -64,12 +76,12 @@ def _decode_reference(piece: Column) -> Column:
     """`piece` is the text after an ampersand."""
     decimal = F.regexp_extract(piece, r"^#([0-9]{1,9});?", 1)
     hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9A-Fa-f]{1,7});?", 1)
-    name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1)
-    rest = F.regexp_replace(piece, r"^(#[0-9]{1,9};?|#[xX][0-9A-Fa-f]{1,7};?|[A-Za-z0-9]+;)", "")
+    name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31})(?![A-Za-z0-9])", 1)
+    rest = F.regexp_replace(piece, r"^(#[0-9]{1,9};?|#[xX][0-9A-Fa-f]{1,7};?|[A-Za-z0-9]+;?)", "")
     char = (
         F.when(decimal != "", _character(decimal.try_cast("bigint")))
         .when(hexadecimal != "", _character(F.conv(hexadecimal, 16, 10).try_cast("bigint")))
-        .when(name != "", F.element_at(_named_characters(), name))
+        .when(name != "", _named_character(name))
     )
     return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
 
@@ -77,7 +89,8 @@ def _decode_reference(piece: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """Decode character references once, left to right.
 
-    Numeric references and the HTML 4 names are known; other names stay as text.
+    Numeric references and the HTML 5 names are known, closed by a semicolon or by anything
+    that is no letter or digit; other names stay as text.
     """
 
     def decoded(pieces: Column) -> Column:
@@ -105,15 +118,7 @@ def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink")
     ):
         text = F.regexp_replace(text, pattern, "")
     text = decode_entities(text)
-    for escape, plain in (
-        ("&gt;", ""),
-        ("&lt;", " "),
-        ("&amp;", "&"),
-        ("&#039;", "'"),
-        ("&quot;", '"'),
-        (">", ""),
-        ("<", ""),
-    ):
+    for escape, plain in LEFT_ESCAPES:
         text = F.replace(text, F.lit(escape), F.lit(plain))
     lines = F.transform(
         F.split(text, "\n"), lambda line: F.trim(F.regexp_replace(line, SPACES, " "))

@@ -80,7 +80,7 @@ def stream_dead_threads(spark, folder):
     day = F.unix_timestamp(F.to_date(F.timestamp_seconds("snapshot_at")).cast("timestamp"))
     adapters.catalog_payloads(spark, folder).withColumn("snapshot_at", day).write.json(catalogs)
     _drain(ingest.stream_dead_threads(spark, catalogs, out, state, checkpoint))
-    return spark.read.parquet(out).drop("batch_id")
+    return ingest.read_dead_threads(spark, out, state)
 
 
 @query("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -33,6 +35,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def check_local(master: str) -> None:
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder; {master} has several machines")
+
+
 _local_scratch: str | None = None
 
 
@@ -40,13 +47,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables.
 
     The parent is the folder the cluster names in ``spark.checkpoint.dir``,
-    which all executors can reach. A machine-local folder is used only where
-    that setting is absent (tests, local runs).
+    which all executors can reach. Where that setting is absent, a local master
+    (tests, local runs) gets a folder of this machine, removed at exit; any other
+    master is refused, since each executor would write to its own disk.
     """
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        check_local(spark.conf.get("spark.master", "local"))
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="murmur-")
+            atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
         base = _local_scratch
     return f"{base.rstrip('/')}/murmur/{name}-{uuid.uuid4().hex}"

@@ -87,22 +87,34 @@ def write_posts(new_rows: DataFrame, path: str, partition_col: str = "board") ->
 # --- keyed tables fed batch by batch ---------------------------------------------------
 
 
-def write_batch(frame: DataFrame, path: str, batch_id: int) -> None:
-    """Store the rows of a micro-batch under its id; a repeated batch replaces itself."""
-    frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(frame: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """Store the rows of a micro-batch under its stream and id; a repeated batch replaces itself.
+
+    Batch ids start anew with every checkpoint, so the stream tells them apart.
+    """
+    frame.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch_id={batch_id}")
 
 
-def read_batch(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+def read_batch(
+    spark: SparkSession, path: str, schema: str, stream: str, batch_id: int
+) -> DataFrame:
     """The rows one batch stored, none if it has not run."""
-    return _read_or_empty(spark, f"{path}/batch_id={batch_id}", schema)
+    return _read_or_empty(spark, f"{path}/stream={stream}/batch_id={batch_id}", schema)
 
 
 def read_batches(
-    spark: SparkSession, path: str, schema: str, before: int | None = None
+    spark: SparkSession, path: str, schema: str, without: tuple[str, int] | None = None
 ) -> DataFrame:
-    """All stored rows with their `batch_id`, or those of batches before one."""
-    stored = _read_or_empty(spark, path, f"{schema}, batch_id bigint")
-    return stored if before is None else stored.where(F.col("batch_id") < before)
+    """All stored rows with their `stream` and `batch_id`.
+
+    `without` names the stream and batch at hand: what it and later batches of its stream
+    stored, in a run that did not end, is left out.
+    """
+    stored = _read_or_empty(spark, path, f"{schema}, stream string, batch_id bigint")
+    if without is None:
+        return stored
+    stream, batch_id = without
+    return stored.where((F.col("stream") != stream) | (F.col("batch_id") < batch_id))
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

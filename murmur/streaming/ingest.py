@@ -2,14 +2,19 @@
 
 Files dropped into a folder take the place of polling. Every query runs with an
 ``availableNow`` trigger by default, so it drains what is there and stops; pass
-another trigger for a query that stays up. Batches are stored under their id
-and replace themselves when run again, so restarts do not repeat rows.
+another trigger for a query that stays up. Batches are stored under the id of
+their stream (kept in its checkpoint) and their own, and replace themselves when
+run again: restarts do not repeat rows, and another stream or a new checkpoint
+adds to what is stored. Payloads that cannot be read are stored beside the
+table, under its path with ``_unreadable`` at the end.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +24,7 @@ from murmur.schemas import CATALOG_FILE, LISTING_FILE, POST_FIELDS, THREAD_FILE
 from murmur.session import use_utc
 from murmur.sources.payloads import explode_catalog_threads, explode_listing, explode_thread_posts
 from murmur.sources.sinks import (
+    append_new_posts,
     read_batch,
     read_batches,
     upsert_latest,
@@ -29,24 +35,30 @@ from murmur.sources.tables import expose_json_fields
 
 THREAD_KEYS = ["board", "thread_number", "post_number"]
 DRAIN = {"availableNow": True}
+FILE_AGE = "36500d"
 
 
 def _files(
     spark: SparkSession, path: str, schema: str, fmt: str = "json", per_batch: int | None = None
 ) -> DataFrame:
-    reader = use_utc(spark).readStream.format(fmt).schema(schema)
+    # Spark leaves out files that are much older than the newest; copies and backfills are.
+    reader = use_utc(spark).readStream.format(fmt).schema(schema).option("maxFileAge", FILE_AGE)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
     return reader.load(path)
 
 
 def _each_batch(frame: DataFrame, checkpoint: str, work, trigger: dict, mode: str = "append"):
-    """Runs `work` on each micro-batch, which is read once however often it is used."""
+    """Runs `work(batch, stream, batch_id)` on each micro-batch, which is read once however
+    often it is used."""
+    known: list[str] = []
 
     def held(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(stream_id(batch.sparkSession, checkpoint))
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            work(batch, batch_id)
+            work(batch, known[0], batch_id)
         finally:
             batch.unpersist()
 
@@ -59,35 +71,51 @@ def _each_batch(frame: DataFrame, checkpoint: str, work, trigger: dict, mode: st
     )
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave to the stream of this checkpoint; it lasts over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _keep_unreadable(
+    rows: DataFrame, unreadable: Column, out_path: str, stream: str, batch_id: int
+) -> DataFrame:
+    """Stores the rows that cannot be read beside the table and returns the others."""
+    flag = F.coalesce(unreadable, F.lit(False))
+    write_batch(rows.where(flag), f"{out_path}_unreadable", stream, batch_id)
+    return rows.where(~flag)
+
+
 # --- posts from threads ------------------------------------------------------------------
 
 
+THREAD_KEY_ROWS = "board string, thread_number bigint, post_number bigint"
+
+
 def stream_ingest_posts(
     spark: SparkSession,
     threads_path: str,
     out_path: str,
     checkpoint: str,
-    horizon: str = "7 days",
     per_batch: int | None = None,
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
-    """Thread files to cleaned posts, each post once.
+    """Thread files to cleaned posts, each post once, whenever and in whatever file it comes.
 
-    A post seen again within `horizon` of its arrival is dropped. The watermark
-    follows the arrival of the files, not the age of the posts, so an old post
-    in a new file is never late.
+    A batch is held against the keys already stored (three narrow columns of the table), so
+    neither the age of a file nor that of a post matters, and no post is stored twice.
     """
+
+    def work(batch: DataFrame, stream: str, batch_id: int) -> None:
+        readable = _keep_unreadable(
+            batch, F.try_parse_json("payload").isNull(), out_path, stream, batch_id
+        )
+        posts = explode_thread_posts(readable, ["board", "thread_number", "ingested_at"])
+        held = read_batches(batch.sparkSession, out_path, THREAD_KEY_ROWS, (stream, batch_id))
+        write_batch(append_new_posts(held, posts, THREAD_KEYS, "ingested_at"), out_path, stream, batch_id)
+
     threads = _files(spark, threads_path, THREAD_FILE, per_batch=per_batch)
     arrived = threads.withColumn("ingested_at", F.col("_metadata.file_modification_time"))
-    posts = explode_thread_posts(arrived, ["board", "thread_number", "ingested_at"])
-    unique = posts.withWatermark("ingested_at", horizon).dropDuplicatesWithinWatermark(THREAD_KEYS)
-    return (
-        unique.writeStream.format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    return _each_batch(arrived, checkpoint, work, trigger)
 
 
 # --- keyed tables from listings --------------------------------------------------------------
@@ -113,11 +141,14 @@ def stream_upsert_posts(
     what it brings, not the size of the table.
     """
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        rows = explode_listing(batch, ["subreddit", "fetched_at"], "t3").select(
+    def work(batch: DataFrame, stream: str, batch_id: int) -> None:
+        readable = _keep_unreadable(
+            batch, F.try_parse_json("payload").isNull(), out_path, stream, batch_id
+        )
+        rows = explode_listing(readable, ["subreddit", "fetched_at"], "t3").select(
             F.col("id").alias("post_id"), "subreddit", "data", "fetched_at"
         )
-        write_batch(rows, out_path, batch_id)
+        write_batch(rows, out_path, stream, batch_id)
 
     listings = _files(spark, listings_path, LISTING_FILE, per_batch=per_batch)
     return _each_batch(listings, checkpoint, work, trigger)
@@ -125,7 +156,7 @@ def stream_upsert_posts(
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """Latest version of every post, with typed columns."""
-    stored = read_batches(spark, path, POST_ROWS).drop("batch_id")
+    stored = read_batches(spark, path, POST_ROWS).drop("stream", "batch_id")
     latest = upsert_latest(stored.limit(0), stored, ["post_id"], "fetched_at")
     return expose_json_fields(latest, POST_FIELDS)
 
@@ -138,15 +169,23 @@ def stream_upsert(
     per_batch: int | None = None,
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
-    """Comment listings (children of kind ``t1``, with nested replies) into a keyed table."""
+    """Comment listings (children of kind ``t1``, with nested replies) into a keyed table.
+
+    Spark's JSON parser takes about 200 levels of replies; deeper listings are stored whole
+    beside the table.
+    """
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        trees = explode_listing(batch, ["post_id", "fetched_at"], "t1")
+    def work(batch: DataFrame, stream: str, batch_id: int) -> None:
+        readable = _keep_unreadable(
+            batch, F.try_parse_json("payload").isNull(), out_path, stream, batch_id
+        )
+        trees = explode_listing(readable, ["post_id", "fetched_at"], "t1")
         rows = flatten_comment_tree(trees, "data", keep=("fetched_at",))
         cleaned = clean_html_text(F.col("comment_text")).alias("cleaned_text")
         write_batch(
             rows.select("id", "post_id", "parent_id", "data", cleaned, "fetched_at"),
             out_path,
+            stream,
             batch_id,
         )
 
@@ -156,7 +195,7 @@ def stream_upsert(
 
 def read_comments(spark: SparkSession, path: str) -> DataFrame:
     """Every comment once: latest data, text as first stored."""
-    stored = read_batches(spark, path, COMMENT_ROWS).drop("batch_id")
+    stored = read_batches(spark, path, COMMENT_ROWS).drop("stream", "batch_id")
     return upsert_partial(
         stored.limit(0),
         stored,
@@ -170,6 +209,9 @@ def read_comments(spark: SparkSession, path: str) -> DataFrame:
 # --- threads that disappear ---------------------------------------------------------------------
 
 
+DEAD_ROWS = "board string, snapshot_at bigint, thread_number bigint"
+
+
 def dead_between_snapshots(catalogs: DataFrame) -> DataFrame:
     """Threads of each catalog snapshot that the next one of the same board lacks.
 
@@ -198,30 +240,59 @@ def stream_dead_threads(
 ) -> StreamingQuery:
     """Catalog files to the threads that disappeared between consecutive snapshots.
 
-    The state is the last snapshot of each board. Files must arrive in the order
-    of their snapshots, and a snapshot must not be spread over batches.
+    A snapshot may be spread over files and batches: it is held back until a later one of
+    its board has begun, and only then compared with the one before. `read_dead_threads`
+    also gives what the snapshots still held show so far. Files must arrive in the order of
+    their snapshots. The state is the last two snapshots of each board; a new stream starts
+    from what an earlier one left.
     """
 
-    def work(batch: DataFrame, batch_id: int) -> None:
+    def work(batch: DataFrame, stream: str, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Each batch stores the newest snapshot of every board, so the last one says it all.
-        held = read_batch(spark, state_path, CATALOG_FILE, batch_id - 1)
-        seen = newest_snapshot(held).unionByName(batch)
-        write_batch(dead_between_snapshots(seen), out_path, batch_id)
-        write_batch(newest_snapshot(seen), state_path, batch_id)
+        held = _open_snapshots(spark, state_path, stream, batch_id)
+        # A catalog that cannot be read must not pass for an empty one.
+        readable = _keep_unreadable(
+            batch, F.try_parse_json("payload").isNull(), out_path, stream, batch_id
+        )
+        seen = held.unionByName(readable).distinct()
+        last = seen.groupBy("board").agg(F.max("snapshot_at").alias("snapshot_at"))
+        closed = seen.join(last, ["board", "snapshot_at"], "left_anti")
+        write_batch(dead_between_snapshots(closed), out_path, stream, batch_id)
+        write_batch(newest_snapshots(seen, 2), state_path, stream, batch_id)
 
     catalogs = _files(spark, catalogs_path, CATALOG_FILE, per_batch=per_batch)
     return _each_batch(catalogs, checkpoint, work, trigger)
 
 
-def newest_snapshot(catalogs: DataFrame) -> DataFrame:
-    newest = catalogs.groupBy("board").agg(F.max("snapshot_at").alias("snapshot_at"))
-    return catalogs.join(newest, ["board", "snapshot_at"], "left_semi").distinct()
+def _open_snapshots(
+    spark: SparkSession, state_path: str, stream: str | None = None, batch_id: int = 0
+) -> DataFrame:
+    """The last two snapshots of each board before a batch (or so far)."""
+    if stream is not None and batch_id > 0:
+        # Each batch stores them for all boards, so the one before says it all.
+        return read_batch(spark, state_path, CATALOG_FILE, stream, batch_id - 1)
+    without = None if stream is None else (stream, batch_id)
+    stored = read_batches(spark, state_path, CATALOG_FILE, without).drop("stream", "batch_id")
+    return newest_snapshots(stored.distinct(), 2)
+
+
+def newest_snapshots(catalogs: DataFrame, n: int) -> DataFrame:
+    """All catalogs of the `n` latest snapshots of each board."""
+    times = catalogs.select("board", "snapshot_at").distinct()
+    latest = F.row_number().over(Window.partitionBy("board").orderBy(F.desc("snapshot_at")))
+    kept = times.withColumn("_n", latest).where(F.col("_n") <= n).drop("_n")
+    return catalogs.join(kept, ["board", "snapshot_at"], "left_semi")
+
+
+def read_dead_threads(spark: SparkSession, out_path: str, state_path: str) -> DataFrame:
+    """board, snapshot_at, thread_number of all dead threads, the open snapshots' included."""
+    stored = read_batches(spark, out_path, DEAD_ROWS).drop("stream", "batch_id")
+    return stored.unionByName(dead_between_snapshots(_open_snapshots(spark, state_path))).distinct()
 
 
 # --- comments since the last crawl ------------------------------------------------------------------
 
-MARKER_ROWS = "post_id string, last_comment_id string"
+MARKER_ROWS = "post_id string, last_comment_id string, move bigint"
 NEW_ROWS = "post_id string, id string, pos bigint, data string"
 
 
@@ -239,27 +310,35 @@ def stream_new_comments(
     A batch holds at most one listing per post, newest comment first.
     """
 
-    def work(batch: DataFrame, batch_id: int) -> None:
+    def work(batch: DataFrame, stream: str, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = read_batches(spark, state_path, MARKER_ROWS, before=batch_id)
+        held = read_batches(spark, state_path, MARKER_ROWS, (stream, batch_id))
         state = current_markers(held)
         listed = explode_listing(batch, ["post_id"]).select(
             "post_id", "id", F.col("pos").cast("bigint").alias("pos"), "data"
         )
         fresh = new_comments_since(listed, state)
-        write_batch(fresh, out_path, batch_id)
-        stored = read_batch(spark, out_path, NEW_ROWS, batch_id)
+        write_batch(fresh, out_path, stream, batch_id)
+        stored = read_batch(spark, out_path, NEW_ROWS, stream, batch_id)
         touched = state.join(stored.select("post_id").distinct(), "post_id", "left_semi")
-        write_batch(next_markers(stored, touched), state_path, batch_id)
+        # A move is one later than the last of its post, whichever stream made that.
+        moves = held.groupBy("post_id").agg((F.max("move") + 1).alias("move"))
+        moved = next_markers(stored, touched).join(moves, "post_id", "left")
+        write_batch(
+            moved.withColumn("move", F.coalesce("move", F.lit(0).cast("bigint"))),
+            state_path,
+            stream,
+            batch_id,
+        )
 
     listings = _files(spark, listings_path, LISTING_FILE, per_batch=per_batch)
     return _each_batch(listings, checkpoint, work, trigger)
 
 
 def current_markers(held: DataFrame) -> DataFrame:
-    """Marker of each post from the last batch that moved it."""
+    """Marker of each post after its last move."""
     return held.groupBy("post_id").agg(
-        F.max(F.struct("batch_id", "last_comment_id"))["last_comment_id"].alias("last_comment_id")
+        F.max(F.struct("move", "last_comment_id"))["last_comment_id"].alias("last_comment_id")
     )
 
 
@@ -292,14 +371,16 @@ def stream_hourly_counts(
         .select("board", F.col("_w.start").cast("timestamp_ntz").alias("hour"), "post_count")
     )
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, out_path, batch_id)
+    def work(batch: DataFrame, stream: str, batch_id: int) -> None:
+        write_batch(batch, out_path, stream, batch_id)
 
     return _each_batch(counts, checkpoint, work, trigger, mode="update")
 
 
 def read_hourly_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Last value of each stream, added up over streams: each counts what it has read."""
     stored = read_batches(spark, path, HOUR_ROWS)
-    return stored.groupBy("board", "hour").agg(
+    last = stored.groupBy("stream", "board", "hour").agg(
         F.max(F.struct("batch_id", "post_count"))["post_count"].alias("post_count")
     )
+    return last.groupBy("board", "hour").agg(F.sum("post_count").alias("post_count"))

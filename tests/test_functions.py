@@ -192,3 +192,16 @@ def test_node_size(one):
 def test_preview_and_relevance(one):
     assert one(S.preview(F.col("t")), t="x" * 300) == "x" * 200 + "..."
     assert one(S.relevance(F.col("d")), d=0.256) == 0.74
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [("it&apos;s", "it's"), ("a &amp b", "a & b"), ("x &copy y", "x \u00a9 y"), ("&copyright;", "&copyright;"),
+     ("&CounterClockwiseContourIntegral;", "\u2233"), ("&fjlig;", "fj"), ("&nosuch;", "&nosuch;"), ("&hellip", "\u2026")],
+)
+def test_names_of_html_5(one, html, expected):
+    assert one(T.clean_html_text(F.col("h")), h=html) == expected
+
+
+def test_number_out_of_range_gives_the_default(one):
+    assert one(S.json_field_or_default(F.col("d"), "ups", 0, "int"), d='{"ups":"3000000000"}') == 0

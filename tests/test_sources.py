@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from murmur.schemas import CHAN_FIELDS, COMMENT_FIELDS, POST_FIELDS
@@ -171,3 +172,13 @@ def test_scratch_follows_the_checkpoint_setting(spark):
             get = staticmethod(lambda key, default=None: "/shared/ckpt/")
 
     assert scratch_path(Named, "x").startswith("/shared/ckpt/murmur/x-")
+
+
+def test_local_scratch_is_refused_on_a_cluster():
+    from murmur.session import check_local
+
+    for master in ("local", "local[8]", "local[*]"):
+        check_local(master)
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,512]", "k8s://x"):
+        with pytest.raises(ValueError):
+            check_local(master)

@@ -1,4 +1,5 @@
 import json
+import os
 import time
 
 import pytest
@@ -96,7 +97,7 @@ def test_dead_threads_across_batches(spark, tmp_path, per_batch):
     ingest.stream_dead_threads(
         spark, str(inbox), out, state, check, per_batch=per_batch
     ).awaitTermination()
-    got = rows(spark.read.parquet(out).select("board", "snapshot_at", "thread_number"))
+    got = rows(ingest.read_dead_threads(spark, out, state))
     assert got == [("g", 2, 1), ("g", 2, 3), ("g", 3, 2), ("g", 3, 4)]
 
 
@@ -138,3 +139,61 @@ def test_hourly_counts_equal_the_batch(spark, tmp_path, lateness):
         for r in hourly_counts(batch.where(F.col("board") == b)).collect()
     }
     assert {tuple(r) for r in got.select("board", "hour", "post_count").collect()} == expected
+
+
+def test_late_files_and_second_streams_add(spark, tmp_path):
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+
+    def run(name):
+        ingest.stream_ingest_posts(spark, str(inbox), out, str(tmp_path / name), per_batch=1).awaitTermination()
+        return rows(spark.read.parquet(out).select("board", "post_number"))
+
+    drop(inbox, "1.json", thread("g", 1, (1, 10, "a")))
+    assert run("one") == [("g", 1)]
+    drop(inbox, "2.json", thread("g", 1, (2, 5, "late")), {"board": "g", "thread_number": 3, "payload": "nope"})
+    old = time.time() - 10 * 86400
+    os.utime(inbox / "2.json", (old, old))
+    assert run("one") == [("g", 1), ("g", 2)]
+    broken = spark.read.parquet(f"{out}_unreadable")
+    assert [r.payload for r in broken.collect()] == ["nope"]
+    # a new checkpoint reads everything again and stores nothing twice
+    drop(inbox, "3.json", thread("g", 1, (3, 12, "new")))
+    assert run("two") == [("g", 1), ("g", 2), ("g", 3)]
+
+
+def test_keyed_tables_of_two_streams_add(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for name, text in (("x", "one"), ("y", "two")):
+        drop(tmp_path / name, "1.json", listing("p", 1, comment(name, text)))
+        ingest.stream_upsert(spark, str(tmp_path / name), out, str(tmp_path / f"c{name}")).awaitTermination()
+    assert sorted(r.id for r in ingest.read_comments(spark, out).collect()) == ["x", "y"]
+
+
+def test_trees_too_deep_are_kept_beside_the_table(spark, tmp_path):
+    deep = comment("d240", "leaf")
+    for n in range(239, -1, -1):
+        deep = comment(f"d{n}", "x", deep)
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    drop(inbox, "1.json", listing("p", 1, comment("a", "flat")), listing("q", 1, deep))
+    ingest.stream_upsert(spark, str(inbox), out, str(tmp_path / "c")).awaitTermination()
+    assert [r.id for r in ingest.read_comments(spark, out).collect()] == ["a"]
+    assert [r.post_id for r in spark.read.parquet(f"{out}_unreadable").collect()] == ["q"]
+
+
+def test_a_snapshot_may_span_batches(spark, tmp_path):
+    inbox = tmp_path / "in"
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    drop(inbox, "1.json", catalog("g", 1, 1, 2, 3))
+    drop(inbox, "2.json", catalog("g", 2, 2))
+    drop(inbox, "3.json", catalog("g", 2, 3))
+    drop(inbox, "4.json", {"board": "g", "snapshot_at": 3, "payload": "broken"})
+
+    def run(name):
+        ingest.stream_dead_threads(spark, str(inbox), out, state, str(tmp_path / name), per_batch=1).awaitTermination()
+        return rows(ingest.read_dead_threads(spark, out, state))
+
+    assert run("one") == [("g", 2, 1)]
+    # another stream goes on from the stored snapshots
+    inbox = tmp_path / "in2"
+    drop(inbox, "5.json", catalog("g", 4, 3))
+    assert run("two") == [("g", 2, 1), ("g", 4, 2)]
