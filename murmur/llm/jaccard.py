@@ -116,49 +116,47 @@ def overlap_bound(x: bytes, y: bytes, a: int, b: int) -> int:
     return (a + b - int(np.bitwise_count(left ^ right).sum())) // 2
 
 
-def _sets(frequent: np.ndarray):
+def _classes(batches):
+    """(doc_id, number of shingles, class) of each text."""
+    for batch in batches:
+        n, node = [], []
+        for shingles in shingle_sets(batch.column("text")):
+            n.append(len(shingles))
+            node.append(class_of(shingles) if len(shingles) else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64())],
+            ["doc_id", "n", "node"],
+        )
+
+
+def _tiles(frequent: np.ndarray):
+    """(tile, node) for each shingle of the prefix and band of the size."""
     by_value = np.sort(frequent)
-    rank = np.argsort(np.argsort(frequent)) if len(frequent) else np.zeros(0, np.int64)
-    order = np.empty(len(frequent), np.int64)
-    order[rank] = np.arange(len(frequent))
+    rank = np.argsort(frequent)  # place in the order of each, by value
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            n, node, prefix = [], [], []
+            tiles, nodes = [], []
             for shingles in shingle_sets(batch.column("text")):
-                n.append(len(shingles))
-                node.append(class_of(shingles) if len(shingles) else None)
+                node = class_of(shingles) if len(shingles) else None
                 # A set that this task has seen before makes no tiles anew.
-                fresh = len(shingles) > 0 and node[-1] not in seen
-                prefix.append(prefix_of(shingles, by_value, order).tobytes() if fresh else None)
-                if fresh:
-                    seen.add(node[-1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, pa.binary())],
-                ["doc_id", "n", "node", "prefix"],
-            )
+                if node is None or node in seen:
+                    continue
+                seen.add(node)
+                prefix = prefix_of(shingles, by_value, rank)
+                for band in bands_of(len(shingles)):
+                    tiles.append(mixed(prefix + np.uint64(band)))
+                    nodes.append(np.full(len(prefix), node, np.int64))
+            if tiles:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tiles).view(np.int64)), pa.array(np.concatenate(nodes))],
+                    ["tile", "node"],
+                )
 
     return run
 
 
-def _tiles(batches):
-    """(tile, node, n) for each shingle of the prefix and band of the size."""
-    for batch in batches:
-        tiles, nodes, sizes = [], [], []
-        for node, n, prefix in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "prefix"))):
-            shingles = np.frombuffer(prefix, np.uint64)
-            for band in bands_of(n):
-                tiles.append(mixed(shingles + np.uint64(band)))
-                nodes.append(np.full(len(shingles), node, np.int64))
-                sizes.append(np.full(len(shingles), n, np.int64))
-        if tiles:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tiles).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
-                ["tile", "node", "n"],
-            )
-
-
 def _shared(batches):
     """Of rows sorted by tile and node, those of tiles with two nodes or more, with the first.
 
@@ -166,18 +164,18 @@ def _shared(batches):
     """
     held: tuple | None = None  # a row alone in its tile so far
     last = (None, None)
-    lead = (None, None, None)  # tile, first node, its size
+    lead = (None, None)  # tile and its first node
     for batch in batches:
-        tile, node, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "node", "n"))
+        tile, node = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "node"))
         if not len(tile):
             continue
         again = np.zeros(len(tile), bool)
         again[1:] = (tile[1:] == tile[:-1]) & (node[1:] == node[:-1])
         again[0] = (tile[0], node[0]) == last
         last = (tile[-1], node[-1])
-        tile, node, n = tile[~again], node[~again], n[~again]
+        tile, node = tile[~again], node[~again]
         if held is not None:
-            tile, node, n = (np.concatenate([[h], x]) for h, x in zip(held, (tile, node, n)))
+            tile, node = (np.concatenate([[h], x]) for h, x in zip(held, (tile, node)))
             held = None
         if not len(tile):
             continue
@@ -185,27 +183,23 @@ def _shared(batches):
         new[1:] = tile[1:] != tile[:-1]
         begin = np.flatnonzero(new)
         count = np.diff(np.append(begin, len(tile)))
-        first = np.repeat(begin, count)
-        leader, leader_n = node[first], n[first]
-        going_on = tile[0] == lead[0]
-        if going_on:
-            leader[: count[0]], leader_n[: count[0]] = lead[1], lead[2]
+        leader = node[np.repeat(begin, count)]
         keep = np.repeat(count > 1, count)
-        if going_on:
+        if tile[0] == lead[0]:
+            leader[: count[0]] = lead[1]
             keep[: count[0]] = True
         if count[-1] == 1 and not keep[-1]:
-            held = (tile[-1], node[-1], n[-1])
-            lead = (None, None, None)
+            held = (tile[-1], node[-1])
+            lead = (None, None)
         else:
-            lead = (tile[-1], leader[-1], leader_n[-1])
+            lead = (tile[-1], leader[-1])
         if keep.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[keep]) for x in (tile, node, n, leader, leader_n)],
-                ["tile", "node", "n", "leader", "leader_n"],
+                [pa.array(x[keep]) for x in (tile, node, leader)], ["tile", "node", "leader"]
             )
 
 
-SHARED = "tile long, node long, n long, leader long, leader_n long"
+SHARED = "tile long, node long, leader long"
 
 
 def _arrays(batches):
@@ -277,14 +271,11 @@ def _compare(batches):
         maps = np.stack([folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in rows])
         maps = maps.view(np.uint64)
         n, node, component, block = (np.array([r[c] for r in rows], np.int64) for c in ("n", "node", "component", "block"))
-        leader = rows[0]["leader"]
         i, j = rows[0]["i"], rows[0]["j"]
         right = np.flatnonzero(block == j)
         for at in np.flatnonzero(block == i):
             to = right[right > at] if i == j else right
             to = to[component[to] != component[at]]
-            # Pairs with the tile's leader are tested already.
-            to = to[(node[to] != leader)] if node[at] != leader else to[:0]
             to = to[PART_OF * np.minimum(n[to], n[at]) >= PART * np.maximum(n[to], n[at])]
             if len(to):
                 differ = np.bitwise_count(maps[to] ^ maps[at]).sum(axis=1, dtype=np.int64)
@@ -319,8 +310,8 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     2. The first shingles of a set in a common order, rarest first, and the band of its size
        make its tiles: linked sets share one. Tiles with a single class are dropped in the
        stream of sorted rows.
-    3. In each tile every class is tested against the tile's first one. That is linear in
-       the rows, and joins large groups of near copies into components.
+    3. Each class is tested against the class that comes first in most of its tiles. That
+       is linear in the classes, and joins large groups of near copies into components.
     4. Tiles that still hold several components are compared in blocks, across components
        only; nothing linked is missed, and nothing already joined is compared again.
     Bitmaps bound each overlap from above before the sorted arrays are intersected.
@@ -331,12 +322,11 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     frequent = frequent_shingles(texts)
-    sets = stored(texts.mapInArrow(_sets(frequent), "doc_id long, n long, node long, prefix binary"), f"{name}-sets")
-    rows = sets.select("doc_id", "n", "node")
+    rows = stored(texts.mapInArrow(_classes, "doc_id long, n long, node long"), f"{name}-classes")
     shared = stored(
-        sets.where("prefix is not null and doc_id is not null")
-        .select("node", "n", "prefix")
-        .mapInArrow(_tiles, "tile long, node long, n long")
+        texts.where("doc_id is not null")
+        .select("text")
+        .mapInArrow(_tiles(frequent), "tile long, node long")
         .repartition(partitions(spark), "tile")
         .sortWithinPartitions("tile", "node")
         .mapInArrow(_shared, SHARED),
@@ -353,8 +343,16 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         .mapInArrow(_arrays, "node long, n long, bitmap binary, shingles binary"),
         f"{name}-arrays",
     )
-    near = f"{PART_OF} * least(n, leader_n) >= {PART} * greatest(n, leader_n)"
-    first = shared.where(f"node != leader and {near}").select(*_ordered("node", "leader")).distinct()
+    # The first class of most of a class's tiles: one test for each class.
+    first = (
+        shared.where("node != leader")
+        .groupBy("node", "leader")
+        .agg(F.count(F.lit(1)).alias("tiles"))
+        .groupBy("node")
+        .agg(F.max_by("leader", F.struct("tiles", "leader")).alias("leader"))
+        .select(*_ordered("node", "leader"))
+        .distinct()
+    )
     links = stored(verified(first, arrays), f"{name}-links")
     labels = components(links, f"{name}-components")
     # What is left: tiles whose classes are in more than one component.
@@ -362,7 +360,7 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     open_ = (
         owned.groupBy("tile")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows"))
-        .where("lo != hi and rows > 2")
+        .where("lo != hi")
         .select("tile", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
     )
     cut = (
@@ -371,8 +369,8 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .select("tile", "i", "j", "block", "node", "n", "leader", "component")
-        .join(arrays.select("node", "bitmap"), "node")
+        .select("tile", "i", "j", "block", "node", "component")
+        .join(arrays.select("node", "n", "bitmap"), "node")
         .repartition(partitions(spark), "tile", "i", "j")
         .sortWithinPartitions("tile", "i", "j")
         .mapInArrow(_compare, "a long, b long")
