@@ -85,10 +85,10 @@ def interaction_counts(
     authors = _network_posts(posts, bots)
     hot = hot_keys(human, ["post_id"], rows_per_task, ["id"])
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    said = said.join(F.broadcast(hot), "post_id", "left").withColumn(
+    said = said.join(hot, "post_id", "left").withColumn(
         "_salt", F.pmod(F.xxhash64("comment_author"), parts.cast("bigint")).cast("int")
     )
-    authors = authors.join(F.broadcast(hot), "post_id", "left").withColumn(
+    authors = authors.join(hot, "post_id", "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     return said.drop("_parts").join(authors.drop("_parts"), ["post_id", "_salt"]).select(

@@ -5,19 +5,12 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    IDF,
-    BucketedRandomProjectionLSH,
-    BucketedRandomProjectionLSHModel,
-    HashingTF,
-    Normalizer,
-)
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,8 +25,10 @@ from murmur.operators.topics import TOPICS, topic_filter
 # Functions sent to tasks carry their code, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Questions that travel to every task in one piece; more are asked in several passes.
+# Questions that travel to every task in one piece; more meet the collection in blocks.
 QUERIES_PER_PASS = 2_000
+# Hits that are sent to the documents; more are joined as Spark sees fit.
+HITS_SENT = 100_000
 
 
 # --- documents ---------------------------------------------------------------------
@@ -217,41 +212,35 @@ def cosine_top_k(
 ) -> DataFrame:
     """(query_id, doc_id, distance, rank): the k nearest documents by cosine distance.
 
-    Exact. The collection stays where it is: each task scans its rows against the
-    questions and hands on at most k rows per question. Questions are counted
-    first; beyond `per_pass` they are asked in passes of about that many, each
-    over the whole collection.
+    Exact. Up to `per_pass` questions are read once and travel to the collection, which
+    stays where it is: each task scans its rows against them and hands on at most k rows
+    per question. More questions stay in the cluster: blocks of them meet blocks of the
+    collection in its tasks, and again k rows per question leave a task.
     """
-    asked = queries.select(F.col(query_id), F.col(query_vec))
-    scans = [
-        _scan_pass(collection, block, k, id_col, vec_col)
-        for block in _query_blocks(asked, query_id, per_pass)
-    ]
-    return _closest(scans, k)
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("_vec"))
+    local = asked.limit(per_pass + 1).toPandas()
+    if len(local) <= per_pass:
+        return _closest(_scan_pass(collection, local, k, id_col, vec_col, asked.dtypes[0][1]), k)
+    everywhere = F.array(F.lit("all")).alias("_cells")
+    documents = collection.select(
+        F.col(id_col).alias("doc_id"), F.col(vec_col).alias("_vec"), everywhere
+    )
+    met = _cell_join(documents, asked.select("*", everywhere), k, ROWS_PER_BLOCK, per_pass)
+    return _closest(met, k)
 
 
-def _query_blocks(asked: DataFrame, query_id: str, per_pass: int) -> list[DataFrame]:
-    """The questions in blocks small enough to travel, by a hash of their id."""
-    total = asked.count()
-    if total <= per_pass:
-        return [asked]
-    passes = -(-2 * total // per_pass)
-    block = F.pmod(F.xxhash64(query_id), F.lit(passes))
-    return [asked.where(block == b) for b in range(passes)]
+ROWS_PER_BLOCK = 100_000
 
 
-def _closest(scans: list[DataFrame], k: int) -> DataFrame:
-    hits = reduce(DataFrame.unionByName, scans)
+def _closest(hits: DataFrame, k: int) -> DataFrame:
     return top_n_per_group(
         hits, ["query_id"], [F.col("distance").asc(), F.col("doc_id").asc()], k, rank="rank"
     )
 
 
 def _scan_pass(
-    collection: DataFrame, block: DataFrame, k: int, id_col: str, vec_col: str
+    collection: DataFrame, local: pd.DataFrame, k: int, id_col: str, vec_col: str, query_type: str
 ) -> DataFrame:
-    query_type = block.dtypes[0][1]
-    local = block.toPandas()
     if local.empty:
         return collection.sparkSession.createDataFrame(
             [], _hit_schema(query_type, dict(collection.dtypes)[id_col])
@@ -263,10 +252,29 @@ def _scan_pass(
 
 @dataclass(frozen=True)
 class Buckets:
-    """Random projections of unit vectors, `width` of them to a signature."""
+    """Random directions (tables x width x dimensions) and the length of a bucket along them."""
+
+    planes: np.ndarray
+    length: float
+
+
+def random_planes(tables: int, width: int, dims: int, seed: int) -> np.ndarray:
+    """Unit vectors, to six decimals. The first directions of a table do not depend on width."""
+    drawn = np.random.default_rng(seed).normal(size=(tables, MOST_WIDTH, dims))[:, :width]
+    return np.round(drawn / np.linalg.norm(drawn, axis=2, keepdims=True), 6)
+
 
-    model: BucketedRandomProjectionLSHModel
-    width: int
+MOST_WIDTH = 16
+# Buckets that unit vectors are dealt into along one direction, about.
+BUCKETS_OF_ONE = 4
+
+
+def width_for(rows: int, per_cell: int) -> int:
+    """Directions in a signature for about `per_cell` of `rows` documents in a cell."""
+    width = 1
+    while width < MOST_WIDTH and rows > per_cell * BUCKETS_OF_ONE**width:
+        width += 1
+    return width
 
 
 def fit_buckets(
@@ -274,41 +282,52 @@ def fit_buckets(
     vec_col: str = "embedding",
     bucket_length: float = 0.25,
     tables: int = 4,
-    width: int = 2,
+    width: int | None = None,
+    per_cell: int = 64,
     seed: int = 42,
 ) -> Buckets:
-    """Nothing is learned from the data but the length of its vectors.
+    """Nothing is learned from the data but the length and number of its vectors.
 
-    More tables find more neighbours, a larger width leaves fewer candidates.
+    More tables find more neighbours, a larger width leaves fewer candidates. By default
+    the width grows with the logarithm of the collection, so that the documents in a cell,
+    and with them the comparisons of a question, stay about the same.
     """
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_vector",
-        outputCol="_hashes",
-        bucketLength=bucket_length,
-        numHashTables=tables * width,
-        seed=seed,
-    )
-    return Buckets(lsh.fit(_as_vector(collection, vec_col)), width)
-
-
-def _as_vector(frame: DataFrame, vec_col: str) -> DataFrame:
-    raw = frame.withColumn("_raw", array_to_vector(F.col(vec_col).cast("array<double>")))
-    return Normalizer(inputCol="_raw", outputCol="_vector").transform(raw).drop("_raw")
+    seen = collection.agg(F.count(F.lit(1)), F.max(F.size(vec_col))).first()
+    width = width or width_for(seen[0], per_cell)
+    return Buckets(random_planes(tables, width, max(seen[1] or 0, 1), seed), bucket_length)
 
 
 def _signatures(frame: DataFrame, buckets: Buckets, vec_col: str) -> DataFrame:
     """Adds `_cells`: the signature of each table as ``table:bucket,bucket``."""
-    width = buckets.width
-    tables = buckets.model.getNumHashTables() // width
-    hashes = F.transform(
-        F.col("_hashes"), lambda h: vector_to_array(h)[0].cast("bigint").cast("string")
+
+    def dot(a: Column, b: Column) -> Column:
+        products = F.zip_with(a, b, lambda x, y: x * y)
+        return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+    vector = F.transform(vec_col, lambda x: x.cast("double"))
+    norm = F.sqrt(dot(vector, vector))
+    planes = F.array(
+        *[
+            F.array(*[F.array(*[F.lit(float(x)) for x in plane]) for plane in table])
+            for table in buckets.planes
+        ]
+    )
+
+    def bucket(plane: Column) -> Column:
+        along = F.try_divide(dot(F.col("_double"), plane), F.col("_norm"))
+        return F.floor(F.coalesce(along, F.lit(0.0)) / F.lit(buckets.length)).cast("string")
+
+    def cell(table: Column, number: Column) -> Column:
+        return F.concat(
+            number.cast("string"), F.lit(":"), F.array_join(F.transform(table, bucket), ",")
+        )
+
+    return (
+        frame.withColumn("_double", vector)
+        .withColumn("_norm", norm)
+        .withColumn("_cells", F.transform(planes, cell))
+        .select(*frame.columns, "_cells")
     )
-    cells = [
-        F.concat(F.lit(f"{t}:"), F.array_join(F.slice(hashes, t * width + 1, width), ","))
-        for t in range(tables)
-    ]
-    hashed = buckets.model.transform(_as_vector(frame, vec_col))
-    return hashed.select(*frame.columns, F.array(*cells).alias("_cells"))
 
 
 def cosine_top_k_approx(
@@ -320,15 +339,12 @@ def cosine_top_k_approx(
     vec_col: str = "embedding",
     query_id: str = "query_id",
     query_vec: str = "embedding",
-    few: int = QUERIES_PER_PASS,
     rows_per_task: int = 100_000,
 ) -> DataFrame:
-    """`cosine_top_k` over the documents that share a signature with a question.
+    """`cosine_top_k` over the documents that share a signature with the question.
 
-    Distances are exact; a neighbour without a common signature is missed. Up to
-    `few` questions prune the collection in place by the set of their
-    signatures and scan what is left, without a shuffle. More questions meet the
-    collection signature by signature.
+    A question is compared with the documents of its own cells, however many questions are
+    asked at once. Distances are exact; a neighbour without a common signature is missed.
     """
     documents = _signatures(
         collection.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("_vec")),
@@ -340,18 +356,12 @@ def cosine_top_k_approx(
         buckets,
         "_vec",
     )
-    if asked.count() <= few:
-        wanted = [row[0] for row in asked.select(F.explode("_cells")).distinct().collect()]
-        near = documents.where(F.exists("_cells", lambda c: c.isin(wanted)))
-        scan = _scan_pass(
-            near.select("doc_id", "_vec"), asked.select("query_id", "_vec"), k, "doc_id", "_vec"
-        )
-        return _closest([scan], k)
-    return _closest([_cell_join(documents, asked, k, rows_per_task).distinct()], k)
+    met = _cell_join(documents, asked, k, rows_per_task, rows_per_task)
+    return _closest(met.distinct(), k)
 
 
 def _cell_join(
-    documents: DataFrame, asked: DataFrame, k: int, rows_per_task: int
+    documents: DataFrame, asked: DataFrame, k: int, rows_per_task: int, questions_per_task: int
 ) -> DataFrame:
     """Nearest documents of each question within each common signature.
 
@@ -365,16 +375,16 @@ def _cell_join(
     docs = documents.select(F.explode("_cells").alias("cell"), "doc_id", "_vec")
     questions = asked.select(F.explode("_cells").alias("cell"), "query_id", "_vec")
     many_docs = hot_keys(docs, ["cell"], rows_per_task, ["doc_id"])
-    many_questions = hot_keys(questions, ["cell"], rows_per_task, ["query_id"])
+    many_questions = hot_keys(questions, ["cell"], questions_per_task, ["query_id"])
 
     def split(rows: DataFrame, own: DataFrame, key: str, salt: str) -> DataFrame:
         part = F.pmod(F.xxhash64(key), F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint"))
-        joined = rows.join(F.broadcast(own), "cell", "left")
+        joined = rows.join(own, "cell", "left")
         return joined.withColumn(salt, part.cast("int")).drop("_parts")
 
     def repeat(rows: DataFrame, other: DataFrame, salt: str) -> DataFrame:
         every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-        joined = rows.join(F.broadcast(other), "cell", "left")
+        joined = rows.join(other, "cell", "left")
         return joined.withColumn(salt, F.explode(every)).drop("_parts")
 
     left = repeat(split(docs, many_docs, "doc_id", "_d"), many_questions, "_q")
@@ -405,8 +415,13 @@ def _cell_join(
 # --- answers ------------------------------------------------------------------------
 
 
-def with_documents(hits: DataFrame, documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    return hits.join(documents, id_col)
+def with_documents(
+    hits: DataFrame, documents: DataFrame, id_col: str = "doc_id", at_most: int | None = None
+) -> DataFrame:
+    """The documents of the hits. `at_most` is a bound on their number, as k x questions: up
+    to HITS_SENT of them go to the documents, whose text then stays where it is."""
+    few = at_most is not None and at_most <= HITS_SENT
+    return documents.join(F.broadcast(hits) if few else hits, id_col)
 
 
 def document_preview(hits: DataFrame, document_col: str = "document") -> DataFrame:

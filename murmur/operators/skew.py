@@ -59,7 +59,7 @@ def salted_join(
     spread = spread_by or [c for c in facts.columns if c not in keys] or keys
     hot = hot_keys(facts.where(_all_not_null(keys)), keys, rows_per_task, spread)
     salted = (
-        facts.join(F.broadcast(hot), keys, "left")
+        facts.join(hot, keys, "left")
         .withColumn(
             "_salt",
             F.coalesce(
@@ -69,7 +69,7 @@ def salted_join(
         .drop("_parts")
     )
     repeated = (
-        dim.join(F.broadcast(hot), keys, "left")
+        dim.join(hot, keys, "left")
         .withColumn(
             "_salt",
             F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0)))),

@@ -48,7 +48,9 @@ def nearest_documents(spark, folder):
     documents = adapters.table(spark, folder, "documents").select(
         "doc_id", F.col("text").alias("document")
     )
-    return retrieval.with_documents(nearest(spark, folder), documents)
+    # Labels are few, but only a count says so.
+    asked = label_questions(spark, folder).count()
+    return retrieval.with_documents(nearest(spark, folder), documents, at_most=5 * asked)
 
 
 @query(f"with {NEAREST_SQL} select query_id, doc_id, \"rank\", round(distance, 6) distance from hits")
@@ -56,7 +58,36 @@ def cosine_top_k(spark, folder):
     return nearest(spark, folder).withColumn("distance", F.round("distance", 6))
 
 
-@query()
+def _planes_sql() -> str:
+    """Directions of each table as literals; 64 dimensions, as wide as any provided table needs."""
+    tables = retrieval.random_planes(4, WIDEST, 64, 42).tolist()
+    return "[" + ", ".join(
+        "[" + ", ".join("[" + ", ".join(map(repr, plane)) + "]" for plane in t) + "]" for t in tables
+    ) + "]"
+
+
+WIDEST = 6
+
+
+@query(f"""
+with {NEAREST_SQL},
+width as (select greatest(1, ceil(log2(count(*) / 64.0) / 2 - 1e-9))::int w from embeddings),
+planes as (select {_planes_sql()}::double[][][] p),
+vectors as (
+  select 'd' side, vec_id id, embedding::double[] v from embeddings
+  union all select 'q', label, q from means),
+cells as (
+  select side, id, v, t || ':' || array_to_string(list_transform(list_slice(p[t + 1], 1, w),
+    lambda plane: floor(list_dot_product(v, plane) / sqrt(list_dot_product(v, v)) / 0.25)::bigint), ',') cell
+  from vectors, width, planes, range(4) r(t)),
+met as (
+  select distinct q.id query_id, d.id doc_id,
+    round(1 - list_cosine_similarity(d.v, q.v), 12) distance
+  from cells q join cells d using (cell) where q.side = 'q' and d.side = 'd')
+select query_id, doc_id, round(distance, 6) distance,
+       cast(row_number() over (partition by query_id order by distance, doc_id) as int) "rank"
+from met qualify "rank" <= 5
+""".replace("cells as (select label", "parts as (select label", 1).replace("from cells group", "from parts group", 1))
 def cosine_top_k_approx(spark, folder):
     vectors = adapters.table(spark, folder, "embeddings")
     return retrieval.cosine_top_k_approx(
@@ -65,7 +96,7 @@ def cosine_top_k_approx(spark, folder):
         retrieval.fit_buckets(vectors),
         5,
         id_col="vec_id",
-    )
+    ).withColumn("distance", F.round("distance", 6))
 
 
 @query(f"""
