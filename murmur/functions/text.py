@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from decimal import Decimal
 from html.entities import html5
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from murmur.functions.fixed import AI_KEYWORDS, LEFT_ESCAPES, STOP_WORDS, WORD_PATTERN
 from murmur.functions.scalars import let, numeric_coerce
 
-# Largest dictionary lexicon that is broadcast.
+# Largest dictionary lexicon that is looked up inside the row.
 LEXICON_WORDS = 100_000
 
 SPACES = r"[\p{IsWhite_Space}\x1c-\x1f]+"
@@ -34,19 +35,25 @@ def _literal_map(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
 
 
-# The names are dealt into this many maps, as a literal map is searched from its start.
-NAME_MAPS = 64
+# A literal map is searched from its start, so a table is dealt into maps of about this many.
+ENTRIES_PER_MAP = 32
+
+
+def table_lookup(table: dict[str, object], key: Column, dtype: str) -> Column:
+    """The value of `key` in a fixed table, null if it is not there. Stays in the row."""
+    count = max(1, len(table) // ENTRIES_PER_MAP)
+    maps: list[dict] = [{} for _ in range(count)]
+    for known, value in table.items():
+        maps[zlib.crc32(known.encode()) % count][known] = value
+    empty = F.create_map().cast(f"map<string,{dtype}>")
+    dealt = F.array(*[_literal_map(m).cast(f"map<string,{dtype}>") if m else empty for m in maps])
+    place = F.pmod(F.crc32(F.encode(key, "UTF-8")), F.lit(count)).cast("int")
+    return F.element_at(F.get(dealt, place), key)
 
 
 def _named_character(name: Column) -> Column:
     """Characters of an HTML 5 name, null if there is no such name."""
-    maps: list[dict[str, str]] = [{} for _ in range(NAME_MAPS)]
-    for known, characters in html5.items():
-        known = known.rstrip(";")
-        maps[zlib.crc32(known.encode()) % NAME_MAPS][known] = characters
-    dealt = F.array(*[_literal_map(m) for m in maps])
-    place = F.pmod(F.crc32(F.encode(name, "UTF-8")), F.lit(NAME_MAPS)).cast("int")
-    return F.element_at(F.get(dealt, place), name)
+    return table_lookup({known.rstrip(";"): c for known, c in html5.items()}, name, "string")
 
 
 def _c1_characters() -> Column:
@@ -134,7 +141,7 @@ def lexicon_frame(spark: SparkSession, lexicon: dict[str, float]) -> DataFrame:
     frame = spark.createDataFrame(rows, "token string, polarity string").select(
         "token", F.col("polarity").cast("decimal(6,4)").alias("polarity")
     )
-    return F.broadcast(frame) if len(lexicon) <= LEXICON_WORDS else frame
+    return frame
 
 
 def words(text: Column) -> Column:
@@ -189,28 +196,43 @@ def parse_moderation(response: Column) -> Column:
     return let(F.from_json(response, "map<string,string>"), result)
 
 
+def _polarity_in_row(found: Column, lexicon: dict[str, float]) -> Column:
+    scores = {word.lower(): Decimal(str(score)) for word, score in lexicon.items()}
+    if not scores:
+        return F.lit(0.0)
+    known = F.filter(found, lambda w: w.isin(list(scores)))
+    zero = F.lit(0).cast("decimal(38,4)")
+
+    def mean(hits: Column) -> Column:
+        total = F.aggregate(
+            hits, zero, lambda a, w: (a + table_lookup(scores, w, "decimal(6,4)")).cast("decimal(38,4)")
+        )
+        some = F.size(hits) > 0
+        return F.round(F.when(some, total.cast("double") / F.size(hits)).otherwise(F.lit(0.0)), 2)
+
+    return let(known, mean)
+
+
 def sentiment_polarity(
     frame: DataFrame, keys: list[str], text_col: str, lexicon: dict[str, float] | DataFrame
 ) -> DataFrame:
     """Mean polarity of the words of each text that are in the lexicon.
 
     `keys` identify a text and are carried through; null or empty texts have no
-    row, texts without a known word get 0.0. The words of a text sit in one
-    task, so map-side aggregation leaves one small record per text to shuffle
-    and the text itself never moves.
-
-    A lexicon given as a dictionary travels with the plan: words outside it are
-    dropped inside the row and the few that are left meet it in a broadcast join.
-    Beyond LEXICON_WORDS words, or as a frame (`token`, `polarity`), it is joined
-    without a hint and Spark shuffles it when it is too large to broadcast.
+    row, texts without a known word get 0.0.
+
+    A lexicon given as a dictionary of up to LEXICON_WORDS words is looked up inside the
+    row, which neither moves nor grows; of words that differ in case only the last counts.
+    Beyond that, or as a frame (`token`, `polarity`), it is joined without a hint and Spark
+    shuffles it when it is too large to broadcast. The words of a text sit in one task, so
+    map-side aggregation then leaves one small record per text to shuffle.
     """
+    texts = frame.where(F.col(text_col).isNotNull() & (F.col(text_col) != ""))
+    if isinstance(lexicon, dict) and len(lexicon) <= LEXICON_WORDS:
+        return texts.select(*keys, _polarity_in_row(words(F.col(text_col)), lexicon).alias("polarity"))
     found = words(F.col(text_col))
     if isinstance(lexicon, dict):
-        if len(lexicon) <= LEXICON_WORDS:
-            known = [word.lower() for word in lexicon]
-            found = F.filter(found, lambda w: w.isin(known))
         lexicon = lexicon_frame(frame.sparkSession, lexicon)
-    texts = frame.where(F.col(text_col).isNotNull() & (F.col(text_col) != ""))
     tokens = texts.select(*keys, F.explode_outer(found).alias("token"))
     scored = tokens.join(lexicon, "token", "left")
     return (

@@ -19,6 +19,7 @@ from murmur.functions.scalars import (
 from murmur.functions.text import keyword_terms, sentiment_polarity, tokenize_words
 from murmur.operators.filters import (
     exclude_bots,
+    filter_date_between,
     filter_epoch_between,
     filter_non_empty_text,
     filter_root_posts,
@@ -145,6 +146,14 @@ def date_hour_counts(chan_posts: DataFrame) -> DataFrame:
     return _counts(roots, F.to_date(ts).alias("date"), F.hour(ts).alias("hour"))
 
 
+def root_hour_profile(counts: DataFrame) -> DataFrame:
+    """Mean thread starters per hour of day, over the dates that have some in it.
+
+    `counts` is `date_hour_counts`; `peak_row(profile, "post_count", "hour")` is its peak.
+    """
+    return counts.groupBy("hour").agg(F.avg("post_count").alias("post_count"))
+
+
 def date_hour_pivot(counts: DataFrame) -> DataFrame:
     """Date by hour matrix with columns h00..h23, 0 where there is no post."""
     hours = counts.select("date", "post_count", F.format_string("h%02d", "hour").alias("_h"))
@@ -277,7 +286,9 @@ def daily_sentiment(
 
     `keys` identify a text; `created` goes with it.
     """
-    scored = sentiment_polarity(frame, [*keys, "created"], text_col, lexicon)
+    # The range goes first: texts outside it are neither read nor scored.
+    inside = filter_date_between(frame, start, end)
+    scored = sentiment_polarity(inside, [*keys, "created"], text_col, lexicon)
     daily = scored.groupBy(day_bucket(F.col("created")).alias("date")).agg(
         F.round(
             F.sum(F.col("polarity").cast("decimal(6,2)")).cast("double") / F.count(F.lit(1)), 2
@@ -321,5 +332,9 @@ def records_with_terms(
     )
 
 
-def word_frequencies(frame: DataFrame, text_col: str) -> DataFrame:
-    return _count_terms(frame.select(F.explode(tokenize_words(F.col(text_col))).alias("term")))
+def word_frequencies(
+    frame: DataFrame, text_col: str, group: tuple[str, ...] = ()
+) -> DataFrame:
+    """Words and how often they occur, in the whole or in each `group` (such as query_id)."""
+    words = frame.select(*group, F.explode(tokenize_words(F.col(text_col))).alias("term"))
+    return words.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("occurrences"))

@@ -112,17 +112,30 @@ def build_collection(
 ) -> DataFrame:
     """Newest documents of a topic with embeddings, written once per (source, topic).
 
-    Running it again replaces that partition only.
+    Running it again replaces that partition only. An embedder fitted here is stored beside
+    the partition, for `collection_embedder`.
     """
     key = document_columns.get("key", "post_id")
     chosen = latest_posts(topic_filter(posts, topic, source, all_posts, topics), limit, key=key)
     documents = compose_document(chosen, topic, **document_columns)
-    model = model or fit_embedder(documents)
+    if model is None:
+        model = fit_embedder(documents)
+        model.write().overwrite().save(_embedder_path(path, source, topic))
     target = f"{path}/source={source}/topic={topic}"
     embed_text(documents, model).write.mode("overwrite").parquet(target)
     return posts.sparkSession.read.option("basePath", path).parquet(target)
 
 
+def _embedder_path(path: str, source: str, topic: str) -> str:
+    # Readers of the collection pass over names that begin with an underscore.
+    return f"{path}/_embedders/source={source}/topic={topic}"
+
+
+def collection_embedder(path: str, source: str, topic: str) -> PipelineModel:
+    """The embedder that `build_collection` fitted; questions need the same one."""
+    return PipelineModel.load(_embedder_path(path, source, topic))
+
+
 # --- nearest neighbours ---------------------------------------------------------------
 
 
@@ -451,13 +464,20 @@ def wordcloud_weights(
     n: int = 50,
     min_size: float = 14.0,
     max_size: float = 48.0,
+    group: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Top words with font size and blue value scaled by frequency. The window spans n rows."""
-    top = most_common_terms(counts, n)
-    everything = Window.partitionBy()
+    """Top words with font size and blue value scaled by frequency, in the whole or in each
+    `group` of the counts. A window spans n rows."""
+    if group:
+        order = [F.col("occurrences").desc(), F.col("term").asc()]
+        top = top_n_per_group(counts, list(group), order, n)
+    else:
+        top = most_common_terms(counts, n)
+    everything = Window.partitionBy(*group)
     low, high = F.min("occurrences").over(everything), F.max("occurrences").over(everything)
     factor = (F.col("occurrences") - low) / F.greatest(high - low, F.lit(1))
     return top.withColumn("_f", factor).select(
+        *group,
         "term",
         "occurrences",
         (F.lit(min_size) + F.lit(max_size - min_size) * F.col("_f")).alias("font_size"),

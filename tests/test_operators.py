@@ -166,6 +166,13 @@ def test_pivot_sums_to_the_counts(spark):
         "resto int, created bigint",
     )
     counts = engagement.date_hour_counts(chan)
+    profile = engagement.root_hour_profile(counts)
+    by_hour = {}
+    for r in counts.collect():
+        by_hour.setdefault(r.hour, []).append(r.post_count)
+    assert {r.hour: r.post_count for r in profile.collect()} == {
+        h: sum(v) / len(v) for h, v in by_hour.items()
+    }
     pivot = engagement.date_hour_pivot(counts)
     assert pivot.columns == ["date"] + [f"h{h:02d}" for h in range(24)]
     assert sum(sum(r[1:]) for r in pivot.collect()) == 100

@@ -195,3 +195,25 @@ def test_mean_vectors(spark):
     )
     got = {r.label: list(r.embedding) for r in retrieval.mean_vectors(frame, "label").collect()}
     assert got == {0: [2.0, 4.0], 1: [2.0, 2.0]}
+
+
+def test_a_collection_keeps_the_embedder_it_fitted(spark, posts, tmp_path):
+    path = str(tmp_path / "c")
+    topics = {"pets": {"posts": communities(["s"])}}
+    collection = retrieval.build_collection(posts, "pets", "posts", path, limit=5, topics=topics)
+    assert spark.read.parquet(path).count() == 5
+    model = retrieval.collection_embedder(path, "posts", "pets")
+    asked = retrieval.question_frame(spark, {"q": "lonely text"}, model)
+    best = retrieval.cosine_top_k(collection, asked, 1).collect()[0]
+    assert best.doc_id == "doc_n1"
+
+
+def test_word_weights_per_question(spark):
+    from murmur.operators.engagement import word_frequencies
+
+    frame = spark.createDataFrame(
+        [("q1", "cats cats dogs"), ("q2", "birds"), ("q2", "birds fish fish fish")], "query_id string, t string"
+    )
+    counts = word_frequencies(frame, "t", ("query_id",))
+    got = retrieval.wordcloud_weights(counts, 1, group=("query_id",)).collect()
+    assert sorted((r.query_id, r.term, r.occurrences) for r in got) == [("q1", "cats", 2), ("q2", "fish", 3)]
