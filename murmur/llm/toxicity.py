@@ -119,7 +119,7 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
+def fit(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias of the sentence score, such that noisy-or of a document's sentences
     fits its label.
 
@@ -133,7 +133,7 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     # Once over the texts: in how many documents of each class a feature is.
     toxic, seen = np.zeros(1 << BITS), np.zeros(1 << BITS)
     sentence = doc = 0
-    for bucket, number, firsts, _, per_text, n in features(pa.array(texts, pa.string())):
+    for bucket, number, firsts, _, per_text, n in features(texts):
         of_doc = np.repeat(np.arange(n), per_text)
         at_doc, at = np.divmod(np.unique(of_doc[number] * (1 << BITS) + bucket), 1 << BITS)
         toxic += np.bincount(at[y[doc + at_doc]], minlength=1 << BITS)
@@ -148,7 +148,7 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     # Again: only the features in use are kept, a small part.
     buckets, owners, docs = [], [], []
     sentence = doc = 0
-    for bucket, number, firsts, _, per_text, n in features(pa.array(texts, pa.string())):
+    for bucket, number, firsts, _, per_text, n in features(texts):
         kept = use[bucket]
         buckets.append(bucket[kept])
         owners.append(number[kept] + sentence)
@@ -206,11 +206,11 @@ def train(documents: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCU
     """
 
     def run(batches):
-        texts, toxic = [], []
+        texts, toxic = [pa.array([], pa.string())], []
         for batch in batches:
-            texts += batch.column("text").to_pylist()
+            texts.append(batch.column("text").cast(pa.string()))
             toxic += batch.column("toxic").to_pylist()
-        weights, bias = fit(texts, np.array(toxic, np.int64))
+        weights, bias = fit(pa.concat_arrays(texts), np.array(toxic, np.int64))
         used = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays(
             [pa.array([used]), pa.array([weights[used]]), pa.array([bias])], ["columns", "weights", "bias"]

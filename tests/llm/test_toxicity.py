@@ -68,5 +68,5 @@ def test_nothing_to_learn(spark, docs):
     assert T.score_documents(docs([]), none).collect() == []
     (row,) = T.score_documents(docs([{"doc_id": 1, "text": "a b"}]), none).collect()
     assert row.predicted == 0
-    w, b = T.fit(["", ""], np.array([0, 1]))
+    w, b = T.fit(pa.array(["", ""]), np.array([0, 1]))
     assert not w.any() and b == T.PRIOR
