@@ -1,33 +1,91 @@
-"""Splits texts where no token can cross, so that each distinct piece is encoded once."""
+"""Byte-level BPE of many texts, each distinct piece of text encoded once."""
 
 from __future__ import annotations
 
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from murmur.llm.common import ship, worker_store
+from murmur.llm.words import groups, mixed, powers, utf8
 
 ship(__name__)
 
 # White space next to white space, or at either end of the text.
 ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
-# Pieces remembered by a worker (about 200 bytes each); when full, those of the texts at
-# hand are kept, the frequent ones among them.
-REMEMBERED = 1_000_000
-
-
+# Pieces remembered by a worker (about 30 bytes each); when full, it starts anew.
+REMEMBERED = 3_000_000
 # Distinct pieces put into one call of the library, a line each.
 LINES = 64
+BLANK, LINE_FEED = 32, 10
+
+
+class Memory:
+    """Ids of pieces by 64-bit hash, in sorted arrays.
+
+    New pieces go to a small array, which is merged into a larger one when it is full.
+    """
+
+    STEPS = (1 << 14, 1 << 18)
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.zeros(0, np.uint64)
+        self.levels = [(none, np.zeros(0, np.int64)) for _ in range(len(self.STEPS) + 1)]
+        self.tokens = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+        # By number of entry: where its ids begin, and after the last where they end.
+        self.begins = np.zeros(1 << 16, np.int64)
+        self.count = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of the entry of each hash, -1 where there is none."""
+        out = np.full(len(hashes), -1, np.int64)
+        for known, entry in self.levels:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                out[hit] = entry[at[hit]]
+        return out
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.tokens = _room(self.tokens, self.used + len(ids))
+        self.tokens[self.used : self.used + len(ids)] = ids
+        self.begins = _room(self.begins, self.count + len(sizes) + 1)
+        ends = self.used + np.cumsum(sizes)
+        self.begins[self.count + 1 : self.count + len(sizes) + 1] = ends
+        self.used += len(ids)
+        fresh = (hashes, np.arange(self.count, self.count + len(hashes)))
+        self.count += len(hashes)
+        for level, (known, entry) in enumerate(self.levels):
+            keys = np.concatenate([known, fresh[0]])
+            order = np.argsort(keys, kind="stable")
+            fresh = (keys[order], np.concatenate([entry, fresh[1]])[order])
+            if level == len(self.STEPS) or len(keys) <= self.STEPS[level]:
+                self.levels[level] = fresh
+                break
+            self.levels[level] = (keys[:0], entry[:0])
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    larger = np.zeros(max(size, 2 * len(array)), array.dtype)
+    larger[: len(array)] = array
+    return larger
 
 
 class ByteBpe:
-    """Byte-level BPE by the tokenizers library, each distinct piece of text once.
+    """Byte-level BPE by the tokenizers library.
 
     The pattern that cuts a text before merging lets a blank only start a piece, and a
-    line feed between two other characters stands alone. So the ids of a text are those
-    of the pieces between such places, one after another. Texts with other white space
-    go through the library whole.
+    line feed between two other characters stand alone. So the ids of a text are those
+    of the pieces between such places, one after another, and a piece that has been seen
+    (by its 64-bit hash) is looked up. Texts with other white space go through the library
+    whole.
     """
 
     @classmethod
@@ -46,43 +104,74 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         (self.line_feed,) = self.library(["\n"])[0].tolist()
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory()
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(g.ids, "<u4") for g in got]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Pieces hold no line feed, so the ids of many lines fall apart at its id."""
+    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """But for the line feed itself, pieces hold none, so the ids of many lines fall
+        apart at its id."""
+        feed = np.array([p == b"\n" for p in pieces])
+        if feed.any():
+            self.memory.add(hashes[feed], np.array([self.line_feed], np.uint32), np.array([1]))
+            hashes, pieces = hashes[~feed], [p for p in pieces if p != b"\n"]
+        ids, sizes = [], []
         for first in range(0, len(pieces), LINES):
-            lines = pieces[first : first + LINES]
-            (ids,) = self.library(["\n".join(lines) + "\n"])
-            ends = (np.flatnonzero(ids == self.line_feed) * 4).tolist()
-            data, start = ids.tobytes(), 0
-            for line, end in zip(lines, ends, strict=True):
-                self.known[line] = data[start:end]
-                start = end + 4
+            lines = b"\n".join(pieces[first : first + LINES]) + b"\n"
+            (found,) = self.library([lines.decode()])
+            ends = np.flatnonzero(found == self.line_feed)
+            sizes.append(np.diff(ends, prepend=-1) - 1)
+            ids.append(found[found != self.line_feed])
+        if ids:
+            self.memory.add(hashes, np.concatenate(ids), np.concatenate(sizes))
+
+    def plain(self, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each text) of texts with single blanks and line feeds only."""
+        start = (body == BLANK) | (body == LINE_FEED)
+        start[1:] |= body[:-1] == LINE_FEED
+        start[offsets[:-1]] = True
+        starts = np.flatnonzero(start)
+        ends = np.append(starts[1:], len(body))
+        up, down = powers(len(body))
+        sums = np.zeros(len(body) + 1, np.uint64)
+        np.cumsum((body.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+        hashes = (sums[ends] - sums[starts]) * down[starts]
+        hashes = mixed(hashes + mixed((ends - starts).astype(np.uint64)))
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        entry = self.memory.find(distinct)
+        fresh = np.flatnonzero(entry < 0)
+        if len(fresh):
+            raw = body.tobytes()
+            at = first[fresh]
+            self.learn(distinct[fresh], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            entry[fresh] = self.memory.find(distinct[fresh])
+        of_piece = entry[back]
+        begin = self.memory.begins[of_piece]
+        size = self.memory.begins[of_piece + 1] - begin
+        done = np.cumsum(size)
+        place = np.repeat(begin - (done - size), size) + np.arange(done[-1])
+        counts = np.diff(np.append(0, done)[np.searchsorted(starts, offsets)])
+        return self.memory.tokens[place], counts
 
     def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers, `end` after them."""
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        whole = [i for i, t in enumerate(texts) if not t or "\x00" in t or ODD_SPACE.search(t)]
+        whole = [i for i, t in enumerate(texts) if not t or ODD_SPACE.search(t)]
         out: list[bytes] = [b""] * len(texts)
         for i, ids in zip(whole, self.library([texts[i] for i in whole])):
             out[i] = ids.tobytes() + tail
         odd = set(whole)
-        cut = {
-            # A mark before each blank and around each line feed.
-            i: t.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
-            for i, t in enumerate(texts)
-            if i not in odd
-        }
-        here = set().union(*cut.values())
-        if len(self.known) > REMEMBERED:
-            self.known = {p: self.known[p] for p in here if p in self.known}
-        self.learn([p for p in here if p not in self.known and p != "\n"])
-        self.known["\n"] = np.array([self.line_feed], "<u4").tobytes()
-        known = self.known.__getitem__
-        for i, pieces in cut.items():
-            out[i] = b"".join(map(known, pieces)) + tail
+        rest = [i for i in range(len(texts)) if i not in odd]
+        if self.memory.count > REMEMBERED:
+            self.memory.clear()
+        body, offsets = utf8(pa.array([texts[i] for i in rest], pa.string()))
+        for first, last in groups(offsets):
+            part = offsets[first : last + 1]
+            ids, counts = self.plain(body[part[0] : part[-1]], part - part[0])
+            data, at = ids.astype("<u4").tobytes(), 0
+            for i, n in zip(rest[first:last], (counts * 4).tolist()):
+                out[i] = data[at : at + n] + tail
+                at += n
         return out
