@@ -23,6 +23,9 @@ BAND = 4.0
 FREQUENT = 1 << 16
 # Sets in a tile that are compared by one task; a larger tile is cut into pairs of blocks.
 BLOCK = 4096
+# Up to so many sets in a tile, pairs are taken by size alone and meet the bitmaps once for
+# all their tiles; in larger ones the bitmaps come to the tile, and no pair leaves it untested.
+SMALL = 16
 
 
 def frequent_shingles(documents: DataFrame, most: int = FREQUENT) -> np.ndarray:
@@ -117,15 +120,21 @@ def overlap_bound(x: bytes, y: bytes, a: int, b: int) -> int:
 
 
 def _classes(batches):
-    """(doc_id, number of shingles, class) of each text."""
+    """(doc_id, number of shingles, class) of each text; its bitmap where the task first meets the class."""
+    seen: set[int] = set()
     for batch in batches:
-        n, node = [], []
+        n, node, bitmaps = [], [], []
         for shingles in shingle_sets(batch.column("text")):
+            here = class_of(shingles) if len(shingles) else None
+            fresh = here is not None and here not in seen
             n.append(len(shingles))
-            node.append(class_of(shingles) if len(shingles) else None)
+            node.append(here)
+            bitmaps.append(bitmap_of(shingles) if fresh else None)
+            if fresh:
+                seen.add(here)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64())],
-            ["doc_id", "n", "node"],
+            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bitmaps, pa.binary())],
+            ["doc_id", "n", "node", "bitmap"],
         )
 
 
@@ -204,16 +213,13 @@ SHARED = "tile long, node long, leader long"
 
 def _arrays(batches):
     for batch in batches:
-        nodes, sizes, bitmaps, arrays = [], [], [], []
+        nodes, arrays = [], []
         for want, shingles in zip(batch.column("node").to_pylist(), shingle_sets(batch.column("text"))):
             if len(shingles) and class_of(shingles) == want:
                 nodes.append(want)
-                sizes.append(len(shingles))
-                bitmaps.append(bitmap_of(shingles))
                 arrays.append(shingles.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bitmaps, pa.binary()), pa.array(arrays, pa.binary())],
-            ["node", "n", "bitmap", "shingles"],
+            [pa.array(nodes, pa.int64()), pa.array(arrays, pa.binary())], ["node", "shingles"]
         )
 
 
@@ -243,17 +249,35 @@ def _side(sets: DataFrame, side: str, *columns: str) -> DataFrame:
     return sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, bitmaps: bool = True) -> DataFrame:
-    """The pairs (a, b) that are links: bitmaps first, then the exact intersection."""
-    if bitmaps:
-        pairs = (
-            pairs.join(_side(sets, "a", "n", "bitmap"), "a")
-            .join(_side(sets, "b", "n", "bitmap"), "b")
-            .mapInArrow(_possible, "a long, b long")
-        )
+# Ids of texts that are sent to all executors at once (16 bytes each); more are joined.
+IDS_SENT = 500_000
+
+
+def verified(pairs: DataFrame, maps: DataFrame, texts: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """The pairs (a, b) that are links: bitmaps first, then the exact intersection.
+
+    Only the texts of classes that the bitmaps leave in are read into arrays. `names` has
+    one doc_id for each class. Up to IDS_SENT of them go to the texts, which then stay where
+    they are; beyond that, the texts are shuffled to meet them.
+    """
+    possible = stored(
+        pairs.join(_side(maps, "a", "n", "bitmap"), "a")
+        .join(_side(maps, "b", "n", "bitmap"), "b")
+        .mapInArrow(_possible, "a long, b long"),
+        f"{name}-possible",
+    )
+    nodes = possible.select(F.col("a").alias("node")).unionAll(possible.select(F.col("b").alias("node")))
+    wanted = stored(nodes.distinct().join(names, "node"), f"{name}-wanted")
+    few = wanted.count() <= IDS_SENT
+    arrays = stored(
+        texts.join(F.broadcast(wanted) if few else wanted, "doc_id")
+        .select("node", "text")
+        .mapInArrow(_arrays, "node long, shingles binary"),
+        f"{name}-arrays",
+    )
     return (
-        pairs.join(_side(sets, "a", "shingles"), "a")
-        .join(_side(sets, "b", "shingles"), "b")
+        possible.join(_side(arrays, "a", "shingles"), "a")
+        .join(_side(arrays, "b", "shingles"), "b")
         .mapInArrow(_linked, "a long, b long")
     )
 
@@ -267,9 +291,12 @@ def _compare(batches):
     sizes and bitmaps allow. One cut of a tile is held at a time, BLOCK rows a side or so."""
 
     def pairs(rows: list[dict]):
-        size = min(len(r["bitmap"]) for r in rows)
-        maps = np.stack([folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in rows])
-        maps = maps.view(np.uint64)
+        # Small tiles come without bitmaps; their few pairs are held against them later.
+        maps = None
+        if rows[0]["bitmap"] is not None:
+            size = min(len(r["bitmap"]) for r in rows)
+            maps = np.stack([folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in rows])
+            maps = maps.view(np.uint64)
         n, node, component, block = (np.array([r[c] for r in rows], np.int64) for c in ("n", "node", "component", "block"))
         i, j = rows[0]["i"], rows[0]["j"]
         right = np.flatnonzero(block == j)
@@ -277,7 +304,7 @@ def _compare(batches):
             to = right[right > at] if i == j else right
             to = to[component[to] != component[at]]
             to = to[PART_OF * np.minimum(n[to], n[at]) >= PART * np.maximum(n[to], n[at])]
-            if len(to):
+            if len(to) and maps is not None:
                 differ = np.bitwise_count(maps[to] ^ maps[at]).sum(axis=1, dtype=np.int64)
                 to = to[enough((n[to] + n[at] - differ) // 2, n[to], n[at])]
             for k in to:
@@ -322,7 +349,10 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     frequent = frequent_shingles(texts)
-    rows = stored(texts.mapInArrow(_classes, "doc_id long, n long, node long"), f"{name}-classes")
+    sets = stored(
+        texts.mapInArrow(_classes, "doc_id long, n long, node long, bitmap binary"), f"{name}-classes"
+    )
+    rows = sets.select("doc_id", "n", "node")
     shared = stored(
         texts.where("doc_id is not null")
         .select("text")
@@ -332,16 +362,14 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         .mapInArrow(_shared, SHARED),
         f"{name}-tiles",
     )
-    # One text of each class that shares a tile, and its arrays.
     named = rows.where("node is not null and doc_id is not null")
-    wanted = (
-        shared.select("node").distinct()
-        .join(named.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
-    )
-    arrays = stored(
-        texts.join(wanted, "doc_id").select("node", "text")
-        .mapInArrow(_arrays, "node long, n long, bitmap binary, shingles binary"),
-        f"{name}-arrays",
+    names = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    maps = stored(
+        sets.where("bitmap is not null")
+        .join(shared.select("node").distinct(), "node", "left_semi")
+        .groupBy("node")
+        .agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap")),
+        f"{name}-maps",
     )
     # The first class of most of a class's tiles: one test for each class.
     first = (
@@ -353,7 +381,7 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         .select(*_ordered("node", "leader"))
         .distinct()
     )
-    links = stored(verified(first, arrays), f"{name}-links")
+    links = stored(verified(first, maps, texts, names, f"{name}-first"), f"{name}-links")
     labels = components(links, f"{name}-components")
     # What is left: tiles whose classes are in more than one component.
     owned = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -361,23 +389,29 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         owned.groupBy("tile")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows"))
         .where("lo != hi")
-        .select("tile", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
+        .select("tile", "rows", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
     )
-    cut = (
+    met = (
         owned.join(open_, "tile")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .select("tile", "i", "j", "block", "node", "component")
-        .join(arrays.select("node", "n", "bitmap"), "node")
+        .select("tile", "i", "j", "block", "node", "component", "rows")
+    )
+    columns = ["tile", "i", "j", "block", "node", "component", "n", "bitmap"]
+    small = met.where(F.col("rows") <= SMALL).join(maps.select("node", "n"), "node")
+    large = met.where(F.col("rows") > SMALL).join(maps, "node")
+    cut = (
+        small.withColumn("bitmap", F.lit(None).cast("binary")).select(columns)
+        .unionAll(large.select(columns))
         .repartition(partitions(spark), "tile", "i", "j")
         .sortWithinPartitions("tile", "i", "j")
         .mapInArrow(_compare, "a long, b long")
         .select(*_ordered("a", "b"))
         .distinct()
     )
-    more = stored(verified(cut, arrays, bitmaps=False), f"{name}-more-links")
+    more = stored(verified(cut, maps, texts, names, f"{name}-second"), f"{name}-more-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more), f"{name}-all-components")
     whole = (
