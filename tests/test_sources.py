@@ -155,13 +155,17 @@ def test_daily_metrics_csv_has_a_header(spark, tmp_path):
 def test_batches_replace_themselves(spark, tmp_path):
     path = str(tmp_path / "b")
     assert sinks.read_batches(spark, path, "id bigint").count() == 0
-    sinks.write_batch(spark.range(3), path, 0)
-    sinks.write_batch(spark.range(2), path, 1)
-    sinks.write_batch(spark.range(2), path, 1)
+    sinks.write_batch(spark.range(3), path, "s", 0)
+    sinks.write_batch(spark.range(2), path, "s", 1)
+    sinks.write_batch(spark.range(2), path, "s", 1)
     assert sinks.read_batches(spark, path, "id bigint").count() == 5
-    assert sinks.read_batches(spark, path, "id bigint", before=1).count() == 3
-    assert sinks.read_batch(spark, path, "id bigint", 1).count() == 2
-    assert sinks.read_batch(spark, path, "id bigint", 9).count() == 0
+    assert sinks.read_batches(spark, path, "id bigint", ("s", 1)).count() == 3
+    # batch ids of another stream are other batches
+    sinks.write_batch(spark.range(7), path, "t", 1)
+    assert sinks.read_batches(spark, path, "id bigint").count() == 12
+    assert sinks.read_batches(spark, path, "id bigint", ("s", 1)).count() == 10
+    assert sinks.read_batch(spark, path, "id bigint", "s", 1).count() == 2
+    assert sinks.read_batch(spark, path, "id bigint", "s", 9).count() == 0
 
 
 def test_scratch_follows_the_checkpoint_setting(spark):
