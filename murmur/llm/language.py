@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm.common import clean_text, ship, stored
-from murmur.llm.words import groups, utf8
+from murmur.llm.words import groups, slices, utf8
 
 ship(__name__)
 
@@ -115,7 +115,7 @@ def train(labelled: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> tuple[list
 def _liker(table: np.ndarray, text: str, keep_text: bool):
     def run(batches):
         likes = table.astype(np.float32)
-        for batch in batches:
+        for batch in slices(batches):
             out, sizes = [], []
             whole, where = utf8(batch.column(text))
             for first, last in groups(where, 1 << 20):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm.common import clean_text, ship
-from murmur.llm.words import groups, is_space, lower, mixed, utf8, word_hashes
+from murmur.llm.words import groups, is_space, lower, mixed, slices, utf8, word_hashes
 
 ship(__name__)
 
@@ -238,7 +238,7 @@ def _scorer(model, score: str, found: str):
     def run(batches):
         weights = np.zeros(1 << BITS)
         weights[columns] = values
-        for batch in batches:
+        for batch in slices(batches):
             scores, rows = [], []
             for bucket, number, starts, ends, per_text, n in features(batch.column("text")):
                 # A word counts once in a sentence; most have no weight.

@@ -63,6 +63,13 @@ def groups(offsets: np.ndarray, most: int = GROUP_BYTES):
         first = last
 
 
+def slices(batches, rows: int = 1000):
+    """The batches in parts, so that what is made of them at once stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def lower(body: np.ndarray) -> np.ndarray:
     return np.where((body >= 65) & (body <= 90), body | np.uint8(32), body)
 
