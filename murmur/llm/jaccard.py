@@ -23,6 +23,8 @@ BAND = 4.0
 FREQUENT = 1 << 16
 # Sets in a tile that are compared by one task; a larger tile is cut into pairs of blocks.
 BLOCK = 4096
+# Rounds in which each class is tested against one class in front of its tiles.
+ROUNDS = 3
 # Up to so many sets in a tile, pairs are taken by size alone and meet the bitmaps once for
 # all their tiles; in larger ones the bitmaps come to the tile, and no pair leaves it untested.
 SMALL = 16
@@ -337,8 +339,9 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     2. The first shingles of a set in a common order, rarest first, and the band of its size
        make its tiles: linked sets share one. Tiles with a single class are dropped in the
        stream of sorted rows.
-    3. Each class is tested against the class that comes first in most of its tiles. That
-       is linear in the classes, and joins large groups of near copies into components.
+    3. Each class is tested against the class that comes first in most of its tiles, in
+       ROUNDS rounds with other classes first. That is linear in the classes, and joins large
+       groups of near copies into components.
     4. Tiles that still hold several components are compared in blocks, across components
        only; nothing linked is missed, and nothing already joined is compared again.
     Bitmaps bound each overlap from above before the sorted arrays are intersected.
@@ -383,8 +386,31 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     )
     links = stored(verified(first, maps, texts, names, f"{name}-first"), f"{name}-links")
     labels = components(links, f"{name}-components")
+    def with_components(now: DataFrame) -> DataFrame:
+        joined = shared.join(now, "node", "left")
+        return joined.withColumn("component", F.coalesce("component", "node"))
+
+    # Again with other classes in front: each class that is apart from its tile's meets one.
+    for at in range(1, ROUNDS):
+        owned = with_components(labels)
+        heads = owned.groupBy("tile").agg(
+            F.min(F.struct(F.xxhash64("node", F.lit(at)), "node", "component")).alias("head")
+        )
+        apart = (
+            owned.join(heads, "tile")
+            .where("component != head.component")
+            .groupBy("node", F.col("head.node").alias("leader"))
+            .agg(F.count(F.lit(1)).alias("tiles"))
+            .groupBy("node")
+            .agg(F.max_by("leader", F.struct("tiles", "leader")).alias("leader"))
+            .select(*_ordered("node", "leader"))
+            .distinct()
+        )
+        found = verified(apart, maps, texts, names, f"{name}-round-{at}")
+        links = stored(links.unionAll(found), f"{name}-links-{at}")
+        labels = components(links, f"{name}-components-{at}")
     # What is left: tiles whose classes are in more than one component.
-    owned = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    owned = with_components(labels)
     open_ = (
         owned.groupBy("tile")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows"))
