@@ -265,10 +265,15 @@ def _scan_pass(
 
 @dataclass(frozen=True)
 class Buckets:
-    """Random directions (tables x width x dimensions) and the length of a bucket along them."""
+    """Random directions (tables x width x dimensions) and the length of a bucket along them.
+
+    A question is compared with the cells within `reach` of its own place in each table: 0 is
+    its own cell only, infinity the whole collection.
+    """
 
     planes: np.ndarray
     length: float
+    reach: float = 0.0
 
 
 def random_planes(tables: int, width: int, dims: int, seed: int) -> np.ndarray:
@@ -290,6 +295,16 @@ def width_for(rows: int, per_cell: int) -> int:
     return width
 
 
+# Questions that the reach of default buckets is learned on, and the share of their true
+# neighbours it has to find.
+TRIAL = 64
+TRIAL_RECALL = 0.95
+# Cells of a table that a question of the trial may reach; a narrower signature has fewer.
+MOST_CELLS = 1_000
+# Share of the collection from which on the plain scan is as cheap.
+SCAN_SHARE = 0.5
+
+
 def fit_buckets(
     collection: DataFrame,
     vec_col: str = "embedding",
@@ -298,16 +313,126 @@ def fit_buckets(
     width: int | None = None,
     per_cell: int = 64,
     seed: int = 42,
+    k: int = 5,
+    questions: DataFrame | None = None,
+    query_vec: str = "embedding",
 ) -> Buckets:
-    """Nothing is learned from the data but the length and number of its vectors.
-
-    More tables find more neighbours, a larger width leaves fewer candidates. By default
-    the width grows with the logarithm of the collection, so that the documents in a cell,
-    and with them the comparisons of a question, stay about the same.
+    """More tables find more neighbours, a larger width leaves fewer candidates.
+
+    By default the width grows with the logarithm of the collection, so that the documents
+    in a cell stay about the same, and the reach is learned: TRIAL questions (of `questions`,
+    else vectors of the collection) are answered by brute force in one scan, and the reach is
+    what finds TRIAL_RECALL of their `k` nearest. A collection that would have half its rows
+    compared gets an infinite reach, which is the exact scan. With a `width` given nothing is
+    learned and the reach is 0.
     """
     seen = collection.agg(F.count(F.lit(1)), F.max(F.size(vec_col))).first()
-    width = width or width_for(seen[0], per_cell)
-    return Buckets(random_planes(tables, width, max(seen[1] or 0, 1), seed), bucket_length)
+    wide, dims = width or width_for(seen[0], per_cell), max(seen[1] or 0, 1)
+    buckets = Buckets(random_planes(tables, wide, dims, seed), bucket_length)
+    if width:
+        return buckets
+    vectors = collection.select(F.col(vec_col).alias("_vec"))
+    asked = vectors if questions is None else questions.select(F.col(query_vec).alias("_vec"))
+    trial = asked.distinct().orderBy(F.xxhash64("_vec")).limit(TRIAL).toPandas()
+    if trial.empty:
+        return buckets
+    matrix = _unit_rows(np.stack(trial["_vec"].to_numpy()).astype(np.float64))
+    return _with_reach(vectors, matrix, buckets, k, own=questions is None)
+
+
+def _with_reach(
+    vectors: DataFrame, matrix: np.ndarray, buckets: Buckets, k: int, own: bool
+) -> Buckets:
+    """`buckets`, narrower if need be, with the reach that the questions `matrix` ask for."""
+
+    def nearest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: list = [(np.zeros(0), np.zeros((0, buckets.planes.shape[1])))] * len(matrix)
+        for rows in _unit_batches(parts):
+            distance = np.round(1.0 - rows @ matrix.T, 12)
+            if own:
+                # A vector of the collection is no neighbour of itself, nor are its copies.
+                distance[distance <= 1e-9] = np.inf
+            for q in range(len(matrix)):
+                top = _best(distance[:, q], np.arange(len(rows)), k)
+                top = top[np.isfinite(distance[top, q])]
+                gaps = np.sqrt(_gaps(matrix[q : q + 1], rows[top], buckets)[0].min(axis=1))
+                every = np.concatenate([best[q][0], distance[top, q]])
+                needs = np.concatenate([best[q][1], gaps])
+                keep = np.argsort(every, kind="stable")[:k]
+                best[q] = every[keep], needs[keep]
+        found = [(q, d, n) for q, (every, needs) in enumerate(best) for d, n in zip(every, needs)]
+        if found:
+            yield pd.DataFrame(
+                {"q": [f[0] for f in found], "distance": [f[1] for f in found], "needs": [list(f[2]) for f in found]}
+            )
+
+    hits = vectors.mapInPandas(nearest, "q int, distance double, needs array<double>")
+    hits = top_n_per_group(hits, ["q"], [F.col("distance").asc()], k).select("needs").toPandas()
+    if hits.empty:
+        return buckets
+    # By width, the distance of a neighbour's cell from the question's place.
+    reaches = np.quantile(np.stack(hits["needs"].to_numpy()), TRIAL_RECALL, axis=0, method="higher")
+    for width in range(len(reaches), 0, -1):
+        reach = float(reaches[width - 1]) + 1e-9
+        tried = Buckets(buckets.planes[:, :width], buckets.length, reach)
+        if width == 1 or all(_cells_near(v, tried, MOST_CELLS) is not None for v in matrix):
+            break
+
+    def met(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _unit_batches(parts):
+            near = _gaps(matrix, rows, tried)[..., -1] <= reach**2
+            yield pd.DataFrame({"near": [int(near.sum())], "n": [len(rows) * len(matrix)]})
+
+    pairs = vectors.mapInPandas(met, "near long, n long").agg(F.sum("near"), F.sum("n")).first()
+    if pairs[0] >= SCAN_SHARE * pairs[1]:
+        return Buckets(buckets.planes, buckets.length, float("inf"))
+    return tried
+
+
+def _unit_batches(parts: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+    for part in parts:
+        for at in range(0, len(part), 512):
+            yield _unit_rows(np.stack(part["_vec"].iloc[at : at + 512].to_numpy()).astype(np.float64))
+
+
+def _gaps(asked: np.ndarray, rows: np.ndarray, buckets: Buckets) -> np.ndarray:
+    """Squared distance from the place of a question to the cell of a row, by question, row,
+    table and width."""
+    place = np.einsum("qd,twd->qtw", asked, buckets.planes)[:, None]
+    low = np.floor(np.einsum("nd,twd->ntw", rows, buckets.planes) / buckets.length) * buckets.length
+    gap = np.maximum(np.maximum(low - place, place - low - buckets.length), 0.0)
+    return np.cumsum(gap**2, axis=3)
+
+
+def _cells_near(vector: np.ndarray, buckets: Buckets, most: int | None = None) -> list[str] | None:
+    """Signatures of the cells within reach of a unit vector; null if a table has over `most`."""
+    length, found = buckets.length, []
+    every = np.arange(np.floor(-1 / length) - 1, np.floor(1 / length) + 2).astype(np.int64)
+    for t, table in enumerate(buckets.planes):
+        cells, gaps = np.zeros((1, 0), np.int64), np.zeros(1)
+        for x in table @ vector:
+            gap = np.maximum(np.maximum(every * length - x, x - (every + 1) * length), 0.0) ** 2
+            total = gaps[:, None] + gap[None, :]
+            i, j = np.nonzero(total <= buckets.reach**2)
+            cells, gaps = np.concatenate([cells[i], every[j][:, None]], axis=1), total[i, j]
+            if most is not None and len(cells) > most:
+                return None
+        found += [f"{t}:" + ",".join(map(str, cell)) for cell in cells.tolist()]
+    return found
+
+
+def _with_cells_near(frame: DataFrame, buckets: Buckets, vec_col: str) -> DataFrame:
+    """`_signatures` of questions: every cell within reach."""
+
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for at in range(0, len(part), 64):
+                few = part.iloc[at : at + 64]
+                units = _unit_rows(np.stack(few[vec_col].to_numpy()).astype(np.float64))
+                yield few.assign(_cells=[_cells_near(v, buckets) for v in units])
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in frame.dtypes) + ", _cells array<string>"
+    return frame.mapInPandas(batches, schema)
 
 
 def _signatures(frame: DataFrame, buckets: Buckets, vec_col: str) -> DataFrame:
@@ -354,17 +479,19 @@ def cosine_top_k_approx(
     query_vec: str = "embedding",
     rows_per_task: int = 100_000,
 ) -> DataFrame:
-    """`cosine_top_k` over the documents that share a signature with the question.
+    """`cosine_top_k` over the documents whose cells are within reach of the question.
 
-    A question is compared with the documents of its own cells, however many questions are
-    asked at once. Distances are exact; a neighbour without a common signature is missed.
+    A question is compared with the documents of these cells, however many questions are
+    asked at once. Distances are exact; a neighbour beyond reach in every table is missed.
     """
+    if np.isinf(buckets.reach):
+        return cosine_top_k(collection, queries, k, id_col, vec_col, query_id, query_vec)
     documents = _signatures(
         collection.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("_vec")),
         buckets,
         "_vec",
     )
-    asked = _signatures(
+    asked = (_with_cells_near if buckets.reach else _signatures)(
         queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("_vec")),
         buckets,
         "_vec",

@@ -89,11 +89,12 @@ select query_id, doc_id, round(distance, 6) distance,
 from met qualify "rank" <= 5
 """.replace("cells as (select label", "parts as (select label", 1).replace("from cells group", "from parts group", 1))
 def cosine_top_k_approx(spark, folder):
+    """The bare cells of the SQL twin, so the width is given and no reach is learned."""
     vectors = adapters.table(spark, folder, "embeddings")
     return retrieval.cosine_top_k_approx(
         vectors,
         label_questions(spark, folder),
-        retrieval.fit_buckets(vectors),
+        retrieval.fit_buckets(vectors, width=retrieval.width_for(vectors.count(), 64)),
         5,
         id_col="vec_id",
     ).withColumn("distance", F.round("distance", 6))

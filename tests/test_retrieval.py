@@ -121,6 +121,25 @@ def test_cells_stay_small_as_the_collection_grows(spark):
     assert pairs[1] < 4 * pairs[0]
 
 
+@pytest.mark.parametrize("n, clustered", [(1000, False), (6000, True)])
+def test_default_buckets_keep_recall_at_every_size(spark, n, clustered):
+    rng = np.random.default_rng(n)
+    centers = rng.normal(size=(n // 20, 32))
+    x = centers[np.arange(n) % len(centers)] + 0.4 * rng.normal(size=(n, 32))
+    if not clustered:
+        x = rng.normal(size=(n, 32))
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>"
+    )
+    questions = x[:40] + 0.1 * rng.normal(size=(40, 32))
+    buckets = retrieval.fit_buckets(frame)
+    hits = retrieval.cosine_top_k_approx(frame, ask(spark, questions), buckets, 5).collect()
+    exact = {(q, i) for q, i, _ in brute(x, questions, 5)}
+    assert len({(r.query_id, r.doc_id) for r in hits} & exact) / len(exact) >= 0.9
+    # At the larger size cells answer, not the scan.
+    assert np.isfinite(buckets.reach) or n < 6000 or not clustered
+
+
 POSTS = "post_id string, subreddit string, cleaned_title string, cleaned_text string, created long"
 
 
