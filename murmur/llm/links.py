@@ -20,9 +20,6 @@ ROUNDS = 20
 CUT = 5
 # A host is a seed if rules decide more than this share of its pages in one way.
 SEED_SHARE = 0.5
-# Without a rule for its page, a host is blocked if its distrust is above its trust and
-# at least this.
-LEAST = 0.01
 
 
 def host_of(url: Column) -> Column:
@@ -149,15 +146,17 @@ def host_scores(pages: DataFrame, name: str = "links", **options) -> DataFrame:
     )
 
 
-def judge_pages(pages: DataFrame, rules=RULES, least: float = LEAST, **options) -> DataFrame:
+def judge_pages(pages: DataFrame, rules=RULES, **options) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust of every page.
 
     The longest fitting rule decides; without one the page's host does: blocked if its
-    distrust exceeds its trust and is at least `least`, else allowed. Null urls and those
-    without :// have empty host and path and share the host of empty name, which has no
-    links. Null html has no links. Repeated rows are judged alike; other columns are not
-    read. Hosts grow with the pages, so their scores are joined; a host with very many
-    pages is pre-aggregated in each task, and its pages are split by the adaptive join.
+    distrust exceeds its trust, else allowed. There is no least distrust: the distrust of a
+    blocked host is divided among all that link to it, so any bound loses them when they are
+    many. Null urls and those without :// have empty host and path and share the host of
+    empty name, which has no links. Null html has no links. Repeated rows are judged alike;
+    other columns are not read. Hosts grow with the pages, so their scores are joined; a
+    host with very many pages is pre-aggregated in each task, and its pages are split by the
+    adaptive join.
     """
     judged = pages.select(
         "page_id",
@@ -166,9 +165,7 @@ def judge_pages(pages: DataFrame, rules=RULES, least: float = LEAST, **options)
         "html",
     ).withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     scores = host_scores(judged, **options)
-    by_host = F.when(
-        (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least), "block"
-    ).otherwise("allow")
+    by_host = F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")
     return judged.drop("html").join(scores, "host", "left").select(
         "page_id",
         "host",

@@ -85,3 +85,11 @@ def test_trust_flows_along_and_distrust_against_links(spark):
     assert K.judge_pages(none).collect() == []
     twice = K.judge_pages(frame.unionAll(frame.where("page_id = 6"))).where("page_id = 6").collect()
     assert len(twice) == 2 and twice[0] == twice[1]
+
+
+@pytest.mark.parametrize("linkers", [400])
+def test_many_linkers_of_a_blocked_host_are_all_blocked(spark, linkers):
+    rows = [page(0, "bad.net", "/")] + [page(i, f"f{i}.com", "/", "http://bad.net/") for i in range(1, linkers + 1)]
+    rows += [page(1000, "behind.com", "/", "http://f1.com/"), page(1001, "other.com", "/", "http://fine.com/")]
+    got = {r.host: r.verdict for r in K.judge_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), rounds=3).collect()}
+    assert {h for h, v in got.items() if v == "allow"} == {"other.com"}
