@@ -84,8 +84,8 @@ class ByteBpe:
     The pattern that cuts a text before merging lets a blank only start a piece, and a
     line feed between two other characters stand alone. So the ids of a text are those
     of the pieces between such places, one after another, and a piece that has been seen
-    (by its 64-bit hash) is looked up. Texts with other white space go through the library
-    whole.
+    (by its 64-bit hash) is looked up. Texts with other white space, and those that hold an
+    added token (as <|endoftext|>), which the library cuts out first, go through it whole.
     """
 
     @classmethod
@@ -102,7 +102,7 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.line_feed,) = self.library(["\n"])[0].tolist()
         self.memory = Memory()
 
@@ -158,7 +158,10 @@ class ByteBpe:
     def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers, `end` after them."""
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        whole = [i for i, t in enumerate(texts) if not t or ODD_SPACE.search(t)]
+        whole = [
+            i for i, t in enumerate(texts)
+            if not t or ODD_SPACE.search(t) or any(a in t for a in self.added)
+        ]
         out: list[bytes] = [b""] * len(texts)
         for i, ids in zip(whole, self.library([texts[i] for i in whole])):
             out[i] = ids.tobytes() + tail

@@ -87,3 +87,17 @@ def test_digest(docs, options):
 
 def test_empty(docs):
     assert H.token_digest(docs([]), PATH).collect() == []
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\ny z", "<|endoftext| > a", "<|endof\ntext|>"]
+
+
+def test_special_tokens_are_those_of_the_untouched_tokenizer(docs):
+    t = Tokenizer.from_file(PATH)
+    want = [t.encode(x, add_special_tokens=False).ids for x in SPECIAL]
+    assert want[0] == [64, 220, 50256, 275]
+    got = ByteBpe.of(PATH).encode(SPECIAL)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    rows = H.token_digest(docs([{"doc_id": i, "text": x} for i, x in enumerate(SPECIAL)]), PATH).collect()
+    crcs = {i: zlib.crc32(np.array([*ids, 2], "<u4").tobytes()) for i, ids in enumerate(want)}
+    assert {tuple(r)[0]: tuple(r)[3] for r in rows} == crcs
