@@ -202,6 +202,28 @@ def candidates_wanted(
     return float(counts[:, 0].max())
 
 
+def _exact(asked: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Scores as `_dot` has them: products summed in order of the components."""
+    return np.add.accumulate(asked * rows, axis=-1)[..., -1]
+
+
+def _top(asked: np.ndarray, rows: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, exact scores) of the `n` best rows of each query by score, then id.
+
+    The matrix product leaves out what is surely behind; every row that may tie with the
+    last place is compared exactly.
+    """
+    rough = asked @ rows.T
+    top = np.argpartition(-rough, n - 1, axis=1)[:, :n]
+    edge = np.take_along_axis(rough, top, axis=1).min(axis=1)
+    length = np.linalg.norm(asked, axis=1) * np.sqrt((rows**2).sum(axis=1).max())
+    near = rough >= (edge - 1e-15 * (rows.shape[1] + 4) * length)[:, None]
+    for i in np.flatnonzero(near.sum(axis=1) > n):
+        at = np.flatnonzero(near[i])
+        top[i] = at[np.lexsort((ids[at], -_exact(asked[i], rows[at])))[:n]]
+    return top, _exact(asked[:, None], rows[top])
+
+
 ROWS = "tree int, stretch long, part int, kind int, id long, low long, high long, vector array<double>"
 
 
@@ -290,14 +312,13 @@ def _nearest(k: int):
             mine = np.flatnonzero((low == span[0]) & (high == span[1]))
             for at in range(0, len(mine), QUERIES_AT_ONCE):
                 few = mine[at : at + QUERIES_AT_ONCE]
-                scores = vectors[few] @ rows[begin:end].T
                 n = min(k, end - begin)
-                top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+                top, scores = _top(vectors[few], rows[begin:end], ids[begin:end], n)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(qid[few], n)),
                         pa.array(ids[begin:end][top].ravel()),
-                        pa.array(np.take_along_axis(scores, top, axis=1).ravel()),
+                        pa.array(scores.ravel()),
                     ],
                     ["qid", "vid", "rough"],
                 )
@@ -345,7 +366,9 @@ def search(
 
     `vectors` has vec_id and embedding; `is_query` tells the queries. Candidates are all
     rows but the query's own. Equal vectors are searched once, as data and as queries; of a
-    vector's copies the k + 1 smallest ids can be in an answer and no more are carried.
+    vector's copies the k + 1 smallest ids can be in an answer and no more are carried. Rows
+    equal in vec_id and vector count once; several vectors of one vec_id are several rows.
+    Of candidates that tie, those of the smallest vec_id are taken.
 
     Each tree is a sorted array of hash strings, kept as stretches of rows in range order.
     A query descends to the rows that share its longest prefix; all trees then ascend
@@ -357,13 +380,13 @@ def search(
     rows = usable(vectors)
     copies = Window.partitionBy("vector").orderBy("vec_id")
     members = stored(
-        rows.withColumn("copy", F.row_number().over(copies))
+        rows.distinct().withColumn("copy", F.row_number().over(copies))
         .where(F.col("copy") <= k + 1)
         .withColumn("vid", F.first("vec_id").over(copies)),
         f"{name}-members",
     )
     distinct = members.where("copy = 1").select("vid", "vector")
-    asked = rows.where(is_query)
+    asked = rows.where(is_query).distinct()
     queries = stored(asked.groupBy("vector").agg(F.min("vec_id").alias("qid")).select("qid", "vector"), f"{name}-queries")
     forest = fit(distinct, trees, seed)
     empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")

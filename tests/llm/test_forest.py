@@ -67,3 +67,22 @@ def test_small_tables(spark):
     assert run(spark, [(1, [1.0, 2.0])]) == {}
     assert run(spark, [(0, [1.0, 2.0])]) == {}
     assert run(spark, [(0, [1.0, 2.0]), (7, [2.0, 1.0]), (3, [1.0, 2.0])]) == {0: [(3, 5.0), (7, 4.0)]}
+
+
+@pytest.mark.parametrize("times", [2, 25])
+def test_repeated_rows_count_once(spark, times):
+    x = np.random.default_rng(3).normal(size=(60, 4))
+    rows = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(x)]
+    want = brute(rows)
+    got = run(spark, rows + [r for r in rows if r[0] in (0, 20)] * (times - 1), recall=1.0)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_ties_at_the_last_place_go_by_id():
+    rng = np.random.default_rng(4)
+    rows, ids = rng.integers(0, 2, size=(400, 12)) * 0.1, rng.permutation(400)
+    asked = rows[:5]
+    top, scores = A._top(asked, rows, ids, 29)
+    for q, at, found in zip(asked, top, scores):
+        want = sorted((-sum((a * b for a, b in zip(q.tolist(), r.tolist())), 0.0), int(i)) for r, i in zip(rows, ids))[:29]
+        assert sorted(zip((-found).tolist(), ids[at].tolist())) == want
