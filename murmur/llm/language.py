@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.llm.common import clean_text, ship, stored
@@ -16,9 +16,10 @@ ship(__name__)
 
 UNKNOWN = "und"
 # The text model is fitted to at most this many documents of each language, those of the
-# smallest hash of doc_id, and to the LANGUAGES most frequent labels.
+# smallest hash of doc_id. Every label is a language.
 FIT_DOCUMENTS = 2000
-LANGUAGES = 30
+# Ids of fitted documents that are sent to the documents; more are joined as Spark sees fit.
+IDS_SENT = 1_000_000
 BITS = 14
 # Neighbouring trigrams are not independent: a text weighs as this many at most.
 EFFECTIVE = 40.0
@@ -78,37 +79,37 @@ def _counter():
 def train(labelled: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> tuple[list[str], np.ndarray]:
     """Languages and log-likelihoods of trigram buckets; the last row is the unknown language.
 
-    `labelled` has doc_id, text and lang. What comes to the driver is bounded by LANGUAGES
-    x buckets. The unknown language gives every bucket the same chance.
+    `labelled` has doc_id, text and lang. What comes to the driver grows with labels x
+    buckets, not with documents. The unknown language gives every bucket the same chance.
     """
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    names = [
-        r["lang"]
-        for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    ]
-    names.sort()
+    names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     table = np.full((len(names) + 1, 1 << BITS), 0.5)
     if names:
-        chosen = None
-        for name in names:
-            few = (
-                known.where(F.col("lang") == name)
-                .select("doc_id", "lang")
-                .orderBy(F.xxhash64("doc_id"), "doc_id")
-                .limit(fit_documents)
-            )
-            chosen = few if chosen is None else chosen.unionAll(few)
-        # At most LANGUAGES x fit_documents ids.
-        texts = known.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).select("lang", "text")
+        first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = (
+            known.select("doc_id", "lang")
+            .withColumn("_no", F.row_number().over(first))
+            .where(F.col("_no") <= fit_documents)
+            .select("doc_id", "lang")
+            .distinct()
+        )
+        if len(names) * fit_documents <= IDS_SENT:
+            chosen = F.broadcast(chosen)
+        texts = known.join(chosen, ["doc_id", "lang"]).select("lang", "text")
         counts = (
             texts.mapInArrow(_counter(), "lang string, bucket long, n long")
             .groupBy("lang", "bucket")
             .agg(F.sum("n").alias("n"))
-            .collect()
+            .toArrow()
         )
         place = {name: i for i, name in enumerate(names)}
-        for row in counts:
-            table[place[row["lang"]], row["bucket"]] += row["n"]
+        lang = counts.column("lang").combine_chunks().dictionary_encode()
+        if isinstance(lang, pa.ChunkedArray):
+            lang = lang.combine_chunks()
+        where = np.array([place[v] for v in lang.dictionary.to_pylist()], np.int64)
+        if len(where):
+            table[where[lang.indices.to_numpy()], counts.column("bucket").to_numpy()] += counts.column("n").to_numpy()
     return names, np.log(table / table.sum(axis=1, keepdims=True))
 
 
@@ -193,17 +194,17 @@ def text_vote(names: list[str], vote: float = VOTE) -> Column:
 def declared_language(column: Column, names: list[str]) -> Column:
     """Position of a declared language tag (primary subtag, any case), -1 for others, null for none."""
     tag = F.lower(F.regexp_extract(column, r"^\s*([A-Za-z]{2,8})(?:[-_]|\s*$)", 1))
-    place = F.lit(-1)
-    for i, name in enumerate(names):
-        place = F.when(tag == name.lower(), F.lit(i)).otherwise(place)
+    # Of names that differ in case only, the last.
+    last = {name.lower(): i for i, name in enumerate(names)}
+    known = F.array(*[F.lit(n.lower() if last[n.lower()] == i else None) for i, n in enumerate(names)])
+    place = F.array_position(known.cast("array<string>"), tag).cast("int") - 1
     return F.when(F.coalesce(tag, F.lit("")) != "", place)
 
 
-def _counts(names: list[str]) -> list[Column]:
-    return [
-        F.sum(F.when(F.col("vote") == i, F.col("votes")).otherwise(F.lit(0))).alias(f"c{i}")
-        for i in range(len(names) + 1)
-    ]
+def _votes(votes: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """`name`: a map from language to votes for each of `keys`, of the languages met there."""
+    met = votes.groupBy(*keys, "vote").agg(F.sum("votes").cast("double").alias("_n"))
+    return met.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("vote", "_n"))).alias(name))
 
 
 def learn(evidence: DataFrame, names: list[str], name: str) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -222,14 +223,8 @@ def learn(evidence: DataFrame, names: list[str], name: str) -> tuple[DataFrame,
         name,
     )
     sure = votes.where(F.col("vote").isNotNull())
-    host = sure.groupBy("host", "domain").agg(*_counts(names))
-    domain = sure.groupBy("domain").agg(*_counts(names))
-    as_array = F.array(*[F.col(f"c{i}").cast("double") for i in range(size)])
-    priors = (
-        host.select("host", "domain", as_array.alias("own"))
-        .join(domain.select("domain", as_array.alias("shared")), "domain")
-        .drop("domain")
-    )
+    host = _votes(sure, ["host", "domain"], "own")
+    priors = host.join(_votes(sure, ["domain"], "shared"), "domain").drop("domain")
     table = np.ones((size, size))  # true language x declared (the last column: another one)
     everyone = np.zeros(size)
     for row in sure.groupBy("vote", "declared").agg(F.sum("votes").alias("n")).collect():
@@ -240,7 +235,9 @@ def learn(evidence: DataFrame, names: list[str], name: str) -> tuple[DataFrame,
 
 
 def _numbers(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """One literal however many there are; Spark reads it once, when it plans."""
+    text = ",".join(repr(float(v)) for v in values)
+    return F.transform(F.split(F.lit(text), ","), lambda v: v.cast("double"))
 
 
 def fuse(evidence: DataFrame, names: list[str], learned, accept: float = ACCEPT) -> DataFrame:
@@ -262,20 +259,21 @@ def fuse(evidence: DataFrame, names: list[str], learned, accept: float = ACCEPT)
             rest = (1 - SUFFIX_TRUST) / max(size - len(at), 1)
             suffixes[suffix] = [SUFFIX_TRUST / len(at) if i in at else rest for i in range(size)]
     none = _numbers([0.0] * size)
-    by_suffix, by_declared = none, none
+    by_suffix = none
     for suffix, chances in suffixes.items():
         by_suffix = F.when(F.col("suffix") == suffix, _numbers(np.log(chances))).otherwise(by_suffix)
-    for d in range(size):
-        # -1 stands for another language, the last column.
-        code = d if d < size - 1 else -1
-        by_declared = F.when(F.col("declared") == code, _numbers(np.log(declared[:, d]))).otherwise(by_declared)
-    index = F.array(*[F.lit(i) for i in range(size)])
+    # Column by column; -1 stands for another language, the last one.
+    column = F.when(F.col("declared") == -1, F.lit(size - 1)).otherwise(F.col("declared"))
+    every = _numbers(np.log(declared).T.ravel())
+    by_declared = F.when(F.col("declared").isNotNull(), F.slice(every, column * size + 1, size)).otherwise(none)
+    index = F.sequence(F.lit(0), F.lit(size - 1))
     own_vote = F.transform(
         index, lambda i: F.when(F.coalesce("vote", F.lit(-1)) == i, F.lit(1.0)).otherwise(F.lit(0.0))
     )
 
     def less(votes: str) -> Column:
-        return F.zip_with(F.coalesce(votes, none), F.col("own_vote"), lambda c, v: F.greatest(c - v, F.lit(0.0)))
+        met = F.transform(index, lambda i: F.coalesce(F.try_element_at(F.col(votes), i), F.lit(0.0)))
+        return F.zip_with(met, F.col("own_vote"), lambda c, v: F.greatest(c - v, F.lit(0.0)))
 
     def smoothed(votes: Column, prior: Column) -> Column:
         n = F.aggregate(votes, F.lit(0.0), lambda a, v: a + v)

@@ -79,3 +79,23 @@ def test_nothing(spark, docs):
     page = spark.createDataFrame([(1, "http://a.de/", "<p>der</p>")], empty.schema)
     (row,) = L.identify_pages(page, docs([])).collect()
     assert row.language == "und" and not row.accepted
+
+
+def test_every_label_is_a_language(spark, docs):
+    """More languages than thirty, each with words of its own."""
+    rng = random.Random(9)
+    tongues = {f"{a}{b}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+               for a in "xyz" for b in "abcdefghijklmn"}
+    assert len(tongues) == 42
+
+    def rows(n, start):
+        return [{"doc_id": start + i * 100 + j, "text": " ".join(rng.choice(w) for _ in range(60)), "lang": l, "source": "s"}
+                for i, (l, w) in enumerate(tongues.items()) for j in range(n)]
+
+    learn, asked = rows(3, 0), rows(1, 10_000)
+    pages = spark.createDataFrame(
+        [(r["doc_id"], f"http://{r['lang']}.example.org/", f"<html lang='{r['lang']}'><p>{r['text']}</p>") for r in asked],
+        "page_id long, url string, html string")
+    got = {r.page_id: r for r in L.identify_pages(pages, docs(learn)).collect()}
+    assert all(got[r["doc_id"]].language == got[r["doc_id"]].declared_language == r["lang"] for r in asked)
+    assert L.accepted_documents(docs(asked), docs(learn)).count() == len(asked)
