@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmur.llm import forest, huffman, imatch, jaccard, language, links, mixing, pieces, sharding, toxicity
+from murmur.llm import codes, forest, huffman, imatch, infill, jaccard, language, links, mixing
+from murmur.llm import pieces, sharding, toxicity
 from murmur.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,14 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_prefix_forest": op2_prefix_forest,
@@ -74,5 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_imatch": op8_imatch,
     "op9_mix": op9_mix,
     "op10_shards": op10_shards,
+    "op11_infill": op11_infill,
+    "op13_vector_codes": op13_vector_codes,
 }
-SQL: dict[str, str] = {"op9_mix": mixing.SQL}
+SQL: dict[str, str] = {"op9_mix": mixing.SQL, "op11_infill": infill.SQL, "op13_vector_codes": codes.SQL}
