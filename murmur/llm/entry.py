@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from murmur.llm import codes, forest, huffman, imatch, infill, jaccard, language, links, mixing
-from murmur.llm import pieces, sharding, toxicity
+from murmur.llm import pieces, repeats, sharding, toxicity
 from murmur.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.infill_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress_embeddings(table(spark, sf_dir, "embeddings"))
 
@@ -84,6 +88,12 @@ QUERIES: dict[str, Query] = {
     "op9_mix": op9_mix,
     "op10_shards": op10_shards,
     "op11_infill": op11_infill,
+    "op12_repeats": op12_repeats,
     "op13_vector_codes": op13_vector_codes,
 }
-SQL: dict[str, str] = {"op9_mix": mixing.SQL, "op11_infill": infill.SQL, "op13_vector_codes": codes.SQL}
+SQL: dict[str, str] = {
+    "op9_mix": mixing.SQL,
+    "op11_infill": infill.SQL,
+    "op12_repeats": repeats.SQL,
+    "op13_vector_codes": codes.SQL,
+}
