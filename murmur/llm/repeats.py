@@ -545,15 +545,15 @@ SQL = """
 WITH docs AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents
 ), pieces AS (
-    SELECT doc_id, at, body[2 * at + 1:2 * at + 2 * (256 + 49)] AS piece
-    FROM (SELECT doc_id, body, unnest(range(0, length(body) // 2, 256)) AS at FROM docs)
+    SELECT doc_id, o, body[2 * o + 1:2 * o + 2 * (256 + 49)] AS piece
+    FROM (SELECT doc_id, body, unnest(range(0, length(body) // 2, 256)) AS o FROM docs)
 ), windows AS (
-    SELECT doc_id, at + p AS p, piece[2 * p + 1:2 * p + 100] AS s
-    FROM (SELECT doc_id, at, piece, unnest(range(0, least(256, length(piece) // 2 - 49))) AS p FROM pieces)
-), least AS (
+    SELECT doc_id, o + p AS p, piece[2 * p + 1:2 * p + 100] AS s
+    FROM (SELECT doc_id, o, piece, unnest(range(0, least(256, length(piece) // 2 - 49))) AS p FROM pieces) AS t
+), shared AS (
     SELECT s, min(doc_id) AS doc FROM windows GROUP BY s HAVING min(doc_id) <> max(doc_id)
 ), hits AS (
-    SELECT w.doc_id, w.p FROM windows AS w JOIN least AS l ON w.s = l.s AND l.doc < w.doc_id
+    SELECT w.doc_id, w.p FROM windows AS w JOIN shared AS l ON w.s = l.s AND l.doc < w.doc_id
 ), marked AS (
     SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true) AS new
     FROM hits
