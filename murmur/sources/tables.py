@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.functions.scalars import epoch_seconds, numeric_coerce
+from murmur.sources.csv import RANGE_BYTES, read_csv
 
 
 def expose_json_fields(frame: DataFrame, fields: dict, data_col: str = "data") -> DataFrame:
@@ -78,20 +79,15 @@ def load_posts_jdbc(
 
 
 def load_export_csv(
-    spark: SparkSession, path: str, schema: str, columns: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    columns: list[str] | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """A CSV export with a header, quoted JSON cells and line breaks inside cells.
 
-    Such a file cannot be split, so large exports should come in many files, or
-    be written to parquet once and queried from there.
+    A large file is read in ranges of `range_bytes`, see `murmur.sources.csv`.
     """
-    frame = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    frame = read_csv(spark, path, schema, range_bytes=range_bytes)
     return frame.select(*columns) if columns else frame
