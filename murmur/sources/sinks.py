@@ -84,6 +84,30 @@ def write_posts(new_rows: DataFrame, path: str, partition_col: str = "board") ->
     new_rows.write.mode("append").partitionBy(partition_col).parquet(path)
 
 
+def latest_rows(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The row of each key that is last by `order`: what `upsert_latest` keeps of `rows`."""
+    rest = [c for c in rows.columns if c not in (*keys, order)]
+    last = rows.groupBy(*keys).agg(_pick(rest, [F.col(order)]).alias("_row"))
+    return last.select(*keys, F.col("_row.o0").alias(order), "_row.row.*").select(*rows.columns)
+
+
+def first_and_latest_rows(
+    rows: DataFrame, keys: list[str], update_cols: list[str], frozen_cols: list[str], order: str
+) -> DataFrame:
+    """Two rows of each key that stand for all in `upsert_partial`: that with its frozen
+    columns and that with its updated ones. Rows equal in all columns are one."""
+    both = rows.groupBy(*keys).agg(
+        _pick([*update_cols, *frozen_cols], [F.col(order)]).alias("_last"),
+        _pick([*frozen_cols, *update_cols], [F.col(order)], earliest=True).alias("_first"),
+    )
+    ends = [
+        F.struct(F.col(f"{c}.o0").alias(order), *(F.col(f"{c}.row.{n}").alias(n) for n in (*update_cols, *frozen_cols)))
+        for c in ("_first", "_last")
+    ]
+    each = both.select(*keys, F.explode(F.array_distinct(F.array(*ends))).alias("_row"))
+    return each.select(*keys, "_row.*").select(*rows.columns)
+
+
 # --- keyed tables fed batch by batch ---------------------------------------------------
 
 
@@ -99,7 +123,7 @@ def read_batch(
     spark: SparkSession, path: str, schema: str, stream: str, batch_id: int
 ) -> DataFrame:
     """The rows one batch stored, none if it has not run."""
-    return _read_or_empty(spark, f"{path}/stream={stream}/batch_id={batch_id}", schema)
+    return read_or_empty(spark, f"{path}/stream={stream}/batch_id={batch_id}", schema)
 
 
 def read_batches(
@@ -110,14 +134,15 @@ def read_batches(
     `without` names the stream and batch at hand: what it and later batches of its stream
     stored, in a run that did not end, is left out.
     """
-    stored = _read_or_empty(spark, path, f"{schema}, stream string, batch_id bigint")
+    stored = read_or_empty(spark, path, f"{schema}, stream string, batch_id bigint")
     if without is None:
         return stored
     stream, batch_id = without
     return stored.where((F.col("stream") != stream) | (F.col("batch_id") < batch_id))
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The stored rows, none if nothing was stored yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

@@ -22,9 +22,13 @@ from murmur.functions.text import clean_html_text
 from murmur.operators.nested import flatten_comment_tree, new_comments_since, next_markers
 from murmur.schemas import CATALOG_FILE, LISTING_FILE, POST_FIELDS, THREAD_FILE
 from murmur.session import use_utc
+from murmur.sources import keyed
+from murmur.sources.keyed import Keyed
 from murmur.sources.payloads import explode_catalog_threads, explode_listing, explode_thread_posts
 from murmur.sources.sinks import (
     append_new_posts,
+    first_and_latest_rows,
+    latest_rows,
     read_batch,
     read_batches,
     upsert_latest,
@@ -91,6 +95,11 @@ def _keep_unreadable(
 THREAD_KEY_ROWS = "board string, thread_number bigint, post_number bigint"
 
 
+def post_keys(out_path: str) -> Keyed:
+    """The keys of the stored posts. A thread's keys are in one bucket."""
+    return Keyed(out_path, THREAD_KEY_ROWS, ("board", "thread_number"), lambda keys: keys.distinct())
+
+
 def stream_ingest_posts(
     spark: SparkSession,
     threads_path: str,
@@ -98,20 +107,26 @@ def stream_ingest_posts(
     checkpoint: str,
     per_batch: int | None = None,
     trigger: dict = DRAIN,
+    compact_every: int = keyed.EVERY,
 ) -> StreamingQuery:
     """Thread files to cleaned posts, each post once, whenever and in whatever file it comes.
 
-    A batch is held against the keys already stored (three narrow columns of the table), so
-    neither the age of a file nor that of a post matters, and no post is stored twice.
+    A batch is held against the keys stored of its threads, so neither the age of a file
+    nor that of a post matters, and no post is stored twice. The keys lie in an index of
+    buckets, of which a batch reads those of its threads, besides the batches that came
+    after the last compaction; so what it reads does not grow with the table.
     """
+    table = post_keys(out_path)
 
     def work(batch: DataFrame, stream: str, batch_id: int) -> None:
         readable = _keep_unreadable(
             batch, F.try_parse_json("payload").isNull(), out_path, stream, batch_id
         )
         posts = explode_thread_posts(readable, ["board", "thread_number", "ingested_at"])
-        held = read_batches(batch.sparkSession, out_path, THREAD_KEY_ROWS, (stream, batch_id))
+        held = keyed.look_up(batch.sparkSession, table, readable, (stream, batch_id))
         write_batch(append_new_posts(held, posts, THREAD_KEYS, "ingested_at"), out_path, stream, batch_id)
+        if keyed.due(batch_id, compact_every):
+            keyed.compact(batch.sparkSession, table)
 
     threads = _files(spark, threads_path, THREAD_FILE, per_batch=per_batch)
     arrived = threads.withColumn("ingested_at", F.col("_metadata.file_modification_time"))
@@ -127,6 +142,25 @@ COMMENT_ROWS = (
 )
 
 
+def posts_table(out_path: str) -> Keyed:
+    """Of every post the version fetched last."""
+    return Keyed(
+        out_path, POST_ROWS, ("post_id",), lambda rows: latest_rows(rows, ["post_id"], "fetched_at")
+    )
+
+
+def comments_table(out_path: str) -> Keyed:
+    """Of every comment what was fetched first and last."""
+    return Keyed(
+        out_path,
+        COMMENT_ROWS,
+        ("id",),
+        lambda rows: first_and_latest_rows(
+            rows, ["id"], ["post_id", "parent_id", "data"], ["cleaned_text"], "fetched_at"
+        ),
+    )
+
+
 def stream_upsert_posts(
     spark: SparkSession,
     listings_path: str,
@@ -134,12 +168,15 @@ def stream_upsert_posts(
     checkpoint: str,
     per_batch: int | None = None,
     trigger: dict = DRAIN,
+    compact_every: int = keyed.EVERY,
 ) -> StreamingQuery:
     """Post listings (children of kind ``t3``) into a keyed post table.
 
-    A batch adds its own rows only; `read_posts` merges them. So a batch costs
-    what it brings, not the size of the table.
+    A batch adds its own rows only, and every `compact_every` batches the older ones are
+    folded into the base, touched buckets only. `read_posts` merges the base and the few
+    batches since.
     """
+    table = posts_table(out_path)
 
     def work(batch: DataFrame, stream: str, batch_id: int) -> None:
         readable = _keep_unreadable(
@@ -149,6 +186,8 @@ def stream_upsert_posts(
             F.col("id").alias("post_id"), "subreddit", "data", "fetched_at"
         )
         write_batch(rows, out_path, stream, batch_id)
+        if keyed.due(batch_id, compact_every):
+            keyed.compact(batch.sparkSession, table)
 
     listings = _files(spark, listings_path, LISTING_FILE, per_batch=per_batch)
     return _each_batch(listings, checkpoint, work, trigger)
@@ -156,7 +195,7 @@ def stream_upsert_posts(
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """Latest version of every post, with typed columns."""
-    stored = read_batches(spark, path, POST_ROWS).drop("stream", "batch_id")
+    stored = keyed.read_rows(spark, posts_table(path))
     latest = upsert_latest(stored.limit(0), stored, ["post_id"], "fetched_at")
     return expose_json_fields(latest, POST_FIELDS)
 
@@ -168,12 +207,15 @@ def stream_upsert(
     checkpoint: str,
     per_batch: int | None = None,
     trigger: dict = DRAIN,
+    compact_every: int = keyed.EVERY,
 ) -> StreamingQuery:
-    """Comment listings (children of kind ``t1``, with nested replies) into a keyed table.
+    """Comment listings (children of kind ``t1``, with nested replies) into a keyed table,
+    compacted like that of `stream_upsert_posts`.
 
     Spark's JSON parser takes about 200 levels of replies; deeper listings are stored whole
     beside the table.
     """
+    table = comments_table(out_path)
 
     def work(batch: DataFrame, stream: str, batch_id: int) -> None:
         readable = _keep_unreadable(
@@ -188,6 +230,8 @@ def stream_upsert(
             stream,
             batch_id,
         )
+        if keyed.due(batch_id, compact_every):
+            keyed.compact(batch.sparkSession, table)
 
     listings = _files(spark, listings_path, LISTING_FILE, per_batch=per_batch)
     return _each_batch(listings, checkpoint, work, trigger)
@@ -195,7 +239,7 @@ def stream_upsert(
 
 def read_comments(spark: SparkSession, path: str) -> DataFrame:
     """Every comment once: latest data, text as first stored."""
-    stored = read_batches(spark, path, COMMENT_ROWS).drop("stream", "batch_id")
+    stored = keyed.read_rows(spark, comments_table(path))
     return upsert_partial(
         stored.limit(0),
         stored,
