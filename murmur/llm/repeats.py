@@ -36,7 +36,7 @@ SIZE = 50
 GRAM = 16
 # Text of a block and of a shard, in bytes; a longer document is a block of its own.
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 # Starts of windows that are hashed together.
 CHUNK = 1 << 18
 # An anchor with more segments than this, each counted once a block, is dealt by windows.
@@ -365,14 +365,37 @@ def segments_of_block(table: pa.Table, shards: int, size: int) -> pa.Table:
     )
 
 
+def anchors_of(body: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """The anchor of the window at each start."""
+    hashes = gram_hashes(body) & ~PLACE
+    pairs = np.stack([starts, starts + size - GRAM + 1], axis=1).reshape(-1)
+    return np.minimum.reduceat(np.append(hashes, ~np.uint64(0)), pairs)[::2]
+
+
 def smallest_documents(
     body: np.ndarray, starts: np.ndarray, counts: np.ndarray, low: np.ndarray, size: int
 ) -> np.ndarray:
     """For every window of every segment, in order: the smallest document that has it.
 
-    low: the smallest document of each segment. The segments become one text, each ended
-    by 0; equal windows are neighbours among its sorted suffixes.
+    low: the smallest document of each segment. Segments that share their anchor with
+    another one become one text, each ended by 0; equal windows are neighbours among its
+    sorted suffixes. What is alone with its anchor is equal to nothing else.
     """
+    order, first, _ = by_group(anchors_of(body, starts, size))
+    group = np.diff(np.concatenate([first, [len(order)]]))
+    several = np.zeros(len(starts), bool)
+    several[order] = np.repeat(group > 1, group)
+    out = np.repeat(low, counts)
+    if several.any():
+        among = np.repeat(several, counts)
+        out[among] = sorted_windows(body, starts[several], counts[several], low[several], size)
+    return out
+
+
+def sorted_windows(
+    body: np.ndarray, starts: np.ndarray, counts: np.ndarray, low: np.ndarray, size: int
+) -> np.ndarray:
+    """`smallest_documents` by the suffix array of all segments given."""
     sizes = counts + size - 1
     begins = np.cumsum(sizes + 1) - (sizes + 1)
     t = np.zeros(int((sizes + 1).sum()), np.int64)
