@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -9,28 +11,16 @@ from murmur.llm.common import ship
 
 ship(__name__)
 
-# Odd, so it has an inverse modulo 2^64 and the power of any position can be divided out.
+# Odd multipliers.
 BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+# Longer strings are hashed one by one.
+LONG = 1024
 SHINGLE = 5
 # Texts of a batch are hashed together up to about this many bytes; a longer text alone.
 # Some eighty bytes are needed for each, and small arrays stay in the processor's cache.
 GROUP_BYTES = 1 << 19
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and INVERSE^i for i < n."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 16)
-        for name, base in (("up", BASE), ("down", INVERSE)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
-    return _powers["up"][:n], _powers["down"][:n]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values (the finaliser of splitmix64, a bijection)."""
     x = x.copy()
@@ -42,6 +32,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_BYTES = np.concatenate([(np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)) - np.uint64(1), [~np.uint64(0)]])
+
+
+def eights(body: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number; past the end there are zeros."""
+    padded = np.concatenate([body, np.zeros(8, np.uint8)])
+    return np.ndarray((len(body) + 1,), "<u8", padded, strides=(1,))
+
+
+def string_hashes(body: np.ndarray, starts: np.ndarray, sizes: np.ndarray, words=None) -> np.ndarray:
+    """A 64-bit hash of each of the strings: its length, then eight bytes after eight, each
+    mixed with all before. Strings of up to eight bytes never share one with another of
+    their length. `words` spares the making of `eights(body)`."""
+    words = eights(body) if words is None else words
+    out = mixed(sizes.astype(np.uint64))
+    short = sizes <= LONG
+    open_ = np.flatnonzero(short) if not short.all() else np.arange(len(sizes))
+    at = 0
+    while len(open_):
+        left = sizes[open_] - at
+        x = words[starts[open_] + at] & _BYTES[np.minimum(left, 8)]
+        out[open_] = mixed((out[open_] ^ x) * BASE + STEP)
+        at += 8
+        open_ = open_[left > 8]
+    for i in np.flatnonzero(~short).tolist():
+        whole = body[starts[i] : starts[i] + sizes[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), "little")
+    return out
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after another, and the n + 1 offsets; null is empty."""
     texts = texts.fill_null("").cast(pa.large_string())
@@ -84,9 +104,8 @@ def word_hashes(body: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...]
     With `prefixes`, also a hash for each of these numbers of first bytes, a fifth item:
     one array per number, of all words; it is the word's own hash where the word is shorter.
 
-    A word is a longest run without ASCII white space inside one text. Its hash is a
-    polynomial over its bytes and its length; position is divided out, so equal words
-    hash alike wherever they are.
+    A word is a longest run without ASCII white space inside one text. Equal words hash
+    alike wherever they are.
     """
     if not len(body):
         none = np.zeros(0, np.int64)
@@ -103,13 +122,10 @@ def word_hashes(body: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...]
     after[:-1] = word[1:]
     starts = np.flatnonzero(word & (~before | edge[:-1]))
     ends = np.flatnonzero(word & (~after | edge[1:])) + 1
-    up, down = powers(len(body))
-    sums = np.zeros(len(body) + 1, np.uint64)
-    np.cumsum((body.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    words = eights(body)
 
     def hashed(upto: np.ndarray) -> np.ndarray:
-        value = (sums[upto] - sums[starts]) * down[starts]
-        return mixed(value + mixed((upto - starts).astype(np.uint64)))
+        return string_hashes(body, starts, upto - starts, words)
 
     parts = hashed(ends), starts, ends, np.diff(np.searchsorted(starts, offsets))
     if not prefixes:

@@ -5,7 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from murmur.llm.words import groups, shingle_sets, utf8, word_hashes
+from murmur.llm.words import groups, shingle_sets, string_hashes, utf8, word_hashes
 
 
 def shingles(text):
@@ -46,3 +46,25 @@ def test_groups_and_slices():
     assert list(groups(np.array([0, 5, 5, 100, 101]), 10)) == [(0, 2), (2, 3), (3, 4)]
     sliced = pa.array(["x y", "a b c d e f", None, "q"]).slice(1, 2)
     assert [len(s) for s in shingle_sets(sliced)] == [2, 0]
+
+
+def test_hashes_know_no_structure():
+    """Polynomials modulo 2^64 agree on such pairs, whatever their base."""
+    from tests.llm.test_huffman import thue_morse
+
+    for bits in (4, 9, 10, 11, 13):
+        pair = thue_morse(bits, "a", "b")
+        assert len({s.tobytes() for s in shingle_sets(pa.array(pair))}) == 2
+        body, offsets = utf8(pa.array(pair))
+        hashes, *_, begun = word_hashes(body, offsets, (4, 8))
+        assert len(set(hashes.tolist())) == 2 and len(set(begun[1].tolist())) == 2
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(min_size=0, max_size=40), min_size=1, max_size=20), st.integers(0, 9))
+def test_equal_strings_hash_alike_anywhere(strings, shift):
+    strings = strings + strings[:3] + [b"z" * 1500, b"z" * 1500]
+    body = np.frombuffer(b"q" * shift + b"".join(strings), np.uint8)
+    sizes = np.array([len(s) for s in strings])
+    got = string_hashes(body, np.cumsum(sizes) - sizes + shift, sizes).tolist()
+    assert len(set(zip(strings, got))) == len(set(strings)) == len(set(got))
