@@ -382,8 +382,11 @@ def segments_of_block(table: pa.Table, shards: int, size: int) -> pa.Table:
 def anchors_of(body: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """The anchor of the window at each start."""
     hashes = gram_hashes(body) & ~PLACE
-    pairs = np.stack([starts, starts + size - GRAM + 1], axis=1).reshape(-1)
-    return np.minimum.reduceat(np.append(hashes, ~np.uint64(0)), pairs)[::2]
+    order = np.argsort(starts)
+    pairs = np.stack([starts[order], starts[order] + size - GRAM + 1], axis=1).reshape(-1)
+    out = np.empty(len(starts), np.uint64)
+    out[order] = np.minimum.reduceat(np.append(hashes, ~np.uint64(0)), pairs)[::2]
+    return out
 
 
 def smallest_documents(
