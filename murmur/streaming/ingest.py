@@ -253,7 +253,13 @@ def read_comments(spark: SparkSession, path: str) -> DataFrame:
 # --- threads that disappear ---------------------------------------------------------------------
 
 
-DEAD_ROWS = "board string, snapshot_at bigint, thread_number bigint"
+# What a stream says of a snapshot: a row for each thread that it lacks of the one before,
+# and one without a thread, so that a snapshot that lacks nothing is said, too.
+DEAD_ROWS = "board string, snapshot_at bigint, thread_number bigint, turn bigint"
+# Threads of a snapshot, and a row without a thread, as it may be empty.
+SNAPSHOT_ROWS = DEAD_ROWS
+# Snapshots up to so many seconds behind the newest of their board are still put in order.
+LATENESS = 7 * 86400
 
 
 def dead_between_snapshots(catalogs: DataFrame) -> DataFrame:
@@ -263,14 +269,62 @@ def dead_between_snapshots(catalogs: DataFrame) -> DataFrame:
     time together are one snapshot. `snapshot_at` of the result is the snapshot
     without the thread.
     """
-    times = catalogs.select("board", "snapshot_at").distinct()
+    listed = explode_catalog_threads(catalogs, ["board", "snapshot_at"])
+    times = catalogs.select("board", "snapshot_at", F.lit(None).cast("bigint").alias("thread_number"))
+    return dead_threads_of(listed.unionByName(times)).where(F.col("thread_number").isNotNull())
+
+
+def dead_threads_of(snapshots: DataFrame) -> DataFrame:
+    """Of board, snapshot_at, thread_number (one row a snapshot without a thread): the threads
+    that each snapshot lacks of the one before, and a row without a thread for each snapshot
+    that has one before."""
+    rows = snapshots.select("board", "snapshot_at", "thread_number").distinct()
     after = F.lead("snapshot_at").over(Window.partitionBy("board").orderBy("snapshot_at"))
+    times = rows.select("board", "snapshot_at").distinct()
     pairs = times.withColumn("next_at", after).where(F.col("next_at").isNotNull())
-    threads = explode_catalog_threads(catalogs, ["board", "snapshot_at"]).distinct()
+    threads = rows.where(F.col("thread_number").isNotNull())
     before = threads.join(pairs, ["board", "snapshot_at"]).select(
         "board", F.col("next_at").alias("snapshot_at"), "thread_number"
     )
-    return before.join(threads, ["board", "snapshot_at", "thread_number"], "left_anti")
+    dead = before.join(threads, ["board", "snapshot_at", "thread_number"], "left_anti")
+    said = pairs.select(
+        "board", F.col("next_at").alias("snapshot_at"), F.lit(None).cast("bigint").alias("thread_number")
+    )
+    return dead.unionByName(said)
+
+
+def _last_turn(rows: DataFrame) -> DataFrame:
+    """Of each board and snapshot what was said last."""
+    last = rows.groupBy("board", "snapshot_at").agg(F.max("turn").alias("turn"))
+    return rows.join(last, ["board", "snapshot_at", "turn"], "left_semi").select(*rows.columns).distinct()
+
+
+def said_table(out_path: str) -> Keyed:
+    """What was said last of each snapshot."""
+    return Keyed(out_path, DEAD_ROWS, ("board",), _last_turn)
+
+
+def _kept_snapshots(rows: DataFrame, lateness: int) -> DataFrame:
+    """Snapshots within the lateness of the newest of their board, and the one before these.
+
+    Of a thread listed in several pieces of a snapshot one row is left.
+    """
+    once = rows.groupBy("board", "snapshot_at", "thread_number").agg(F.max("turn").alias("turn"))
+    times = once.groupBy("board", "snapshot_at").agg(F.max("turn").alias("_turn"))
+    newest = F.max("snapshot_at").over(Window.partitionBy("board"))
+    after = F.lead("snapshot_at").over(Window.partitionBy("board").orderBy("snapshot_at"))
+    kept = (
+        times.withColumn("_from", newest - lateness)
+        .withColumn("_after", after)
+        .where((F.col("snapshot_at") >= F.col("_from")) | (F.col("_after") >= F.col("_from")))
+        .select("board", "snapshot_at")
+    )
+    return once.join(kept, ["board", "snapshot_at"], "left_semi").select(*rows.columns)
+
+
+def snapshots_table(state_path: str, lateness: int = LATENESS) -> Keyed:
+    """The snapshots to which a later file may still be a neighbour."""
+    return Keyed(state_path, SNAPSHOT_ROWS, ("board",), lambda rows: _kept_snapshots(rows, lateness))
 
 
 def stream_dead_threads(
@@ -281,57 +335,62 @@ def stream_dead_threads(
     checkpoint: str,
     per_batch: int | None = None,
     trigger: dict = DRAIN,
+    lateness: int = LATENESS,
+    compact_every: int = keyed.EVERY,
 ) -> StreamingQuery:
     """Catalog files to the threads that disappeared between consecutive snapshots.
 
-    A snapshot may be spread over files and batches: it is held back until a later one of
-    its board has begun, and only then compared with the one before. `read_dead_threads`
-    also gives what the snapshots still held show so far. Files must arrive in the order of
-    their snapshots. The state is the last two snapshots of each board; a new stream starts
-    from what an earlier one left.
+    Files may come in any order: a snapshot that arrives between two others corrects what was
+    said of the later one, and a further piece of a snapshot corrects what was said of it.
+    So `read_dead_threads` gives after any order what `dead_between_snapshots` gives of all
+    files. The watermark of a board is `lateness` seconds behind its newest snapshot; files
+    older than that when their batch begins are stored beside the table, under its path with
+    ``_late`` at the end, and change nothing.
+
+    A batch reads the kept snapshots of its own boards and writes what changed for these.
+    A new stream goes on from what an earlier one left.
     """
+    state, said = snapshots_table(state_path, lateness), said_table(out_path)
 
     def work(batch: DataFrame, stream: str, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = _open_snapshots(spark, state_path, stream, batch_id)
         # A catalog that cannot be read must not pass for an empty one.
         readable = _keep_unreadable(
             batch, F.try_parse_json("payload").isNull(), out_path, stream, batch_id
         )
-        seen = held.unionByName(readable).distinct()
-        last = seen.groupBy("board").agg(F.max("snapshot_at").alias("snapshot_at"))
-        closed = seen.join(last, ["board", "snapshot_at"], "left_anti")
-        write_batch(dead_between_snapshots(closed), out_path, stream, batch_id)
-        write_batch(newest_snapshots(seen, 2), state_path, stream, batch_id)
+        boards = readable.select("board").distinct()
+        stored = keyed.look_up(spark, state, boards, (stream, batch_id)).join(boards, "board", "left_semi")
+        held = _kept_snapshots(stored, lateness)
+        marks = held.groupBy("board").agg(
+            (F.max("snapshot_at") - lateness).alias("_mark"), (F.max("turn") + 1).alias("_turn")
+        )
+        dated = readable.join(marks, "board", "left")
+        late = F.col("snapshot_at") < F.coalesce("_mark", "snapshot_at")
+        write_batch(dated.where(late).select(*batch.columns), f"{out_path}_late", stream, batch_id)
+        timely = dated.where(~late).withColumn("turn", F.coalesce("_turn", F.lit(1).cast("bigint")))
+        listed = explode_catalog_threads(timely, ["board", "snapshot_at", "turn"])
+        times = timely.select("board", "snapshot_at", "turn", F.lit(None).cast("bigint").alias("thread_number"))
+        write_batch(listed.unionByName(times).distinct(), state_path, stream, batch_id)
+        fresh = read_batch(spark, state_path, SNAPSHOT_ROWS, stream, batch_id)
+        # Of a board all kept snapshots are said anew but for the oldest, whose neighbour is gone.
+        turns = fresh.groupBy("board").agg(F.max("turn").alias("turn"))
+        now = dead_threads_of(held.unionByName(fresh).join(turns.select("board"), "board", "left_semi"))
+        write_batch(now.join(turns, "board").select("board", "snapshot_at", "thread_number", "turn"), out_path, stream, batch_id)
+        if keyed.due(batch_id, compact_every):
+            keyed.compact(spark, state)
+            keyed.compact(spark, said)
 
     catalogs = _files(spark, catalogs_path, CATALOG_FILE, per_batch=per_batch)
     return _each_batch(catalogs, checkpoint, work, trigger)
 
 
-def _open_snapshots(
-    spark: SparkSession, state_path: str, stream: str | None = None, batch_id: int = 0
-) -> DataFrame:
-    """The last two snapshots of each board before a batch (or so far)."""
-    if stream is not None and batch_id > 0:
-        # Each batch stores them for all boards, so the one before says it all.
-        return read_batch(spark, state_path, CATALOG_FILE, stream, batch_id - 1)
-    without = None if stream is None else (stream, batch_id)
-    stored = read_batches(spark, state_path, CATALOG_FILE, without).drop("stream", "batch_id")
-    return newest_snapshots(stored.distinct(), 2)
-
+def read_dead_threads(spark: SparkSession, out_path: str, state_path: str | None = None) -> DataFrame:
+    """board, snapshot_at, thread_number of all dead threads, as far as files have come.
 
-def newest_snapshots(catalogs: DataFrame, n: int) -> DataFrame:
-    """All catalogs of the `n` latest snapshots of each board."""
-    times = catalogs.select("board", "snapshot_at").distinct()
-    latest = F.row_number().over(Window.partitionBy("board").orderBy(F.desc("snapshot_at")))
-    kept = times.withColumn("_n", latest).where(F.col("_n") <= n).drop("_n")
-    return catalogs.join(kept, ["board", "snapshot_at"], "left_semi")
-
-
-def read_dead_threads(spark: SparkSession, out_path: str, state_path: str) -> DataFrame:
-    """board, snapshot_at, thread_number of all dead threads, the open snapshots' included."""
-    stored = read_batches(spark, out_path, DEAD_ROWS).drop("stream", "batch_id")
-    return stored.unionByName(dead_between_snapshots(_open_snapshots(spark, state_path))).distinct()
+    The newest snapshot of a board counts, whole or not. `state_path` is not needed any more.
+    """
+    said = _last_turn(keyed.read_rows(spark, said_table(out_path)))
+    return said.where(F.col("thread_number").isNotNull()).select("board", "snapshot_at", "thread_number")
 
 
 # --- comments since the last crawl ------------------------------------------------------------------
@@ -358,7 +417,10 @@ def stream_new_comments(
         spark = batch.sparkSession
         held = read_batches(spark, state_path, MARKER_ROWS, (stream, batch_id))
         state = current_markers(held)
-        listed = explode_listing(batch, ["post_id"]).select(
+        readable = _keep_unreadable(
+            batch, F.try_parse_json("payload").isNull(), out_path, stream, batch_id
+        )
+        listed = explode_listing(readable, ["post_id"]).select(
             "post_id", "id", F.col("pos").cast("bigint").alias("pos"), "data"
         )
         fresh = new_comments_since(listed, state)

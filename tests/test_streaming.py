@@ -197,3 +197,56 @@ def test_a_snapshot_may_span_batches(spark, tmp_path):
     inbox = tmp_path / "in2"
     drop(inbox, "5.json", catalog("g", 4, 3))
     assert run("two") == [("g", 2, 1), ("g", 4, 2)]
+
+
+def snapshots_in_order(spark, records):
+    frame = spark.createDataFrame(
+        [(r["board"], r["snapshot_at"], r["payload"]) for r in records],
+        "board string, snapshot_at long, payload string",
+    )
+    return rows(ingest.dead_between_snapshots(frame))
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 0, 2), (2, 0, 3, 1)])
+def test_snapshots_in_any_order(spark, tmp_path, order):
+    files = [
+        [catalog("g", 10, 1, 2, 3), catalog("pol", 10, 1)],
+        [catalog("g", 20, 2, 3, 4)],
+        [catalog("g", 30, 2), catalog("g", 20, 5), catalog("pol", 25)],  # a further piece of g at 20
+        [catalog("g", 40), catalog("pol", 30, 7, 8)],
+    ]
+    inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    for at, k in enumerate(order):
+        drop(inbox, f"{at}.json", *files[k])
+    ingest.stream_dead_threads(
+        spark, str(inbox), out, state, str(tmp_path / "c"), per_batch=1, compact_every=2
+    ).awaitTermination()
+    want = snapshots_in_order(spark, [r for f in files for r in f])
+    assert want == [("g", 20, 1), ("g", 30, 3), ("g", 30, 4), ("g", 30, 5), ("g", 40, 2), ("pol", 25, 1)]
+    assert rows(ingest.read_dead_threads(spark, out)) == want
+
+
+def test_snapshots_past_the_lateness_are_kept_beside_the_table(spark, tmp_path):
+    inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    times = [100, 200, 190, 300, 120, 260]
+    for k, at in enumerate(times):
+        drop(inbox, f"{k}.json", catalog("g", at, *range(at, at + 3)))
+    ingest.stream_dead_threads(
+        spark, str(inbox), out, state, str(tmp_path / "c"), per_batch=1, lateness=50, compact_every=1
+    ).awaitTermination()
+    late = spark.read.json(str(inbox)).where("snapshot_at = 120").count()
+    assert late == 1 and [r.snapshot_at for r in spark.read.parquet(f"{out}_late").collect()] == [120]
+    in_time = [catalog("g", at, *range(at, at + 3)) for at in times if at != 120]
+    assert rows(ingest.read_dead_threads(spark, out)) == snapshots_in_order(spark, in_time)
+    # the base holds what may still be a neighbour
+    table = ingest.snapshots_table(state, 50)
+    base = ingest.keyed.read_base(spark, table, ingest.keyed.pointer(spark, table))
+    assert sorted(r.snapshot_at for r in base.select("snapshot_at").distinct().collect()) == [200, 300]
+
+
+def test_unreadable_listings_of_new_comments_are_kept(spark, tmp_path):
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    drop(inbox, "1.json", listing("p", 1, comment("a", "x")), {"subreddit": "s", "post_id": "q", "fetched_at": 1, "payload": "{"})
+    ingest.stream_new_comments(spark, str(inbox), out, str(tmp_path / "s"), str(tmp_path / "c")).awaitTermination()
+    assert [r.id for r in spark.read.parquet(out).collect()] == ["a"]
+    assert [r.post_id for r in spark.read.parquet(f"{out}_unreadable").collect()] == ["q"]
