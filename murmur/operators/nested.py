@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmur.functions.deep_json import comments_of
 from murmur.operators.skew import ROWS_PER_TASK, salted_join
 
+# Spark's JSON parser takes 1,000 levels, and a level of replies is five of them. A payload
+# with fewer replies than this is not too deep for it.
+_DEEP = 100
+_SCANNED = "array<struct<id:string,parent_id:string,body:string,start:int,end:int>>"
+_REPLIES = r'"replies"\s*:\s*\{'
 _CHILDREN = "$.replies.data.children"
 
 
@@ -25,20 +32,24 @@ def flatten_comment_tree(
     A payload row is walked level by level inside its own task: an array holds
     the current level and each step replaces it with the children, until no
     level is left. The number of nodes with replies in the text bounds the
-    number of steps, and steps past the deepest level do nothing, so trees of
-    any depth come out whole without a shuffle or a loop on the driver.
+    number of steps, and steps past the deepest level do nothing. Payloads that are
+    nested too deeply for Spark's JSON parser, about 200 levels of replies, are scanned
+    with a stack instead (`murmur.functions.deep_json`). So trees of any depth come out
+    whole without a shuffle or a loop on the driver.
 
     `position` orders the comments of a payload parent first, replies in order.
     A missing parent id becomes the post id, ``replies=""`` is a leaf, and
     children that are not comments (no body) are left out. `data` is the JSON of
-    the comment with its replies. `keep` names columns of the input to carry along.
+    the comment with its replies (as it stands in the payload, where the parser cannot
+    read it), so in a chain of n comments it is as long as n * n; leave it out where it
+    is not needed. `keep` names columns of the input to carry along.
     """
     root = F.struct(
         F.try_parse_json(F.col(payload_col)).alias("node"),
         F.lit("000000000").alias("position"),
     )
     step = "array<struct<node:variant,position:string>>"
-    levels = F.regexp_count(F.col(payload_col), F.lit(r'"replies"\s*:\s*\{')) + 1
+    levels = F.regexp_count(F.col(payload_col), F.lit(_REPLIES)) + 1
 
     def children(level: Column) -> Column:
         return F.flatten(
@@ -77,7 +88,7 @@ def flatten_comment_tree(
         F.col(post_col).alias("post_id"), *keep, F.explode(walked).alias("_c")
     )
     node = F.col("_c.node")
-    return nodes.select(
+    flat = nodes.select(
         _text(node, "id").alias("id"),
         "post_id",
         F.coalesce(_text(node, "parent_id"), F.col("post_id").cast("string")).alias("parent_id"),
@@ -86,15 +97,51 @@ def flatten_comment_tree(
         F.col("_c.position").alias("position"),
         *keep,
     ).where(F.col("comment_text").isNotNull())
+    return flat.unionByName(_scanned_comments(comments, payload_col, post_col, keep))
 
 
-def unreadable_payloads(comments: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Rows whose payload is not JSON, or is nested too deeply for the parser.
+def _too_deep(payload: Column) -> Column:
+    """Not read by the parser, though it may be JSON: with replies enough to be too deep."""
+    return (F.regexp_count(payload, F.lit(_REPLIES)) > _DEEP) & F.try_parse_json(payload).isNull()
 
-    `flatten_comment_tree` has no rows for them.
-    """
+
+def _scan(payload: Column) -> Column:
+    """The comments of a payload as `comments_of` gives them."""
+
+    def run(payloads: pd.Series) -> pd.Series:
+        return payloads.map(comments_of)
+
+    return F.pandas_udf(run, _SCANNED)(payload)
+
+
+def _scanned_comments(
+    comments: DataFrame, payload_col: str, post_col: str, keep: tuple[str, ...]
+) -> DataFrame:
+    """`flatten_comment_tree` of the payloads that are too deep for the parser."""
+    payload = F.col("_payload")
+    deep = comments.where(_too_deep(F.col(payload_col))).select(
+        F.col(post_col).alias("post_id"), *keep, F.col(payload_col).alias("_payload")
+    )
+    nodes = deep.withColumn("_found", _scan(payload)).select(
+        "post_id", *keep, "_payload", F.posexplode("_found").alias("_at", "_c")
+    )
+    own = payload.substr(F.col("_c.start") + 1, F.col("_c.end") - F.col("_c.start"))
+    return nodes.select(
+        F.col("_c.id").alias("id"),
+        "post_id",
+        F.coalesce("_c.parent_id", F.col("post_id").cast("string")).alias("parent_id"),
+        F.coalesce(F.to_json(F.try_parse_json(own)), own).alias("data"),
+        F.col("_c.body").alias("comment_text"),
+        F.lpad(F.col("_at").cast("string"), 9, "0").alias("position"),
+        *keep,
+    ).where(F.col("comment_text").isNotNull())
+
+
+def unreadable_payloads(comments: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """Rows whose payload is not JSON; `flatten_comment_tree` has no rows for them."""
     payload = F.col(payload_col)
-    return comments.where(payload.isNotNull() & F.try_parse_json(payload).isNull())
+    broken = comments.where(payload.isNotNull() & F.try_parse_json(payload).isNull())
+    return broken.where(~_too_deep(payload) | _scan(payload).isNull())
 
 
 def new_comments_since(
