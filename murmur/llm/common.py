@@ -33,6 +33,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows go to Python in batches of about so many bytes; tasks hold a few batches at once.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> str:
+    """From now on rows go to Python in batches of at most `most` bytes or one row.
+
+    Returns what held before.
+    """
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(most))
+    return before
+
+
 def stored(frame: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write `frame` to the shared scratch folder and read it back.
 
@@ -40,7 +55,11 @@ def stored(frame: DataFrame, name: str, compression: str = "snappy") -> DataFram
     where a table is read more than once or where row placement has to stay fixed.
     """
     path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path, compression=compression)
+    before = small_batches(frame.sparkSession)
+    try:
+        frame.write.parquet(path, compression=compression)
+    finally:
+        frame.sparkSession.conf.set(_BATCH_CONF, before)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

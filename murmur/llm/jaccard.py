@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from murmur.llm.common import partitions, ship, stored
 from murmur.llm.components import components
@@ -23,11 +24,14 @@ BAND = 4.0
 FREQUENT = 1 << 16
 # Sets in a tile that are compared by one task; a larger tile is cut into pairs of blocks.
 BLOCK = 4096
-# Rounds in which each class is tested against one class in front of its tiles.
-ROUNDS = 3
+# At most so many rounds in which each class of a large tile is tested against one class in
+# front of its tiles. They end before when a round links less than one in FEW of its pairs.
+ROUNDS, FEW = 10, 50
 # Up to so many sets in a tile, pairs are taken by size alone and meet the bitmaps once for
 # all their tiles; in larger ones the bitmaps come to the tile, and no pair leaves it untested.
 SMALL = 16
+# Pairs that a task hands on at once.
+PAIRS = 1 << 16
 
 
 def frequent_shingles(documents: DataFrame, most: int = FREQUENT) -> np.ndarray:
@@ -288,60 +292,103 @@ def _ordered(a: str, b: str):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+    )
+
+
+def _near_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return PART_OF * np.minimum(a, b) >= PART * np.maximum(a, b)
+
+
 def _compare(batches):
     """Of rows sorted by (tile, i, j): pairs of blocks i and j in different components that
-    sizes and bitmaps allow. One cut of a tile is held at a time, BLOCK rows a side or so."""
+    sizes and bitmaps allow. One cut of a tile is held at a time, BLOCK rows a side or so,
+    and each pair of it leaves once."""
 
     def pairs(rows: list[dict]):
-        # Small tiles come without bitmaps; their few pairs are held against them later.
-        maps = None
-        if rows[0]["bitmap"] is not None:
-            size = min(len(r["bitmap"]) for r in rows)
-            maps = np.stack([folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in rows])
-            maps = maps.view(np.uint64)
+        size = min(len(r["bitmap"]) for r in rows)
+        maps = np.stack([folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in rows])
+        maps = maps.view(np.uint64)
         n, node, component, block = (np.array([r[c] for r in rows], np.int64) for c in ("n", "node", "component", "block"))
         i, j = rows[0]["i"], rows[0]["j"]
         right = np.flatnonzero(block == j)
+        held, count = [], 0
         for at in np.flatnonzero(block == i):
             to = right[right > at] if i == j else right
             to = to[component[to] != component[at]]
-            to = to[PART_OF * np.minimum(n[to], n[at]) >= PART * np.maximum(n[to], n[at])]
-            if len(to) and maps is not None:
+            to = to[_near_sizes(n[to], n[at])]
+            if len(to):
                 differ = np.bitwise_count(maps[to] ^ maps[at]).sum(axis=1, dtype=np.int64)
                 to = to[enough((n[to] + n[at] - differ) // 2, n[to], n[at])]
-            for k in to:
-                yield (int(node[at]), int(node[k]))
-
-    def flush(rows):
-        found = set(pairs(rows))
-        if found:
-            a, b = zip(*found)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            held.append((np.full(len(to), node[at]), node[to]))
+            count += len(to)
+            if count >= PAIRS:
+                yield _pair_batch(*map(np.concatenate, zip(*held)))
+                held, count = [], 0
+        if count:
+            yield _pair_batch(*map(np.concatenate, zip(*held)))
 
     held, key = [], None
     for batch in batches:
         for row in batch.to_pylist():
             here = (row["tile"], row["i"], row["j"])
             if held and here != key:
-                yield from flush(held)
+                yield from pairs(held)
                 held = []
             key = here
             held.append(row)
     if held:
-        yield from flush(held)
+        yield from pairs(held)
+
+
+def _compare_small(batches):
+    """Of rows sorted by (leader, tile), with at most SMALL rows a tile: pairs in different
+    components that sizes allow, each once for all tiles with the same leader.
+
+    Tiles that the same few documents share, as those of a passage, have the same leader. The
+    rows of one leader are held at a time: its tiles are its own first shingles.
+    """
+    columns = ("leader", "tile", "node", "component", "n")
+
+    def pairs(leader, tile, node, component, n):
+        found = []
+        for step in range(1, min(SMALL, len(tile))):
+            at = np.flatnonzero(tile[step:] == tile[:-step])
+            at = at[(component[at] != component[at + step]) & _near_sizes(n[at], n[at + step])]
+            found.append(np.stack([node[at], node[at + step]], axis=1))
+        if found:
+            every = np.sort(np.concatenate(found), axis=1)
+            every = every[np.lexsort((every[:, 1], every[:, 0]))]
+            new = np.ones(len(every), bool)
+            new[1:] = (every[1:] != every[:-1]).any(axis=1)
+            every = every[new]
+            for at in range(0, len(every), PAIRS):
+                yield _pair_batch(every[at : at + PAIRS, 0], every[at : at + PAIRS, 1])
+
+    held = [np.zeros(0, np.int64)] * len(columns)
+    for batch in batches:
+        held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, columns)]
+        if len(held[0]):
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            yield from pairs(*(h[:last] for h in held))
+            held = [h[last:] for h in held]
+    yield from pairs(*held)
 
 
 def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccard") -> DataFrame:
-    """doc_id, n_shingles, component_id (and class_id) of every row of `documents`.
+    """doc_id, n_shingles, component_id (class_id, component) of every row of `documents`.
 
     1. Each whole text becomes its sorted set of distinct shingle hashes. Equal sets are one
        class, named by a 64-bit hash; what follows works on classes, so copies cost one row.
     2. The first shingles of a set in a common order, rarest first, and the band of its size
        make its tiles: linked sets share one. Tiles with a single class are dropped in the
        stream of sorted rows.
-    3. Each class is tested against the class that comes first in most of its tiles, in
-       ROUNDS rounds with other classes first. That is linear in the classes, and joins large
-       groups of near copies into components.
+    3. Each class is tested against the class that comes first in most of its tiles; those in
+       tiles of more than SMALL classes again and again, with other classes first, as long as
+       that finds links. A round is linear in the classes, and joins large groups of near
+       copies into components.
     4. Tiles that still hold several components are compared in blocks, across components
        only; nothing linked is missed, and nothing already joined is compared again.
     Bitmaps bound each overlap from above before the sorted arrays are intersected.
@@ -386,17 +433,20 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     )
     links = stored(verified(first, maps, texts, names, f"{name}-first"), f"{name}-links")
     labels = components(links, f"{name}-components")
-    def with_components(now: DataFrame) -> DataFrame:
-        joined = shared.join(now, "node", "left")
+
+    def with_components(tiles: DataFrame, now: DataFrame) -> DataFrame:
+        joined = tiles.join(now, "node", "left")
         return joined.withColumn("component", F.coalesce("component", "node"))
 
     # Again with other classes in front: each class that is apart from its tile's meets one.
+    sizes = shared.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SMALL)
+    big = stored(shared.join(sizes.select("tile"), "tile", "left_semi").select("tile", "node"), f"{name}-big")
     for at in range(1, ROUNDS):
-        owned = with_components(labels)
+        owned = with_components(big, labels)
         heads = owned.groupBy("tile").agg(
             F.min(F.struct(F.xxhash64("node", F.lit(at)), "node", "component")).alias("head")
         )
-        apart = (
+        apart = stored(
             owned.join(heads, "tile")
             .where("component != head.component")
             .groupBy("node", F.col("head.node").alias("leader"))
@@ -404,39 +454,49 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
             .groupBy("node")
             .agg(F.max_by("leader", F.struct("tiles", "leader")).alias("leader"))
             .select(*_ordered("node", "leader"))
-            .distinct()
+            .distinct(),
+            f"{name}-apart-{at}",
         )
-        found = verified(apart, maps, texts, names, f"{name}-round-{at}")
-        links = stored(links.unionAll(found), f"{name}-links-{at}")
-        labels = components(links, f"{name}-components-{at}")
+        tested = apart.count()
+        if not tested:
+            break
+        found = stored(verified(apart, maps, texts, names, f"{name}-round-{at}"), f"{name}-links-{at}")
+        linked = found.count()
+        if linked:
+            links = links.unionAll(found)
+            labels = components(links, f"{name}-components-{at}")
+        if linked * FEW < tested:
+            break
     # What is left: tiles whose classes are in more than one component.
-    owned = with_components(labels)
+    owned = with_components(shared, labels)
     open_ = (
         owned.groupBy("tile")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows"))
         .where("lo != hi")
         .select("tile", "rows", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
     )
-    met = (
-        owned.join(open_, "tile")
+    met = owned.join(open_, "tile")
+    small = (
+        met.where(F.col("rows") <= SMALL)
+        .join(maps.select("node", "n"), "node")
+        .select("leader", "tile", "node", "component", "n")
+        .repartition(partitions(spark), "leader")
+        .sortWithinPartitions("leader", "tile")
+        .mapInArrow(_compare_small, "a long, b long")
+    )
+    large = (
+        met.where(F.col("rows") > SMALL)
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .select("tile", "i", "j", "block", "node", "component", "rows")
-    )
-    columns = ["tile", "i", "j", "block", "node", "component", "n", "bitmap"]
-    small = met.where(F.col("rows") <= SMALL).join(maps.select("node", "n"), "node")
-    large = met.where(F.col("rows") > SMALL).join(maps, "node")
-    cut = (
-        small.withColumn("bitmap", F.lit(None).cast("binary")).select(columns)
-        .unionAll(large.select(columns))
+        .join(maps, "node")
+        .select("tile", "i", "j", "block", "node", "component", "n", "bitmap")
         .repartition(partitions(spark), "tile", "i", "j")
         .sortWithinPartitions("tile", "i", "j")
         .mapInArrow(_compare, "a long, b long")
-        .select(*_ordered("a", "b"))
-        .distinct()
     )
+    cut = small.unionAll(large).distinct()
     more = stored(verified(cut, maps, texts, names, f"{name}-second"), f"{name}-more-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more), f"{name}-all-components")
@@ -453,23 +513,55 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         F.col("node").alias("class_id"),
+        "component",
     )
 
 
 def representatives(documents: DataFrame, **options) -> DataFrame:
-    """The documents with one of each group left: the row whose doc_id names the component.
+    """The documents with one row of each group left: that of the smallest doc_id, and of two
+    texts of one doc_id that of the smaller class. Same columns.
 
-    Rows of one doc_id leave one row, of the smallest text; rows without doc_id all stay.
-    Same columns.
+    A group is a component, so unlike texts of one doc_id both stay. Rows without words, or
+    without doc_id, are linked with nothing and stay, repeated ones too.
     """
-    linked = link_documents(documents, **options)
-    ids = (
-        linked.where("doc_id = component_id").select("doc_id").distinct()
+    linked = stored(
+        link_documents(documents, **options).where("doc_id is not null").select("doc_id", "class_id", "component"),
+        "jaccard-linked",
+    )
+    chosen = (
+        linked.where("class_id is not null")
+        .groupBy("component")
+        .agg(F.min(F.struct("doc_id", "class_id")).alias("w"))
+        .select("w.*")
     )
+    alone = linked.where("class_id is null").select("doc_id")
+    repeated = linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    ids = chosen.select("doc_id").unionAll(alone).distinct().join(repeated, "doc_id", "left_anti")
     rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
-    kept = rows.join(ids, "doc_id")
-    from pyspark.sql import Window
+    kept = rows.join(ids, "doc_id").select("row.*")
+    none = rows.where("doc_id is null").select("row.*")
+    if repeated.isEmpty():
+        return kept.unionAll(none)
+    # A doc_id that stands in several rows: their classes tell which of them stay.
+    several = (
+        rows.join(repeated, "doc_id")
+        .select("row", "doc_id", F.col("row.text").alias("text"))
+        .mapInArrow(_with_class, StructType([*rows.schema.fields, StructField("class_id", LongType())]))
+    )
+    first = Window.partitionBy("doc_id", "class_id").orderBy(F.xxhash64("row"))
+    one = (
+        several.join(chosen, ["doc_id", "class_id"], "left_semi")
+        .withColumn("_no", F.row_number().over(first))
+        .where("_no = 1")
+        .select("row.*")
+    )
+    return kept.unionAll(one).unionAll(several.where("class_id is null").select("row.*")).unionAll(none)
+
 
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"))
-    single = kept.withColumn("_no", F.row_number().over(one)).where("_no = 1").select("row.*")
-    return single.unionAll(rows.where("doc_id is null").select("row.*"))
+def _with_class(batches):
+    """The class of each row's text in place of the text."""
+    for batch in batches:
+        found = [class_of(s) if len(s) else None for s in shingle_sets(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), batch.column("doc_id"), pa.array(found, pa.int64())], ["row", "doc_id", "class_id"]
+        )

@@ -83,6 +83,49 @@ def test_empty_and_representatives(docs):
     assert sorted(map(str, (r.doc_id for r in out.collect()))) == ["1", "3", "4", "None"]
 
 
+def test_unlike_texts_of_one_doc_id_both_stay(docs):
+    rows = [(1, "a b c"), (1, "x y z"), (2, "A b c"), (5, ""), (5, "q r"), (5, "q r"), (0, "x y z"), (None, None), (None, None), (6, None), (6, None)]
+    frame = docs([{"doc_id": i, "text": t} for i, t in rows]).withColumns({c: F.lit(1) for c in ("row", "class_id", "n", "a b")})
+    out = J.representatives(frame)
+    assert out.columns == frame.columns
+    want = [(0, "x y z"), (1, "a b c"), (5, ""), (5, "q r"), (6, None), (6, None), (None, None), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_pairs_of_small_tiles_leave_once(size):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    n_of = {k: rng.choice([10, 11, 20]) for k in range(40)}
+    component = {k: k % 7 for k in n_of}
+    rows = []
+    for tile in range(60):
+        nodes = sorted(rng.sample(sorted(n_of), rng.randint(2, J.SMALL)))
+        rows += [(nodes[0], tile, k, component[k], n_of[k]) for k in nodes]
+    rows.sort()
+    names = ["leader", "tile", "node", "component", "n"]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in zip(*rows[k : k + size])], names)
+        for k in range(0, len(rows), size)
+    ]
+    got = [pair for b in J._compare_small(iter(batches)) for pair in zip(*b.to_pydict().values())]
+    want = {}
+    for leader, tile, *_ in rows:
+        want.setdefault(leader, set())
+    for i, x in enumerate(rows):
+        for y in rows[i + 1 :]:
+            if x[:2] == y[:2] and x[3] != y[3] and 5 * min(x[4], y[4]) >= 4 * max(x[4], y[4]):
+                want[x[0]].add((min(x[2], y[2]), max(x[2], y[2])))
+    every = [p for pairs in want.values() for p in pairs]
+    # Once for each leader, or once for all leaders that came in one batch.
+    assert set(got) == set(every) and len(got) <= len(every)
+    assert size == 1000 or sorted(got) == sorted(every)
+    assert size != 1000 or len(got) == len(set(got))
+    assert list(J._compare_small(iter([]))) == []
+
+
 def test_shared_rows_stream(spark):
     import pyarrow as pa
 
