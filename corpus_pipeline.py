@@ -3,7 +3,7 @@
 Every stage takes (spark, docs, sf_dir), where docs has the columns of `documents`, and
 returns a DataFrame, which `run` writes to the shared scratch folder and reads back. All
 but the last return the columns of docs, whatever these are. An empty table passes through
-every stage.
+every stage. Rows go to Python in small batches, which stages set in their session.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from murmur.llm import jaccard, language, mixing, pieces, toxicity
-from murmur.llm.common import stored, table
+from murmur.llm.common import small_batches, stored, table
 from murmur.llm.entry import tokenizer
 
 
@@ -20,11 +20,13 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Texts without a letter (null and empty ones too) and those unlike every language go.
     """
+    small_batches(spark)
     return language.accepted_documents(docs, table(spark, sf_dir, "documents"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of toxicity below 0.5; the model learns from the labelled documents given."""
+    small_batches(spark)
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.clean_documents(docs, model)
 
@@ -41,6 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source and the piece ids of every text, begin and end ids included."""
+    small_batches(spark)
     return pieces.encode_pieces(docs, tokenizer("piece_bpe_32k.model")).select(
         "doc_id", "lang", "source", "ids"
     )
