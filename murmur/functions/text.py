@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from decimal import Decimal
 from html.entities import html5
@@ -40,13 +41,15 @@ ENTRIES_PER_MAP = 32
 
 
 def table_lookup(table: dict[str, object], key: Column, dtype: str) -> Column:
-    """The value of `key` in a fixed table, null if it is not there. Stays in the row."""
+    """The value of `key` in a fixed table, null if it is not there. Stays in the row.
+
+    The table is one literal, which the planner reads once.
+    """
     count = max(1, len(table) // ENTRIES_PER_MAP)
     maps: list[dict] = [{} for _ in range(count)]
     for known, value in table.items():
-        maps[zlib.crc32(known.encode()) % count][known] = value
-    empty = F.create_map().cast(f"map<string,{dtype}>")
-    dealt = F.array(*[_literal_map(m).cast(f"map<string,{dtype}>") if m else empty for m in maps])
+        maps[zlib.crc32(known.encode()) % count][known] = str(value)
+    dealt = F.from_json(F.lit(json.dumps(maps)), f"array<map<string,{dtype}>>")
     place = F.pmod(F.crc32(F.encode(key, "UTF-8")), F.lit(count)).cast("int")
     return F.element_at(F.get(dealt, place), key)
 
@@ -107,6 +110,40 @@ def decode_entities(text: Column) -> Column:
     return let(F.split(text, "&"), decoded)
 
 
+# Up to so many elements are looked for without a guard: each that has no end costs one look
+# through the rest of the text.
+FEW_OPENED = 32
+
+
+def _removed_to_last_end(text: Column, pattern: str, end: str) -> Column:
+    """`text` without what the pattern matches, which ends in `end`.
+
+    Nothing after the last end can match. Before it every beginning finds an end, so the time
+    is linear however many are left open.
+    """
+
+    def removed(whole: Column) -> Column:
+        return let(
+            F.regexp_extract(whole, rf"(?is)\A(.*{end})", 1),
+            lambda head: F.concat(
+                F.regexp_replace(head, pattern, ""), whole.substr(F.length(head) + 1, F.length(whole))
+            ),
+        )
+
+    return let(text, removed)
+
+
+def _without_tags(text: Column) -> Column:
+    """Tags end in ``>``, so nothing after the last one is looked at."""
+    rest = F.substring_index(text, ">", -1)
+    return let(
+        rest,
+        lambda tail: F.concat(
+            F.regexp_replace(text.substr(F.lit(1), F.length(text) - F.length(tail)), TAG, ""), tail
+        ),
+    )
+
+
 def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink") -> Column:
     """Readable text of an HTML fragment; '' for null.
 
@@ -115,15 +152,19 @@ def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink")
     (text that was escaped twice) are then replaced, angle brackets dropped,
     runs of white space inside a line become one space and blank lines go.
     """
-    text = html
-    for pattern in (
-        r"(?is)<script\b[^>]*>.*?</script\s*>",
-        r"(?is)<style\b[^>]*>.*?</style\s*>",
-        r"(?s)<!--.*?-->",
-        _element_pattern(tag, css_class),
-        TAG,
-    ):
-        text = F.regexp_replace(text, pattern, "")
+    parts = [
+        (r"(?is)<script\b[^>]*+>.*?</script\s*+>", r"</script\s*+>"),
+        (r"(?is)<style\b[^>]*+>.*?</style\s*+>", r"</style\s*+>"),
+        (r"(?s)<!--.*?-->", "-->"),
+        (_element_pattern(tag, css_class), rf"</{tag}\s*+>"),
+    ]
+    opened = F.regexp_count(html, F.lit(rf"(?i)<(?:script\b|style\b|!--|{tag}\b)"))
+    plain, guarded = html, html
+    for pattern, end in parts:
+        plain = F.regexp_replace(plain, pattern, "")
+        guarded = _removed_to_last_end(guarded, pattern, end)
+    text = F.when(opened > FEW_OPENED, guarded).otherwise(plain)
+    text = let(text, _without_tags)
     text = decode_entities(text)
     for escape, plain in LEFT_ESCAPES:
         text = F.replace(text, F.lit(escape), F.lit(plain))

@@ -1,5 +1,6 @@
 import datetime as dt
 import re
+import time
 from html import unescape
 
 import pytest
@@ -205,3 +206,30 @@ def test_names_of_html_5(one, html, expected):
 
 def test_number_out_of_range_gives_the_default(one):
     assert one(S.json_field_or_default(F.col("d"), "ups", 0, "int"), d='{"ups":"3000000000"}') == 0
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<script>" * 130_000, "<script>a" * 60_000 + "</script>x", "<!--" * 200_000, "<a class=quotelink>" * 50_000,
+     "<style>b" * 100_000 + "</style>y", "<b " * 200_000],
+)
+def test_clean_html_takes_linear_time(one, html):
+    """A megabyte of elements that nothing ends, each of which took a look through the rest."""
+    begin = time.time()
+    got = one(F.length(T.clean_html_text(F.col("h"))), h=html)
+    assert got is not None and time.time() - begin < 20
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("a<script>x</script>b<script>y", "aby"),
+        ("<script>" * 40 + "in</script>out<script>left", "outleft"),
+        ("<!-- " * 40 + "-->x<!-- y", "x<!-- y".replace("<", "")),
+        ("1 > 0 <b>and</b> 2 > 1 <", "1  0 and 2  1".replace("  ", " ")),
+        ("no tags", "no tags"),
+        ("x>", "x"),
+    ],
+)
+def test_guarded_and_plain_removal_agree(one, html, expected):
+    assert one(T.clean_html_text(F.col("h")), h=html) == expected
