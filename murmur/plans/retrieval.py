@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from murmur.functions.text import tokenize_words
-from murmur.operators import engagement, retrieval
+from murmur.operators import engagement, retrieval, vector_index
 from murmur.operators.topics import communities
 from murmur.plans.registry import query
 from murmur.plans.scalars import TOKENS_SQL
@@ -58,46 +58,20 @@ def cosine_top_k(spark, folder):
     return nearest(spark, folder).withColumn("distance", F.round("distance", 6))
 
 
-def _planes_sql() -> str:
-    """Directions of each table as literals; 64 dimensions, as wide as any provided table needs."""
-    tables = retrieval.random_planes(4, WIDEST, 64, 42).tolist()
-    return "[" + ", ".join(
-        "[" + ", ".join("[" + ", ".join(map(repr, plane)) + "]" for plane in t) + "]" for t in tables
-    ) + "]"
-
-
-WIDEST = 6
-
-
-@query(f"""
-with {NEAREST_SQL},
-width as (select greatest(1, ceil(log2(count(*) / 64.0) / 2 - 1e-9))::int w from embeddings),
-planes as (select {_planes_sql()}::double[][][] p),
-vectors as (
-  select 'd' side, vec_id id, embedding::double[] v from embeddings
-  union all select 'q', label, q from means),
-cells as (
-  select side, id, v, t || ':' || array_to_string(list_transform(list_slice(p[t + 1], 1, w),
-    lambda plane: floor(list_dot_product(v, plane) / sqrt(list_dot_product(v, v)) / 0.25)::bigint), ',') cell
-  from vectors, width, planes, range(4) r(t)),
-met as (
-  select distinct q.id query_id, d.id doc_id,
-    round(1 - list_cosine_similarity(d.v, q.v), 12) distance
-  from cells q join cells d using (cell) where q.side = 'q' and d.side = 'd')
-select query_id, doc_id, round(distance, 6) distance,
-       cast(row_number() over (partition by query_id order by distance, doc_id) as int) "rank"
-from met qualify "rank" <= 5
-""".replace("cells as (select label", "parts as (select label", 1).replace("from cells group", "from parts group", 1))
+@query(f"with {NEAREST_SQL} select query_id, doc_id, \"rank\", round(distance, 6) distance from hits")
 def cosine_top_k_approx(spark, folder):
-    """The bare cells of the SQL twin, so the width is given and no reach is learned."""
+    """By an index fitted to the table. Where its vectors are few, or have no structure that
+    cells could follow, it looks into all of them, and the answer is the exact one."""
     vectors = adapters.table(spark, folder, "embeddings")
-    return retrieval.cosine_top_k_approx(
-        vectors,
-        label_questions(spark, folder),
-        retrieval.fit_buckets(vectors, width=retrieval.width_for(vectors.count(), 64)),
-        5,
-        id_col="vec_id",
-    ).withColumn("distance", F.round("distance", 6))
+    asked = label_questions(spark, folder)
+    index = vector_index.fit_index(vectors, "vec_id", questions=asked)
+    encoded = vectors.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec"))
+    if index.probe:
+        path = scratch_path(spark, "vector-index")
+        vector_index.write_collection(vector_index.encode_collection(vectors, index, "vec_id"), path)
+        encoded = spark.read.parquet(path)
+    hits = vector_index.cosine_top_k_indexed(encoded, asked, index, 5)
+    return hits.withColumn("distance", F.round("distance", 6))
 
 
 @query(f"""
