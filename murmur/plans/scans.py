@@ -22,6 +22,20 @@ def load_posts_table(spark, folder):
     return loaded.select("post_id", "author", "votes", "ups", "created")
 
 
+@query("""
+select post_id, subreddit, author, votes, created from posts
+where created between 820454400 and 852076799 and subreddit in ('1-URGENT', '5-LOW')
+""")
+def load_posts_layout(spark, folder):
+    """The JSON typed once and stored by month; a year of two communities reads its part."""
+    path = scratch_path(spark, "posts-layout")
+    tables.write_posts_layout(adapters.posts_json(spark, folder), path, POST_FIELDS, per="month")
+    loaded = tables.load_posts_layout(
+        spark, path, start=820454400, end=852076799, communities=["1-URGENT", "5-LOW"], per="month"
+    )
+    return loaded.select("post_id", "subreddit", "author", "votes", "created")
+
+
 @query("""
 select cast(doc_id as varchar) post_id, lang subreddit, text cleaned_text,
        '{"id":' || doc_id || ',"tags":["a","b"]}' "data"
