@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import zlib
-from decimal import Decimal
+from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
+from functools import reduce
 from html.entities import html5
 
 import pandas as pd
@@ -48,7 +50,7 @@ def table_lookup(table: dict[str, object], key: Column, dtype: str) -> Column:
     count = max(1, len(table) // ENTRIES_PER_MAP)
     maps: list[dict] = [{} for _ in range(count)]
     for known, value in table.items():
-        maps[zlib.crc32(known.encode()) % count][known] = str(value)
+        maps[zlib.crc32(known.encode()) % count][known] = value if isinstance(value, int) else str(value)
     dealt = F.from_json(F.lit(json.dumps(maps)), f"array<map<string,{dtype}>>")
     place = F.pmod(F.crc32(F.encode(key, "UTF-8")), F.lit(count)).cast("int")
     return F.element_at(F.get(dealt, place), key)
@@ -175,10 +177,10 @@ def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink")
 
 
 def lexicon_frame(spark: SparkSession, lexicon: dict[str, float]) -> DataFrame:
-    """Word polarities as a frame. Decimals keep sums exact in any order."""
-    rows = pd.DataFrame(
-        {"token": [w.lower() for w in lexicon], "polarity": [str(p) for p in lexicon.values()]}
-    )
+    """Word polarities as a frame. Decimals keep sums exact in any order. Of words that differ
+    in case only the last counts."""
+    last = {w.lower(): str(p) for w, p in lexicon.items()}
+    rows = pd.DataFrame({"token": list(last), "polarity": list(last.values())})
     frame = spark.createDataFrame(rows, "token string, polarity string").select(
         "token", F.col("polarity").cast("decimal(6,4)").alias("polarity")
     )
@@ -254,6 +256,178 @@ def _polarity_in_row(found: Column, lexicon: dict[str, float]) -> Column:
     return let(known, mean)
 
 
+@dataclass(frozen=True)
+class Modifiers:
+    """Words that change the polarity of what follows.
+
+    negations turn it round and halve it ("not good" is half as bad as "good" is good).
+    intensities multiply it, one after another ("very": 1.3). Both last until the next known
+    word, over at most `reach` words that are neither.
+    """
+
+    negations: tuple[str, ...] = ()
+    intensities: dict[str, float] = field(default_factory=dict)
+    reach: int = 1
+
+
+# Polarities are held in ten-thousandths and intensities in hundredths. A negation counts
+# -1 and its absence 2, so a polarity of 1 is this much.
+POLARITY, INTENSITY = 10_000, 100
+FULL = 2 * POLARITY * INTENSITY
+MATCH = "struct<size:int,score:bigint>"
+
+
+def _scaled(value, scale: int) -> int:
+    return int((Decimal(str(value)) * scale).to_integral_value(ROUND_HALF_UP))
+
+
+def _grams(tokens: Column, at: Column, size: int) -> Column:
+    """`size` words from place `at` on with blanks between; null at the end of the text."""
+    return F.when(at + size <= F.size(tokens), F.array_join(F.slice(tokens, at + 1, size), " "))
+
+
+def _places(tokens: Column) -> Column:
+    return F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1)).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
+def _walked(tokens: Column, matches: Column, modifiers: Modifiers) -> Column:
+    """Mean polarity of the matches (one or null for each place), by one walk over the words.
+
+    The longest entry at a place counts, and none that begins inside it. A match takes what
+    modifiers left, is held within -1 and 1, and clears them.
+    """
+    whole = INTENSITY
+    strengths = {w.lower(): _scaled(v, INTENSITY) for w, v in modifiers.intensities.items()}
+    turns = [w.lower() for w in modifiers.negations]
+
+    def state(total, hits, factor, negated, idle, skip) -> Column:
+        parts = (("total", total, "bigint"), ("hits", hits, "int"), ("factor", factor, "bigint"),
+                 ("negated", negated, "boolean"), ("idle", idle, "int"), ("skip", skip, "int"))
+        return F.struct(*((c if isinstance(c, Column) else F.lit(c)).cast(t).alias(n) for n, c, t in parts))
+
+    def step(s: Column, at: Column) -> Column:
+        word, match = tokens[at], matches[at]
+        value = match["score"] * s["factor"] * F.when(s["negated"], -1).otherwise(2)
+        held = F.least(F.greatest(value, F.lit(-FULL)), F.lit(FULL))
+        out = F.when(
+            s["skip"] > 0, state(s["total"], s["hits"], s["factor"], s["negated"], s["idle"], s["skip"] - 1)
+        ).when(
+            match.isNotNull(), state(s["total"] + held, s["hits"] + 1, whole, False, 0, match["size"] - 1)
+        )
+        if turns:
+            out = out.when(word.isin(turns), state(s["total"], s["hits"], s["factor"], True, 0, 0))
+        if strengths:
+            known = table_lookup(strengths, word, "bigint")
+            stronger = F.least(F.floor(s["factor"] * known / INTENSITY), F.lit(100 * whole))
+            out = out.when(known.isNotNull(), state(s["total"], s["hits"], stronger, s["negated"], 0, 0))
+        on = s["idle"] < modifiers.reach
+        return out.when(
+            on, state(s["total"], s["hits"], s["factor"], s["negated"], s["idle"] + 1, 0)
+        ).otherwise(state(s["total"], s["hits"], whole, False, 0, 0))
+
+    def mean(s: Column) -> Column:
+        some = s["total"].cast("double") / (s["hits"] * F.lit(float(FULL)))
+        return F.round(F.when(s["hits"] > 0, some).otherwise(F.lit(0.0)), 2)
+
+    return F.aggregate(_places(tokens), state(0, 0, whole, False, 0, 0), step, mean)
+
+
+def _matches_in_row(tokens: Column, scores: dict[str, int], longest: int) -> Column:
+    def at_place(at: Column) -> Column:
+        found = F.lit(None).cast(MATCH)
+        for size in range(1, longest + 1):
+            score = table_lookup(scores, _grams(tokens, at, size), "bigint")
+            match = F.struct(F.lit(size).alias("size"), score.alias("score"))
+            found = F.when(score.isNotNull(), match).otherwise(found)
+        return found
+
+    return F.transform(_places(tokens), at_place)
+
+
+def _entries(lexicon: dict[str, float]) -> dict[str, int]:
+    """Lower-case entries with single blanks; of entries that are alike the last counts."""
+    return {" ".join(k.lower().split()): _scaled(v, POLARITY) for k, v in lexicon.items() if k.split()}
+
+
+def modified_polarity(
+    frame: DataFrame,
+    keys: list[str],
+    text_col: str,
+    lexicon: dict[str, float] | DataFrame,
+    modifiers: Modifiers = Modifiers(),
+    longest: int = 3,
+) -> DataFrame:
+    """`sentiment_polarity` with phrases, negation and intensity: (keys, polarity).
+
+    Entries of the lexicon are words or phrases of up to `longest` words; case and blanks
+    between words do not count, and of entries that are alike the last counts (of a frame,
+    `token` and `polarity`, the greatest). Null or empty texts have no row, others one each,
+    repeated rows too; without a known word it is 0.0.
+
+    A dictionary of up to LEXICON_WORDS entries is looked up in the row. A frame or a larger
+    one meets the words of each distinct text in a join, and the walk is the same.
+    """
+    texts = frame.where(F.col(text_col).isNotNull() & (F.col(text_col) != ""))
+    if isinstance(lexicon, dict):
+        scores = _entries(lexicon)
+        if len(scores) <= LEXICON_WORDS:
+            longest = min(longest, max((k.count(" ") + 1 for k in scores), default=1))
+            polarity = let(
+                words(F.col(text_col)),
+                lambda t: let(_matches_in_row(t, scores, longest), lambda m: _walked(t, m, modifiers)),
+            )
+            return texts.select(*keys, polarity.alias("polarity"))
+        rows = pd.DataFrame({"gram": list(scores), "score": list(scores.values())})
+        known = frame.sparkSession.createDataFrame(rows, "gram string, score bigint")
+    else:
+        scaled = F.round(F.col("polarity").cast("decimal(20,10)") * POLARITY).cast("bigint")
+        gram = F.trim(F.regexp_replace(F.lower("token"), SPACES, " "))
+        known = lexicon.select(gram.alias("gram"), scaled.alias("score")).where("gram != ''")
+        known = known.groupBy("gram").agg(F.max("score").alias("score"))
+    # Equal rows have equal answers, so they are one row with a count until the end.
+    distinct = texts.groupBy(*keys, F.col(text_col).alias("_text")).agg(F.count(F.lit(1)).alias("_rows"))
+    tokens = words(F.col("_text"))
+    grams = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.lit(longest)),
+            lambda n: F.transform(
+                _places(F.col("_t")),
+                lambda i: F.struct(
+                    i.alias("at"),
+                    n.alias("size"),
+                    F.when(i + n <= F.size("_t"), F.array_join(F.slice("_t", i + 1, n), " ")).alias("gram"),
+                ),
+            ),
+        )
+    )
+    names = [*keys, "_text"]
+    met = (
+        distinct.select(*names, tokens.alias("_t"))
+        .select(*names, F.explode(grams).alias("_g"))
+        .select(*names, "_g.*")
+        .where("gram is not null")
+        .join(known, "gram")
+        .groupBy(*names, "at")
+        .agg(F.max(F.struct("size", "score")).alias("match"))
+        .groupBy(*names)
+        .agg(F.map_from_entries(F.collect_list(F.struct("at", "match"))).alias("_m"))
+    )
+    met = met.withColumnsRenamed({n: f"_met{i}" for i, n in enumerate(names)})
+    same = [F.col(n).eqNullSafe(F.col(f"_met{i}")) for i, n in enumerate(names)]
+    joined = distinct.join(met, reduce(lambda a, b: a & b, same), "left").select(
+        *names, "_rows", "_m", tokens.alias("_t")
+    )
+    matches = F.transform(_places(F.col("_t")), lambda i: F.try_element_at("_m", i))
+    polarity = _walked(F.col("_t"), F.col("_m_at"), modifiers)
+    return (
+        joined.withColumn("_m_at", matches)
+        .select(*keys, polarity.alias("polarity"), F.explode(F.sequence(F.lit(1).cast("bigint"), "_rows")))
+        .select(*keys, "polarity")
+    )
+
+
 def sentiment_polarity(
     frame: DataFrame, keys: list[str], text_col: str, lexicon: dict[str, float] | DataFrame
 ) -> DataFrame:
