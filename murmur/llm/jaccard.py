@@ -24,9 +24,9 @@ BAND = 4.0
 FREQUENT = 1 << 16
 # Sets in a tile that are compared by one task; a larger tile is cut into pairs of blocks.
 BLOCK = 4096
-# At most so many rounds in which each class of a large tile is tested against one class in
-# front of its tiles. They end before when a round links less than one in FEW of its pairs.
-ROUNDS, FEW = 10, 50
+# Rounds in which classes of large tiles are tested against HEADS classes of the largest
+# component of their tiles. They end before when a round links less than one in FEW of its pairs.
+ROUNDS, HEADS, FEW = 3, 4, 50
 # Up to so many sets in a tile, pairs are taken by size alone and meet the bitmaps once for
 # all their tiles; in larger ones the bitmaps come to the tile, and no pair leaves it untested.
 SMALL = 16
@@ -386,9 +386,9 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
        make its tiles: linked sets share one. Tiles with a single class are dropped in the
        stream of sorted rows.
     3. Each class is tested against the class that comes first in most of its tiles; those in
-       tiles of more than SMALL classes again and again, with other classes first, as long as
-       that finds links. A round is linear in the classes, and joins large groups of near
-       copies into components.
+       tiles of more than SMALL classes then against some of the largest component there, in
+       a few rounds. A round is linear in the classes, and joins large groups of near copies
+       into components.
     4. Tiles that still hold several components are compared in blocks, across components
        only; nothing linked is missed, and nothing already joined is compared again.
     Bitmaps bound each overlap from above before the sorted arrays are intersected.
@@ -438,23 +438,29 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         joined = tiles.join(now, "node", "left")
         return joined.withColumn("component", F.coalesce("component", "node"))
 
-    # Again with other classes in front: each class that is apart from its tile's meets one.
+    # Classes apart from the largest component of a tile meet some of its classes.
     sizes = shared.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SMALL)
     big = stored(shared.join(sizes.select("tile"), "tile", "left_semi").select("tile", "node"), f"{name}-big")
     for at in range(1, ROUNDS):
         owned = with_components(big, labels)
-        heads = owned.groupBy("tile").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(at)), "node", "component")).alias("head")
+        drawn = [F.min(F.struct(F.xxhash64("node", F.lit(at * HEADS + h)), "node"))["node"] for h in range(HEADS)]
+        heads = (
+            owned.groupBy("tile", "component")
+            .agg(F.count(F.lit(1)).alias("rows"), F.array_distinct(F.array(*drawn)).alias("heads"))
+            .groupBy("tile")
+            .agg(F.max(F.struct("rows", "component", "heads")).alias("most"))
+            .select("tile", F.col("most.component").alias("largest"), "most.heads")
         )
-        apart = stored(
+        met = (
             owned.join(heads, "tile")
-            .where("component != head.component")
-            .groupBy("node", F.col("head.node").alias("leader"))
+            .where("component != largest")
+            .select("node", F.explode("heads").alias("head"))
+            .groupBy("node", "head")
             .agg(F.count(F.lit(1)).alias("tiles"))
-            .groupBy("node")
-            .agg(F.max_by("leader", F.struct("tiles", "leader")).alias("leader"))
-            .select(*_ordered("node", "leader"))
-            .distinct(),
+        )
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("tiles"), "head"))
+        apart = stored(
+            met.withColumn("_no", place).where(F.col("_no") <= HEADS).select(*_ordered("node", "head")).distinct(),
             f"{name}-apart-{at}",
         )
         tested = apart.count()
