@@ -16,7 +16,7 @@ from murmur.functions.fixed import (
     POLITICS_BOARD,
     POLITICS_SUBREDDITS,
 )
-from murmur.operators.filters import filter_in_list
+from murmur.operators.filters import FEW_PHRASES, filter_in_list, phrase_match
 from murmur.operators.joins import comments_of_topic
 
 TopicFilter = Callable[[DataFrame, DataFrame | None], DataFrame]
@@ -35,7 +35,9 @@ def comments_in(names: list[str]) -> TopicFilter:
 def board(name: str, texts: list[str] | None = None) -> TopicFilter:
     def apply(frame: DataFrame, posts: DataFrame) -> DataFrame:
         out = frame.where(F.col("board") == name)
-        if texts:
+        if texts and len(texts) > FEW_PHRASES and not any("%" in t or "_" in t for t in texts):
+            out = out.where(phrase_match(["cleaned_text"], [t.lower() for t in texts]))
+        elif texts:
             out = out.where(
                 reduce(or_, [F.col("cleaned_text").ilike(f"%{t}%") for t in texts])
             )
