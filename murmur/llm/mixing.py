@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import WORD, clean_text
+from murmur.llm.common import WORD, clean_text, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -117,10 +117,7 @@ def mix(sized: DataFrame, seed: str = "mix", most: int = MOST, **targets) -> Dat
         .withColumn(
             "_times", F.ceil(F.col("all_rows") * most / F.lit(ROWS_PER_BUCKET)).cast("bigint")
         )
-        .withColumn(
-            "_time",
-            F.least(F.floor(F.col("finish") * F.col("_times")), F.col("_times") * 2).cast("bigint"),
-        )
+        .withColumn("_time", _range_of(F.col("finish"), F.col("_times")))
     )
     queue = ["finish", "sid", *order]
     cut = _running(finished, [], "_time", queue, "served")
@@ -152,6 +149,18 @@ def mix(sized: DataFrame, seed: str = "mix", most: int = MOST, **targets) -> Dat
     )
 
 
+def _range_of(finish: Column, times: Column) -> Column:
+    """Number of the range of a finish time; later times never have smaller numbers.
+
+    There are `times` ranges up to 1, as many from 1 to 2, from 2 to 4 and so on. All sources
+    together serve at most as fast later on as before, so up to 2^k there are as many rows as
+    from there to 2^(k+1) at least, and each range holds about all rows / `times` at most.
+    """
+    k = F.floor(F.log2(F.greatest(finish, F.lit(1.0))))
+    later = F.floor((finish / F.pow(F.lit(2.0), k) - 1) * times) + (k + 1) * times
+    return F.when(finish < 1, F.floor(finish * times)).otherwise(later).cast("bigint")
+
+
 def _running(
     frame: DataFrame, keys: list[str], bucket: str, order: list[str], name: str
 ) -> DataFrame:
@@ -179,8 +188,12 @@ def words_of(column: str = "text") -> Column:
 
 
 def mix_documents(documents: DataFrame, **options) -> DataFrame:
-    """The mix of `documents` (doc_id, text, source); sizes are words of the text, null is 0."""
-    return mix(documents.select("doc_id", "source", words_of().alias("size")), **options)
+    """The mix of `documents` (doc_id, text, source); sizes are words of the text, null is 0.
+
+    Texts are read once: their sizes are stored, and the mix works on these.
+    """
+    sized = documents.select("doc_id", "source", words_of().alias("size"))
+    return mix(stored(sized, "mix-sizes"), **options)
 
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
@@ -193,7 +206,8 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     left = documents.select(
         F.struct(*documents.columns).alias("_row"), "doc_id", "source", words_of().alias("size")
     ).withColumn("_no", F.row_number().over(dup))
-    chosen = mix(left.select("doc_id", "source", "size"), **options).where("copies > 0")
+    sized = stored(documents.select("doc_id", "source", words_of().alias("size")), "mix-sizes")
+    chosen = mix(sized, **options).where("copies > 0")
     same = (
         F.col("l.doc_id").eqNullSafe(F.col("c.doc_id"))
         & F.col("l.source").eqNullSafe(F.col("c.source"))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,17 @@ def test_documents_repeat_as_taken(docs):
     assert out.columns == [*frame.columns, "size", "copies"]
     counts = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert counts == {k: v for k, v in plan.items() if v}
+
+
+def test_ranges_of_time_rise_and_stay_small(spark):
+    """Sources that go on long after the others fill no range of their own."""
+    rng = random.Random(3)
+    finish = sorted([rng.random() * 2**k for k in range(12) for _ in range(200)] + [2.0**k for k in range(12)])
+    frame = spark.createDataFrame([(x,) for x in finish], "x double")
+    got = [r[0] for r in frame.orderBy("x").select(mixing._range_of(F.col("x"), F.lit(16).cast("bigint"))).collect()]
+    assert got == sorted(got) and got[0] >= 0
+    # a source that runs to time 1000 at an even pace, beside one that ends at 1
+    even = spark.range(40_000).select((F.col("id") / 40.0).alias("x")).unionAll(spark.range(1000).select((F.col("id") / 1000.0).alias("x")))
+    times = 41
+    most = even.groupBy(mixing._range_of(F.col("x"), F.lit(times).cast("bigint"))).count().agg(F.max("count")).first()[0]
+    assert most <= 41_000 / times
