@@ -18,6 +18,9 @@ DAMPING = 0.85
 ROUNDS = 20
 # Rounds between two written tables.
 CUT = 5
+# A page without a rule is blocked only where this share of the walks from its host ends at
+# blocked hosts, however many hosts link to these.
+BAD_SHARE = 0.4
 # A host is a seed if rules decide more than this share of its pages in one way.
 SEED_SHARE = 0.5
 
@@ -117,8 +120,46 @@ def spread(
     return score
 
 
+def walk_share(
+    edges: DataFrame,
+    seeds: DataFrame,
+    name: str,
+    damping: float = DAMPING,
+    rounds: int = ROUNDS,
+    cut: int = CUT,
+) -> DataFrame:
+    """host, share: how much of the walks along the links from a host ends at a seed.
+
+    A seed has 1, another host `damping` times the mean of the hosts that it links to, by
+    number of links; so what a host has does not depend on how many others link there. The
+    walk is followed backwards from the seeds, `rounds` links far.
+    """
+    out = edges.groupBy("src").agg(F.sum("links").alias("all"))
+    shares = stored(
+        edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("all")).alias("share")),
+        f"{name}-shares",
+    )
+    share = seeds.select("host", F.col("seed").alias("score"))
+    if shares.isEmpty():
+        return share.withColumnRenamed("score", "share")
+    for at in range(1, rounds + 1):
+        back = (
+            shares.join(share.where("score > 0"), F.col("dst") == F.col("host"))
+            .groupBy(F.col("src").alias("host"))
+            .agg(F.sum(F.col("share") * F.col("score")).alias("got"))
+        )
+        share = seeds.join(back, "host", "left").select(
+            "host",
+            "seed",
+            F.when(F.col("seed") > 0, 1.0).otherwise(damping * F.coalesce("got", F.lit(0.0))).alias("score"),
+        )
+        if at % cut == 0 and at < rounds:
+            share = stored(share, f"{name}-round")
+    return share.select("host", F.col("score").alias("share"))
+
+
 def host_scores(pages: DataFrame, name: str = "links", **options) -> DataFrame:
-    """host, trust, distrust of every host that has a page or is linked to.
+    """host, trust, distrust, bad_share of every host that has a page or is linked to.
 
     `pages` has host, html and found (the rule struct). A host is a seed of trust (of
     distrust) if rules allow (block) most of its pages. Trust follows the links; distrust
@@ -141,8 +182,11 @@ def host_scores(pages: DataFrame, name: str = "links", **options) -> DataFrame:
     trust = spread(edges, every.select("host", F.col("good").alias("seed")), f"{name}-trust", **options)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     distrust = spread(back, every.select("host", F.col("bad").alias("seed")), f"{name}-distrust", **options)
-    return trust.withColumnRenamed("score", "trust").join(
-        distrust.withColumnRenamed("score", "distrust"), "host"
+    share = walk_share(edges, every.select("host", F.col("bad").alias("seed")), f"{name}-share", **options)
+    return (
+        trust.withColumnRenamed("score", "trust")
+        .join(distrust.withColumnRenamed("score", "distrust"), "host")
+        .join(share.withColumnRenamed("share", "bad_share"), "host")
     )
 
 
@@ -150,9 +194,11 @@ def judge_pages(pages: DataFrame, rules=RULES, **options) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust of every page.
 
     The longest fitting rule decides; without one the page's host does: blocked if its
-    distrust exceeds its trust, else allowed. There is no least distrust: the distrust of a
-    blocked host is divided among all that link to it, so any bound loses them when they are
-    many. Null urls and those without :// have empty host and path and share the host of
+    distrust exceeds its trust and at least BAD_SHARE of the walks along its links end at
+    blocked hosts, else allowed. There is no least distrust: the distrust of a blocked host is
+    divided among all that link to it, so any bound loses them when they are many. The share
+    keeps hosts that have a bad link among many. A chain of hosts whose only links lead on to
+    a blocked one is blocked up to five links away. Null urls and those without :// have empty host and path and share the host of
     empty name, which has no links. Null html has no links. Repeated rows are judged alike;
     other columns are not read. Hosts grow with the pages, so their scores are joined; a
     host with very many pages is pre-aggregated in each task, and its pages are split by the
@@ -165,7 +211,8 @@ def judge_pages(pages: DataFrame, rules=RULES, **options) -> DataFrame:
         "html",
     ).withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     scores = host_scores(judged, **options)
-    by_host = F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")
+    bad = (F.col("distrust") > F.col("trust")) & (F.col("bad_share") >= BAD_SHARE)
+    by_host = F.when(bad, "block").otherwise("allow")
     return judged.drop("html").join(scores, "host", "left").select(
         "page_id",
         "host",

@@ -93,3 +93,45 @@ def test_many_linkers_of_a_blocked_host_are_all_blocked(spark, linkers):
     rows += [page(1000, "behind.com", "/", "http://f1.com/"), page(1001, "other.com", "/", "http://fine.com/")]
     got = {r.host: r.verdict for r in K.judge_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), rounds=3).collect()}
     assert {h for h, v in got.items() if v == "allow"} == {"other.com"}
+
+
+def plain_share(edges, seeds, rounds):
+    out = {}
+    for s, d, n in edges:
+        out.setdefault(s, []).append((d, n))
+    share = dict(seeds)
+    for _ in range(rounds):
+        share = {
+            h: 1.0 if seeds[h] else K.DAMPING * sum(share[d] * n for d, n in out.get(h, [])) / max(sum(n for _, n in out.get(h, [])), 1)
+            for h in seeds
+        }
+    return share
+
+
+def test_shares_of_walks(spark):
+    import random
+
+    rng = random.Random(2)
+    hosts = [f"h{i}" for i in range(40)]
+    edges = list({(a, b): (a, b, rng.randint(1, 4)) for a, b in [rng.sample(hosts, 2) for _ in range(90)]}.values())
+    seeds = {h: float(rng.random() < 0.15) for h in hosts}
+    frame = spark.createDataFrame(edges, "src string, dst string, links long")
+    got = K.walk_share(frame, spark.createDataFrame(list(seeds.items()), "host string, seed double"), "t", rounds=6)
+    want = plain_share(edges, seeds, 6)
+    assert {r.host: pytest.approx(r.share) for r in got.collect()} == want
+
+
+def test_a_bad_link_among_many_blocks_nobody(spark):
+    """Whatever the size of the graph: few bad links are allowed, chains to a blocked host not."""
+    clean = [f"http://clean{i}.com/" for i in range(1000)]
+    rows = [
+        page(0, "bad.net", "/"),
+        page(1, "big.com", "/", "http://bad.net/", *clean),
+        page(2, "fan.com", "/", "http://big.com/"),
+        page(3, "one.com", "/", "http://bad.net/"),
+        page(4, "two.com", "/", "http://one.com/"),
+        page(5, "half.com", "/", "http://bad.net/", "http://clean1.com/"),
+        page(6, "third.com", "/", "http://bad.net/", "http://clean1.com/", "http://clean2.com/"),
+    ]
+    got = {r.host: r for r in K.judge_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), rounds=6).collect()}
+    assert {h for h, r in got.items() if r.verdict == "block"} == {"bad.net", "one.com", "two.com", "half.com"}
