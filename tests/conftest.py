@@ -15,6 +15,7 @@ def spark():
         "local[8]",
         {
             "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
         },
