@@ -50,3 +50,37 @@ def test_every_operator_has_one_query():
     assert numbers == list(range(1, 14))
     assert set(entry.SQL) <= set(entry.QUERIES)
     assert [name for name, _ in P.STAGES] == ["language", "toxicity", "near copies", "mix", "pieces"]
+
+
+def test_odd_rows_pass_every_stage(spark):
+    """Nulls, empty, very long and repeated rows, two texts of one doc_id, columns of any name."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    some = docs.orderBy("doc_id").limit(40).collect()
+    clean = [r for r in some if r.lang == "en" and r.text and r.n_chars > 300][:2]
+    text, other = (r.text for r in clean)
+    long = " ".join([text] * 400)
+    lang, source = clean[0].lang, clean[0].source
+    odd = [
+        (90001, None, lang, source), (90002, "", lang, source), (None, text, lang, source), (90003, long, lang, source),
+        (90004, text, None, None), (90005, other, lang, source), (90005, text + " and more of it", lang, source),
+        (90006, other, lang, source), (90006, other, lang, source),
+    ]
+    schema = "doc_id long, text string, lang string, source string"
+    frame = spark.createDataFrame(odd, schema).withColumns(
+        {c: F.lit("x") for c in ("row", "n", "score", "sentences", "class_id", "component", "copies", "size", "ids")}
+    )
+    kept = frame
+    for name, stage in P.STAGES:
+        before, kept = kept, P.stored(stage(spark, kept, FOLDER), f"odd-{name.replace(' ', '-')}")
+        if name != "pieces":
+            assert kept.columns == frame.columns
+            allowed = {(r.doc_id, r.text) for r in before.collect()}
+            assert {(r.doc_id, r.text) for r in kept.collect()} <= allowed
+        if name == "near copies":
+            # Of the copies one row is left, both texts of 90005 are judged on their own.
+            assert kept.where("doc_id = 90006").count() == 0 and kept.where("doc_id is null").count() == before.where("doc_id is null").count()
+            texts = [r.text for r in kept.where("doc_id is not null").collect()]
+            assert len(texts) == len(set(texts))
+    assert set(kept.columns) >= {"doc_id", "lang", "source", "ids"}
