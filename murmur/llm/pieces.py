@@ -21,6 +21,10 @@ REMEMBERED = 800_000
 BATCH_ROWS = 500
 
 
+# Longer words are worked out anew each time, so that what is kept stays small.
+KEPT_LETTERS = 100
+
+
 class Pieces:
     """Exact encoder of one model.
 
@@ -67,6 +71,7 @@ class Pieces:
         for p in usable:
             self.automaton.add_word(p, p)
         self.automaton.make_automaton()
+        self.reach = max(map(len, usable), default=1)
         made = set(usable)
         # The next shorter piece that starts in the same place.
         self.shorter = {
@@ -102,23 +107,23 @@ class Pieces:
 
     def longest(self, word: str, at: int) -> str:
         """The longest piece that starts at `at`; single characters are all pieces here."""
-        return next(self.automaton.iter_long(word, at))[1]
+        return next(self.automaton.iter_long(word[at : at + self.reach]))[1]
 
     def backtracked(self, word: str) -> list[str]:
         """The one sequence of pieces of `word` whose neighbours all fit."""
         out: list[str] = []
-        open_ = (1 << (len(word) + 1)) - 1  # bit i: place i has not failed
+        failed = bytearray((len(word) >> 3) + 1)  # bit i: place i has failed
         at, piece = 0, self.longest(word, 0)
         while piece is not None:
             end = at + len(piece)
-            if open_ >> end & 1 and (not out or self.fits(out[-1], piece)):
+            if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.fits(out[-1], piece)):
                 out.append(piece)
                 at = end
                 piece = self.longest(word, at) if at < len(word) else None
                 continue
             shorter = self.shorter[piece]
             while shorter is None:
-                open_ &= ~(1 << at)
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= len(piece)
                 shorter = self.shorter[piece]
@@ -161,7 +166,9 @@ class Pieces:
             for word in cut:
                 found = words.get(word)
                 if found is None:
-                    found = words[word] = word_ids(word)
+                    found = word_ids(word)
+                    if len(word) <= KEPT_LETTERS:
+                        words[word] = found
                 ids.append(found)
             out.append(begin + b"".join(ids) + end)
         return out

@@ -61,3 +61,21 @@ def test_encode_keeps_columns(docs):
     assert got[1].ids == LIBRARY.encode("ab", add_bos=True, add_eos=True) and got[2].ids == [1, 2]
     assert got[1].n_tokens == 1
     assert piece_digest(docs([]), PATH).collect() == []
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnop", "日本語中文字", "ab", "QUJDRA+/9", "é"])
+def test_long_words_take_linear_time(letters):
+    import random
+    import time
+
+    rng = random.Random(5)
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    pieces, times = Pieces(PATH), []
+    for size in (20_000, 200_000):
+        word = "".join(rng.choice(letters) for _ in range(size))
+        begin = time.process_time()
+        (got,) = pieces.encode([word])
+        times.append(time.process_time() - begin)
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(word, add_bos=True, add_eos=True)
+    assert times[1] < 25 * max(times[0], 0.02)
+    assert all(len(w) <= 100 for w in pieces.words)
