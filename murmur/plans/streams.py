@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from murmur.plans.registry import query
@@ -98,3 +99,39 @@ def stream_hourly_counts(spark, folder):
     )
     _drain(ingest.stream_hourly_counts(events, out, checkpoint))
     return ingest.read_hourly_counts(spark, out)
+
+
+@query("""
+with r as (
+  select conv_id, turn, row_number() over (partition by conv_id order by turn desc) - 1 r
+  from conversations)
+select cast(conv_id as varchar) post_id, conv_id || '-' || turn id,
+       cast(case when r = 0 then 0 else r - 1 end as bigint) pos
+from r
+""")
+def stream_new_comments(spark, folder):
+    """Each conversation is crawled before and after its last turn, newest turn first."""
+    listings, out, state, checkpoint = _paths(spark, "new", "listings", "new", "state", "checkpoint")
+    conv = F.col("conv_id").cast("string")
+    turns = adapters.table(spark, folder, "conversations").select(
+        conv.alias("post_id"),
+        "turn",
+        F.concat_ws("-", conv, F.col("turn").cast("string")).alias("id"),
+        (F.col("turn") == F.max("turn").over(Window.partitionBy("conv_id"))).alias("last"),
+    )
+
+    def crawl(rows, at):
+        newest_first = F.sort_array(F.collect_list(F.struct("turn", "id")), asc=False)
+        children = F.transform(
+            newest_first,
+            lambda c: F.struct(F.lit("t1").alias("kind"), F.struct(c["id"].alias("id")).alias("data")),
+        )
+        listing = F.struct(F.struct(children.alias("children")).alias("data"))
+        return rows.groupBy("post_id").agg(F.to_json(listing).alias("payload")).select(
+            F.lit("s").alias("subreddit"), "post_id", F.lit(at).cast("bigint").alias("fetched_at"), "payload"
+        )
+
+    for at, rows in enumerate((turns.where("not last"), turns)):
+        crawl(rows, at).write.mode("append").json(listings)
+        _drain(ingest.stream_new_comments(spark, listings, out, state, checkpoint))
+    return ingest.read_batches(spark, out, ingest.NEW_ROWS).select("post_id", "id", "pos")
