@@ -22,7 +22,7 @@ BAND = 4.0
 # The most frequent shingles, at most this many, come last in every set's order. The list
 # only steers which shingles make tiles; the result is the same with any list.
 FREQUENT = 1 << 16
-# Sets in a tile that are compared by one task; a larger tile is cut into pairs of blocks.
+# Sets that one task compares with one another; more are cut into pairs of blocks.
 BLOCK = 4096
 # Rounds in which classes of large tiles are tested against HEADS classes of the largest
 # component of their tiles. They end before when a round links less than one in FEW of its pairs.
@@ -303,21 +303,22 @@ def _near_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _compare(batches):
-    """Of rows sorted by (tile, i, j): pairs of blocks i and j in different components that
-    sizes and bitmaps allow. One cut of a tile is held at a time, BLOCK rows a side or so,
-    and each pair of it leaves once."""
+    """Of rows sorted by (leader, i, j): pairs of blocks i and j in different components that
+    may share a tile and that sizes and bitmaps allow. One cut of a leader's classes is held
+    at a time, BLOCK rows a side or so, and each pair of it leaves once."""
 
     def pairs(rows: list[dict]):
         size = min(len(r["bitmap"]) for r in rows)
         maps = np.stack([folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in rows])
         maps = maps.view(np.uint64)
-        n, node, component, block = (np.array([r[c] for r in rows], np.int64) for c in ("n", "node", "component", "block"))
+        columns = ("n", "node", "component", "block", "tiles")
+        n, node, component, block, tiles = (np.array([r[c] for r in rows], np.int64) for c in columns)
         i, j = rows[0]["i"], rows[0]["j"]
         right = np.flatnonzero(block == j)
         held, count = [], 0
         for at in np.flatnonzero(block == i):
             to = right[right > at] if i == j else right
-            to = to[component[to] != component[at]]
+            to = to[(component[to] != component[at]) & (tiles[to] & tiles[at] != 0)]
             to = to[_near_sizes(n[to], n[at])]
             if len(to):
                 differ = np.bitwise_count(maps[to] ^ maps[at]).sum(axis=1, dtype=np.int64)
@@ -333,7 +334,7 @@ def _compare(batches):
     held, key = [], None
     for batch in batches:
         for row in batch.to_pylist():
-            here = (row["tile"], row["i"], row["j"])
+            here = (row["leader"], row["i"], row["j"])
             if held and here != key:
                 yield from pairs(held)
                 held = []
@@ -389,8 +390,10 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
        tiles of more than SMALL classes then against some of the largest component there, in
        a few rounds. A round is linear in the classes, and joins large groups of near copies
        into components.
-    4. Tiles that still hold several components are compared in blocks, across components
-       only; nothing linked is missed, and nothing already joined is compared again.
+    4. Tiles that still hold several components are compared, across components only; nothing
+       linked is missed, and nothing already joined is compared again. Tiles with the same
+       first class are compared together, small ones by their pairs, large ones in blocks, so
+       a pair leaves once for all of them.
     Bitmaps bound each overlap from above before the sorted arrays are intersected.
 
     A row without words or text, or without doc_id, is linked with nothing; it has its own
@@ -479,7 +482,7 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         owned.groupBy("tile")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows"))
         .where("lo != hi")
-        .select("tile", "rows", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
+        .select("tile", "rows")
     )
     met = owned.join(open_, "tile")
     small = (
@@ -490,16 +493,26 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         .sortWithinPartitions("leader", "tile")
         .mapInArrow(_compare_small, "a long, b long")
     )
-    large = (
+    # In large tiles, all classes of one leader meet once, with a bit for each of their tiles:
+    # near copies share many tiles, which have the same leader.
+    place = F.pmod(F.xxhash64("tile"), F.lit(64)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    of_leader = (
         met.where(F.col("rows") > SMALL)
+        .groupBy("leader", "node")
+        .agg(F.min("component").alias("component"), F.bit_or(bit).alias("tiles"))
+    )
+    cuts = of_leader.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    large = (
+        of_leader.join(cuts, "leader")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
         .join(maps, "node")
-        .select("tile", "i", "j", "block", "node", "component", "n", "bitmap")
-        .repartition(partitions(spark), "tile", "i", "j")
-        .sortWithinPartitions("tile", "i", "j")
+        .select("leader", "i", "j", "block", "node", "component", "tiles", "n", "bitmap")
+        .repartition(partitions(spark), "leader", "i", "j")
+        .sortWithinPartitions("leader", "i", "j")
         .mapInArrow(_compare, "a long, b long")
     )
     cut = small.unionAll(large).distinct()
