@@ -112,6 +112,8 @@ def decode_entities(text: Column) -> Column:
     return let(F.split(text, "&"), decoded)
 
 
+# Stands where an element was removed: a tag, so that what is left and right of it stays apart.
+GONE = "<!>"
 # Up to so many elements are looked for without a guard: each that has no end costs one look
 # through the rest of the text.
 FEW_OPENED = 32
@@ -128,20 +130,20 @@ def _removed_to_last_end(text: Column, pattern: str, end: str) -> Column:
         return let(
             F.regexp_extract(whole, rf"(?is)\A(.*{end})", 1),
             lambda head: F.concat(
-                F.regexp_replace(head, pattern, ""), whole.substr(F.length(head) + 1, F.length(whole))
+                F.regexp_replace(head, pattern, GONE), whole.substr(F.length(head) + 1, F.length(whole))
             ),
         )
 
     return let(text, removed)
 
 
-def _without_tags(text: Column) -> Column:
+def _texts_between_tags(text: Column) -> Column:
     """Tags end in ``>``, so nothing after the last one is looked at."""
     rest = F.substring_index(text, ">", -1)
     return let(
         rest,
         lambda tail: F.concat(
-            F.regexp_replace(text.substr(F.lit(1), F.length(text) - F.length(tail)), TAG, ""), tail
+            F.split(text.substr(F.lit(1), F.length(text) - F.length(tail)), TAG), F.array(tail)
         ),
     )
 
@@ -150,7 +152,8 @@ def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink")
     """Readable text of an HTML fragment; '' for null.
 
     Scripts, styles, comments and the elements `tag.css_class` are removed whole.
-    Tags vanish without leaving a space. Escapes that survive one decoding
+    Tags vanish without leaving a space. A tag or a removed element ends a character
+    reference before it, and none is read across one. Escapes that survive one decoding
     (text that was escaped twice) are then replaced, angle brackets dropped,
     runs of white space inside a line become one space and blank lines go.
     """
@@ -163,11 +166,14 @@ def clean_html_text(html: Column, tag: str = "a", css_class: str = "quotelink")
     opened = F.regexp_count(html, F.lit(rf"(?i)<(?:script\b|style\b|!--|{tag}\b)"))
     plain, guarded = html, html
     for pattern, end in parts:
-        plain = F.regexp_replace(plain, pattern, "")
+        plain = F.regexp_replace(plain, pattern, GONE)
         guarded = _removed_to_last_end(guarded, pattern, end)
     text = F.when(opened > FEW_OPENED, guarded).otherwise(plain)
-    text = let(text, _without_tags)
-    text = decode_entities(text)
+    texts = F.transform(
+        let(text, _texts_between_tags),
+        lambda piece: F.when(piece.contains("&"), decode_entities(piece)).otherwise(piece),
+    )
+    text = F.array_join(texts, "")
     for escape, plain in LEFT_ESCAPES:
         text = F.replace(text, F.lit(escape), F.lit(plain))
     lines = F.transform(

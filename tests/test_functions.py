@@ -233,3 +233,22 @@ def test_clean_html_takes_linear_time(one, html):
 )
 def test_guarded_and_plain_removal_agree(one, html, expected):
     assert one(T.clean_html_text(F.col("h")), h=html) == expected
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<title>und&amp</title><h1>Ende</h1>", "und&Ende"),
+        ("<title>on &amp;&</title><h1>And&&</h1>", "on &&And&&"),
+        ("&am<b>p</b> x", "&amp x"),
+        ("caf&eacute<!-- c -->s", "caf\u00e9s"),
+        ("a&<script>x</script>copy b<style>c</style>", "a&copy b"),
+        ("&#6<i>5</i>", "\x065"),
+        ("a<<!-- c -->b>d", "abd"),
+        ("&lt<i>b</i>&gt;", "b"),
+    ],
+)
+def test_no_reference_is_read_across_a_tag(one, html, expected):
+    """Tags went first, and `&amp</b>x` was left as `&ampx`, `&</b>And` became one character."""
+    for left_open in ("", " " + "<script>" * (T.FEW_OPENED + 1)):
+        assert one(T.clean_html_text(F.col("h")), h=html + left_open) == expected
