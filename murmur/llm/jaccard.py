@@ -22,14 +22,17 @@ BAND = 4.0
 # The most frequent shingles, at most this many, come last in every set's order. The list
 # only steers which shingles make tiles; the result is the same with any list.
 FREQUENT = 1 << 16
-# Sets that one task compares with one another; more are cut into pairs of blocks.
-BLOCK = 4096
-# Rounds in which classes of large tiles are tested against HEADS classes of the largest
-# component of their tiles. They end before when a round links less than one in FEW of its pairs.
+# Sets that one task compares with one another, of BLOCK_SHINGLES each on average; more, or
+# larger ones, are cut into pairs of blocks.
+BLOCK, BLOCK_SHINGLES = 4096, 1024
+# Rounds in which classes of large groups are tested against HEADS classes of the largest
+# component there. They end before when a round links less than one in FEW of its pairs.
 ROUNDS, HEADS, FEW = 3, 4, 50
-# Up to so many sets in a tile, pairs are taken by size alone and meet the bitmaps once for
-# all their tiles; in larger ones the bitmaps come to the tile, and no pair leaves it untested.
+# Up to so many sets in a group, pairs are taken by size alone, so a set makes fewer of them
+# than that; larger groups are compared where they are, and only what they link leaves them.
 SMALL = 16
+# Bits of a bitmap for each shingle, of those that travel and of those made in the task.
+COARSE, FINE = 2, 16
 # Pairs that a task hands on at once.
 PAIRS = 1 << 16
 
@@ -97,9 +100,9 @@ def bands_of(n: int) -> list[int]:
     return [band] if above == band else [band, band + 1]
 
 
-def bitmap_of(shingles: np.ndarray) -> bytes:
-    """Bit h mod m for each shingle, with m the power of two from 2 n on (64 at least)."""
-    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
+def bitmap_of(shingles: np.ndarray, each: int = COARSE) -> bytes:
+    """Bit h mod m for each shingle, with m the power of two from `each` n on (64 at least)."""
+    bits = max(64, 1 << int(each * len(shingles) - 1).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -237,17 +240,20 @@ def _possible(batches):
         yield batch.select(["a", "b"]).filter(keep)
 
 
+def are_linked(left: np.ndarray, right: np.ndarray) -> bool:
+    """Whether two sorted sets have enough in common."""
+    if len(left) > len(right):
+        left, right = right, left
+    at = np.searchsorted(right, left)
+    common = int((right[np.minimum(at, len(right) - 1)] == left).sum())
+    return bool(enough(common, len(left), len(right)))
+
+
 def _linked(batches):
     """Pairs whose sorted arrays have enough in common."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b")):
-            left, right = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            if len(left) > len(right):
-                left, right = right, left
-            at = np.searchsorted(right, left)
-            common = int((right[np.minimum(at, len(right) - 1)] == left).sum())
-            keep.append(bool(enough(common, len(left), len(right))))
+        sets = ([np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in ("shingles_a", "shingles_b"))
+        keep = [are_linked(x, y) for x, y in zip(*sets)]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -259,12 +265,26 @@ def _side(sets: DataFrame, side: str, *columns: str) -> DataFrame:
 IDS_SENT = 500_000
 
 
+def arrays_of(nodes: DataFrame, texts: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """node, shingles of each of the classes `nodes` (repeated or not).
+
+    `names` has one doc_id for each class. Up to IDS_SENT of them go to the texts, which then
+    stay where they are; beyond that, the texts are shuffled to meet them.
+    """
+    wanted = stored(nodes.distinct().join(names, "node"), f"{name}-wanted")
+    few = wanted.count() <= IDS_SENT
+    return stored(
+        texts.join(F.broadcast(wanted) if few else wanted, "doc_id")
+        .select("node", "text")
+        .mapInArrow(_arrays, "node long, shingles binary"),
+        f"{name}-arrays",
+    )
+
+
 def verified(pairs: DataFrame, maps: DataFrame, texts: DataFrame, names: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) that are links: bitmaps first, then the exact intersection.
 
-    Only the texts of classes that the bitmaps leave in are read into arrays. `names` has
-    one doc_id for each class. Up to IDS_SENT of them go to the texts, which then stay where
-    they are; beyond that, the texts are shuffled to meet them.
+    Only the texts of classes that the bitmaps leave in are read into arrays.
     """
     possible = stored(
         pairs.join(_side(maps, "a", "n", "bitmap"), "a")
@@ -273,14 +293,7 @@ def verified(pairs: DataFrame, maps: DataFrame, texts: DataFrame, names: DataFra
         f"{name}-possible",
     )
     nodes = possible.select(F.col("a").alias("node")).unionAll(possible.select(F.col("b").alias("node")))
-    wanted = stored(nodes.distinct().join(names, "node"), f"{name}-wanted")
-    few = wanted.count() <= IDS_SENT
-    arrays = stored(
-        texts.join(F.broadcast(wanted) if few else wanted, "doc_id")
-        .select("node", "text")
-        .mapInArrow(_arrays, "node long, shingles binary"),
-        f"{name}-arrays",
-    )
+    arrays = arrays_of(nodes, texts, names, name)
     return (
         possible.join(_side(arrays, "a", "shingles"), "a")
         .join(_side(arrays, "b", "shingles"), "b")
@@ -302,55 +315,88 @@ def _near_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return PART_OF * np.minimum(a, b) >= PART * np.maximum(a, b)
 
 
-def _compare(batches):
-    """Of rows sorted by (leader, i, j): pairs of blocks i and j in different components that
-    may share a tile and that sizes and bitmaps allow. One cut of a leader's classes is held
-    at a time, BLOCK rows a side or so, and each pair of it leaves once."""
-
-    def pairs(rows: list[dict]):
-        size = min(len(r["bitmap"]) for r in rows)
-        maps = np.stack([folded(np.frombuffer(r["bitmap"], np.uint8), size) for r in rows])
-        maps = maps.view(np.uint64)
-        columns = ("n", "node", "component", "block", "tiles")
-        n, node, component, block, tiles = (np.array([r[c] for r in rows], np.int64) for c in columns)
-        i, j = rows[0]["i"], rows[0]["j"]
-        right = np.flatnonzero(block == j)
-        held, count = [], 0
-        for at in np.flatnonzero(block == i):
-            to = right[right > at] if i == j else right
-            to = to[(component[to] != component[at]) & (tiles[to] & tiles[at] != 0)]
-            to = to[_near_sizes(n[to], n[at])]
-            if len(to):
-                differ = np.bitwise_count(maps[to] ^ maps[at]).sum(axis=1, dtype=np.int64)
-                to = to[enough((n[to] + n[at] - differ) // 2, n[to], n[at])]
-            held.append((np.full(len(to), node[at]), node[to]))
-            count += len(to)
-            if count >= PAIRS:
-                yield _pair_batch(*map(np.concatenate, zip(*held)))
-                held, count = [], 0
-        if count:
-            yield _pair_batch(*map(np.concatenate, zip(*held)))
-
-    held, key = [], None
+def _by_block(batches):
+    """The rows of each (leader, i, j), by which they come sorted, as one table by size."""
+    held, last = [], None
     for batch in batches:
-        for row in batch.to_pylist():
-            here = (row["leader"], row["i"], row["j"])
-            if held and here != key:
-                yield from pairs(held)
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("leader", "i", "j")], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            here = tuple(keys[lo])
+            if held and here != last:
+                yield pa.Table.from_batches(held).sort_by("n")
                 held = []
-            key = here
-            held.append(row)
+            held.append(batch.slice(lo, hi - lo))
+            last = here
     if held:
-        yield from pairs(held)
+        yield pa.Table.from_batches(held).sort_by("n")
 
 
-def _compare_small(batches):
-    """Of rows sorted by (leader, tile), with at most SMALL rows a tile: pairs in different
-    components that sizes allow, each once for all tiles with the same leader.
+def _candidates(rows: pa.Table, bitmaps: list[bytes], component: np.ndarray):
+    """(row, later rows) of a block that sizes, tiles and bitmaps leave as possible links.
 
-    Tiles that the same few documents share, as those of a passage, have the same leader. The
-    rows of one leader are held at a time: its tiles are its own first shingles.
+    Rows come by size. `component` is read anew for each row, so that the caller can join.
     """
+    n, block, tiles = (rows.column(c).to_numpy() for c in ("n", "block", "tiles"))
+    within = rows.column("i")[0] == rows.column("j")[0]
+    sizes = np.array([len(b) for b in bitmaps])
+    ends = np.searchsorted(n, n * PART_OF // PART, side="right")
+    size, first, maps = 0, 0, None
+    for at in range(len(n)):
+        if sizes[at] != size:
+            # A set that can link to one of these has a bitmap of this size or twice it.
+            size, first = sizes[at], at
+            last = np.searchsorted(sizes, 2 * size, side="right")
+            maps = np.stack([folded(np.frombuffer(b, np.uint8), size) for b in bitmaps[at:last]]).view(np.uint64)
+        to = np.arange(at + 1, ends[at])
+        to = to[(component[to] != component[at]) & (tiles[to] & tiles[at] != 0)]
+        if not within:
+            to = to[block[to] != block[at]]
+        if len(to):
+            differ = np.bitwise_count(maps[to - first] ^ maps[at - first]).sum(axis=1, dtype=np.int64)
+            to = to[enough((n[to] + n[at] - differ) // 2, n[to], n[at])]
+        if len(to):
+            yield at, to
+
+
+BLOCKS = "leader long, i int, j int, block int, node long, component long, tiles long, n long"
+
+
+def _near(batches):
+    """Of rows sorted by (leader, i, j): those that may link to another of theirs, of another
+    component. At most one row for each, however many pairs there are."""
+    columns = [c.split()[0] for c in BLOCKS.split(", ")]
+    for rows in _by_block(batches):
+        near = np.zeros(len(rows), bool)
+        for at, to in _candidates(rows, rows.column("bitmap").to_pylist(), rows.column("component").to_numpy()):
+            near[at] = True
+            near[to] = True
+        if near.any():
+            yield from rows.select(columns).filter(pa.array(near)).combine_chunks().to_batches()
+
+
+def _joined(batches):
+    """Of rows sorted by (leader, i, j): links (a, b) that join their components. What earlier
+    links have joined is not looked at again, so there are fewer links than rows."""
+    for rows in _by_block(batches):
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows.column("shingles")]
+        component, node = (rows.column(c).to_numpy().copy() for c in ("component", "node"))
+        found = []
+        for at, to in _candidates(rows, [bitmap_of(s, FINE) for s in sets], component):
+            for x in to.tolist():
+                if component[x] != component[at] and are_linked(sets[at], sets[x]):
+                    component[component == component[x]] = component[at]
+                    found.append((at, x))
+        if found:
+            yield _pair_batch(*node[np.array(found).T])
+
+
+def _compare_small(batches):
+    """Of rows sorted by (leader, tile), with at most SMALL rows a tile: pairs in different
+    components that sizes allow, each once for all tiles with the same leader. The rows of one
+    leader are held at a time."""
     columns = ("leader", "tile", "node", "component", "n")
 
     def pairs(leader, tile, node, component, n):
@@ -385,15 +431,17 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
        class, named by a 64-bit hash; what follows works on classes, so copies cost one row.
     2. The first shingles of a set in a common order, rarest first, and the band of its size
        make its tiles: linked sets share one. Tiles with a single class are dropped in the
-       stream of sorted rows.
+       stream of sorted rows. Those with the same first class are one group, since near copies
+       share many tiles: a class is one row there, with a bit for each of its tiles.
     3. Each class is tested against the class that comes first in most of its tiles; those in
-       tiles of more than SMALL classes then against some of the largest component there, in
+       groups of more than SMALL classes then against some of the largest component there, in
        a few rounds. A round is linear in the classes, and joins large groups of near copies
        into components.
-    4. Tiles that still hold several components are compared, across components only; nothing
-       linked is missed, and nothing already joined is compared again. Tiles with the same
-       first class are compared together, small ones by their pairs, large ones in blocks, so
-       a pair leaves once for all of them.
+    4. Groups that still hold several components are compared, across components only; nothing
+       linked is missed, and nothing already joined is compared again. Small groups hand on
+       their pairs, fewer than SMALL a class. Large ones are compared in blocks, in the task:
+       by bitmaps, which leaves the classes that may link to another, and again by the arrays
+       of these. Only links that join something leave it, fewer than it has classes.
     Bitmaps bound each overlap from above before the sorted arrays are intersected.
 
     A row without words or text, or without doc_id, is linked with nothing; it has its own
@@ -406,66 +454,69 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
         texts.mapInArrow(_classes, "doc_id long, n long, node long, bitmap binary"), f"{name}-classes"
     )
     rows = sets.select("doc_id", "n", "node")
-    shared = stored(
+    place = F.pmod(F.xxhash64("tile"), F.lit(64)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    groups = stored(
         texts.where("doc_id is not null")
         .select("text")
         .mapInArrow(_tiles(frequent), "tile long, node long")
         .repartition(partitions(spark), "tile")
         .sortWithinPartitions("tile", "node")
-        .mapInArrow(_shared, SHARED),
-        f"{name}-tiles",
+        .mapInArrow(_shared, SHARED)
+        .groupBy("leader", "node")
+        .agg(F.count(F.lit(1)).alias("seen"), F.bit_or(bit).alias("tiles")),
+        f"{name}-groups",
     )
     named = rows.where("node is not null and doc_id is not null")
     names = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     maps = stored(
         sets.where("bitmap is not null")
-        .join(shared.select("node").distinct(), "node", "left_semi")
+        .join(groups.select("node").distinct(), "node", "left_semi")
         .groupBy("node")
         .agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap")),
         f"{name}-maps",
     )
     # The first class of most of a class's tiles: one test for each class.
     first = (
-        shared.where("node != leader")
-        .groupBy("node", "leader")
-        .agg(F.count(F.lit(1)).alias("tiles"))
+        groups.where("node != leader")
         .groupBy("node")
-        .agg(F.max_by("leader", F.struct("tiles", "leader")).alias("leader"))
+        .agg(F.max_by("leader", F.struct("seen", "leader")).alias("leader"))
         .select(*_ordered("node", "leader"))
         .distinct()
     )
     links = stored(verified(first, maps, texts, names, f"{name}-first"), f"{name}-links")
     labels = components(links, f"{name}-components")
 
-    def with_components(tiles: DataFrame, now: DataFrame) -> DataFrame:
-        joined = tiles.join(now, "node", "left")
+    def with_components(rows: DataFrame, now: DataFrame) -> DataFrame:
+        joined = rows.join(now, "node", "left")
         return joined.withColumn("component", F.coalesce("component", "node"))
 
-    # Classes apart from the largest component of a tile meet some of its classes.
-    sizes = shared.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SMALL)
-    big = stored(shared.join(sizes.select("tile"), "tile", "left_semi").select("tile", "node"), f"{name}-big")
+    # Classes apart from the largest component of a group meet some of its classes.
+    many = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SMALL)
+    big = stored(groups.join(many.select("leader"), "leader", "left_semi"), f"{name}-big")
     for at in range(1, ROUNDS):
         owned = with_components(big, labels)
-        drawn = [F.min(F.struct(F.xxhash64("node", F.lit(at * HEADS + h)), "node"))["node"] for h in range(HEADS)]
+        drawn = [F.min(F.struct(F.xxhash64("node", F.lit(at * HEADS + h)), "node", "tiles")) for h in range(HEADS)]
         heads = (
-            owned.groupBy("tile", "component")
-            .agg(F.count(F.lit(1)).alias("rows"), F.array_distinct(F.array(*drawn)).alias("heads"))
-            .groupBy("tile")
+            owned.groupBy("leader", "component")
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.array_distinct(F.array(*[F.struct(d["node"].alias("node"), d["tiles"].alias("tiles")) for d in drawn])).alias("heads"),
+            )
+            .groupBy("leader")
             .agg(F.max(F.struct("rows", "component", "heads")).alias("most"))
-            .select("tile", F.col("most.component").alias("largest"), "most.heads")
+            .select("leader", F.col("most.component").alias("largest"), "most.heads")
         )
         met = (
-            owned.join(heads, "tile")
+            owned.join(heads, "leader")
             .where("component != largest")
-            .select("node", F.explode("heads").alias("head"))
-            .groupBy("node", "head")
-            .agg(F.count(F.lit(1)).alias("tiles"))
-        )
-        place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("tiles"), "head"))
-        apart = stored(
-            met.withColumn("_no", place).where(F.col("_no") <= HEADS).select(*_ordered("node", "head")).distinct(),
-            f"{name}-apart-{at}",
+            .withColumn("heads", F.filter("heads", lambda head: head["tiles"].bitwiseAND(F.col("tiles")) != 0))
+            .where(F.size("heads") > 0)
+            .groupBy("node")
+            .agg(F.max_by("heads", F.struct("seen", "leader")).alias("heads"))
+            .select("node", F.explode("heads.node").alias("head"))
         )
+        apart = stored(met.select(*_ordered("node", "head")).distinct(), f"{name}-apart-{at}")
         tested = apart.count()
         if not tested:
             break
@@ -476,47 +527,46 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
             labels = components(links, f"{name}-components-{at}")
         if linked * FEW < tested:
             break
-    # What is left: tiles whose classes are in more than one component.
-    owned = with_components(shared, labels)
-    open_ = (
-        owned.groupBy("tile")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows"))
-        .where("lo != hi")
-        .select("tile", "rows")
-    )
-    met = owned.join(open_, "tile")
+    # What is left: groups whose classes are in more than one component.
     small = (
-        met.where(F.col("rows") <= SMALL)
+        with_components(groups.join(many.select("leader"), "leader", "left_anti"), labels)
         .join(maps.select("node", "n"), "node")
-        .select("leader", "tile", "node", "component", "n")
+        .select("leader", F.col("leader").alias("tile"), "node", "component", "n")
         .repartition(partitions(spark), "leader")
-        .sortWithinPartitions("leader", "tile")
+        .sortWithinPartitions("leader", "node")
         .mapInArrow(_compare_small, "a long, b long")
+        .distinct()
     )
-    # In large tiles, all classes of one leader meet once, with a bit for each of their tiles:
-    # near copies share many tiles, which have the same leader.
-    place = F.pmod(F.xxhash64("tile"), F.lit(64)).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
-    of_leader = (
-        met.where(F.col("rows") > SMALL)
-        .groupBy("leader", "node")
-        .agg(F.min("component").alias("component"), F.bit_or(bit).alias("tiles"))
+    of_leader = with_components(big, labels).join(maps.select("node", "n"), "node")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / (block * BLOCK_SHINGLES)))
+    cuts = (
+        of_leader.groupBy("leader")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), blocks.cast("int").alias("blocks"))
+        .where("lo != hi")
+        .select("leader", "blocks")
+    )
+
+    def by_block(rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions(spark), "leader", "i", "j").sortWithinPartitions("leader", "i", "j")
+
+    columns = [c.split()[0] for c in BLOCKS.split(", ")]
+    near = stored(
+        by_block(
+            of_leader.join(cuts, "leader")
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("block", "other"))
+            .withColumn("j", F.greatest("block", "other"))
+            .select(*columns)
+            .join(maps.select("node", "bitmap"), "node")
+        ).mapInArrow(_near, BLOCKS),
+        f"{name}-near",
     )
-    cuts = of_leader.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    large = (
-        of_leader.join(cuts, "leader")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("block", "other"))
-        .withColumn("j", F.greatest("block", "other"))
-        .join(maps, "node")
-        .select("leader", "i", "j", "block", "node", "component", "tiles", "n", "bitmap")
-        .repartition(partitions(spark), "leader", "i", "j")
-        .sortWithinPartitions("leader", "i", "j")
-        .mapInArrow(_compare, "a long, b long")
+    arrays = arrays_of(near.select("node"), texts, names, f"{name}-large")
+    large = by_block(near.join(arrays, "node")).mapInArrow(_joined, "a long, b long")
+    more = stored(
+        verified(small, maps, texts, names, f"{name}-second").unionAll(large), f"{name}-more-links"
     )
-    cut = small.unionAll(large).distinct()
-    more = stored(verified(cut, maps, texts, names, f"{name}-second"), f"{name}-more-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more), f"{name}-all-components")
     whole = (

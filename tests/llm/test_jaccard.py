@@ -152,3 +152,80 @@ def test_components(spark):
             if a != b:
                 label[a] = label[b] = min(label[a], label[b])
     assert got == label
+
+
+def test_tables_grow_with_the_documents_not_their_pairs(docs, monkeypatch):
+    """150 texts share a passage and are just too unlike to link, so all their pairs are candidates."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(176)]
+    texts = [passage + [f"q{k}x{i}" for i in range(24)] for k in range(150)]
+    texts += [near(rng, t, 2) for t in texts[::10]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    counts = {}
+
+    def stored(frame, name):
+        out = real(frame, name)
+        counts[name] = out.count()
+        return out
+
+    real = J.stored
+    monkeypatch.setattr(J, "stored", stored)
+    got = J.link_documents(docs([{"doc_id": i, "text": t} for i, t in rows])).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+    pairs = {k: n for k, n in counts.items() if "possible" in k or "apart" in k or "near" in k or "links" in k}
+    assert max(pairs.values()) <= J.HEADS * len(rows), counts
+    assert counts["jaccard-near"] >= 150
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_blocks_of_large_groups(size, blocks):
+    """Sets of many sizes: what `_near` and `_joined` leave joins as all pairs do."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(blocks)
+    rows = []
+    for leader in (1, 2):
+        base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+        for node in range(40):
+            n = int(rng.choice([3, 30, 40, 200, 250, 400]))
+            own = rng.integers(0, 2**63, int(n * rng.choice([0, 0.05, 0.12, 0.3])), dtype=np.uint64)
+            own = np.unique(np.concatenate([base[: n - len(own)], own]))
+            home = int(rng.integers(blocks))
+            for other in range(blocks):
+                rows.append({
+                    "leader": leader, "i": min(home, other), "j": max(home, other), "block": home, "node": 100 * leader + node,
+                    "component": 100 * leader + node - node % 2, "tiles": int(rng.choice([1, 3, -1])) if blocks == 1 else 1,
+                    "n": len(own), "bitmap": J.bitmap_of(own), "shingles": own.tobytes(),
+                })
+    rows.sort(key=lambda r: (r["leader"], r["i"], r["j"]))
+    types = {"i": pa.int32(), "j": pa.int32(), "block": pa.int32(), "bitmap": pa.binary(), "shingles": pa.binary()}
+    schema = pa.schema([(c, types.get(c, pa.int64())) for c in rows[0]])
+
+    def batches(some):
+        return iter([pa.RecordBatch.from_pylist(some[k : k + size], schema) for k in range(0, len(some), size)])
+
+    kept = [r for b in J._near(batches(rows)) for r in b.to_pylist()]
+    key = ("leader", "i", "j", "node")
+    assert len({tuple(r[c] for c in key) for r in kept}) == len(kept) < len(rows)
+    whole = {tuple(r[c] for c in key): r for r in rows}
+    found = [p for b in J._joined(batches([whole[tuple(r[c] for c in key)] for r in kept])) for p in zip(*b.to_pydict().values())]
+    sets = {r["node"]: np.frombuffer(r["shingles"], np.uint64) for r in rows}
+    every = {
+        (x["node"], y["node"])
+        for x in rows for y in rows
+        if x["node"] < y["node"] and x["leader"] == y["leader"] and x["tiles"] & y["tiles"]
+        and 100 * len(np.intersect1d(sets[x["node"]], sets[y["node"]])) >= 80 * len(np.union1d(sets[x["node"]], sets[y["node"]]))
+    }
+    assert set(found) <= every and len(found) < len(kept)
+
+    def joined(edges):
+        label = {r["node"]: r["component"] for r in rows}
+        for a, b in edges:
+            old, new = label[a], label[b]
+            label = {k: new if v == old else v for k, v in label.items()}
+        return {frozenset(k for k in label if label[k] == v) for v in label.values()}
+
+    assert joined(found) == joined(every)
+    assert list(J._near(iter([]))) == list(J._joined(iter([]))) == []
