@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import sys
 import types
 
@@ -29,6 +31,24 @@ def worker_store() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("held", {})
 
 
+def lean(run):
+    """`run`, a function for mapInArrow, that at its end gives what malloc holds back to the system.
+
+    Workers outlive their tasks, and what one stage has touched would add to what all later
+    ones need.
+    """
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,13 +58,21 @@ BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def _bytes(setting: str) -> int:
+    """A size as Spark writes it: 67108864, 64m, 64MB."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-z]?)[a-z]*\s*", setting.lower()).groups()
+    return int(number) << {"k": 10, "m": 20, "g": 30, "t": 40, "p": 50}.get(unit, 0)
+
+
 def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> str:
-    """From now on rows go to Python in batches of at most `most` bytes or one row.
+    """From now on rows go to Python in batches of at most `most` bytes or one row; a smaller
+    limit that is set stays.
 
     Returns what held before.
     """
     before = spark.conf.get(_BATCH_CONF)
-    spark.conf.set(_BATCH_CONF, str(most))
+    if not 0 < _bytes(before) <= most:
+        spark.conf.set(_BATCH_CONF, str(most))
     return before
 
 

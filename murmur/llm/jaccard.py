@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from murmur.llm.common import partitions, ship, stored
+from murmur.llm.common import lean, partitions, ship, stored
 from murmur.llm.components import components
 from murmur.llm.words import mixed, shingle_sets
 
@@ -56,7 +56,7 @@ def frequent_shingles(documents: DataFrame, most: int = FREQUENT) -> np.ndarray:
 
     rows = (
         documents.select("text")
-        .mapInArrow(run, "shingle long, n long")
+        .mapInArrow(lean(run), "shingle long, n long")
         .groupBy("shingle")
         .agg(F.sum("n").alias("n"))
         .where("n >= 8")
@@ -451,7 +451,7 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     frequent = frequent_shingles(texts)
     sets = stored(
-        texts.mapInArrow(_classes, "doc_id long, n long, node long, bitmap binary"), f"{name}-classes"
+        texts.mapInArrow(lean(_classes), "doc_id long, n long, node long, bitmap binary"), f"{name}-classes"
     )
     rows = sets.select("doc_id", "n", "node")
     place = F.pmod(F.xxhash64("tile"), F.lit(64)).cast("int")
@@ -459,7 +459,7 @@ def link_documents(documents: DataFrame, block: int = BLOCK, name: str = "jaccar
     groups = stored(
         texts.where("doc_id is not null")
         .select("text")
-        .mapInArrow(_tiles(frequent), "tile long, node long")
+        .mapInArrow(lean(_tiles(frequent)), "tile long, node long")
         .repartition(partitions(spark), "tile")
         .sortWithinPartitions("tile", "node")
         .mapInArrow(_shared, SHARED)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import clean_text, ship, stored
+from murmur.llm.common import clean_text, lean, ship, stored
 from murmur.llm.words import groups, slices, utf8
 
 ship(__name__)
@@ -98,7 +98,7 @@ def train(labelled: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> tuple[list
             chosen = F.broadcast(chosen)
         texts = known.join(chosen, ["doc_id", "lang"]).select("lang", "text")
         counts = (
-            texts.mapInArrow(_counter(), "lang string, bucket long, n long")
+            texts.mapInArrow(lean(_counter()), "lang string, bucket long, n long")
             .groupBy("lang", "bucket")
             .agg(F.sum("n").alias("n"))
             .toArrow()
@@ -172,7 +172,7 @@ def with_likelihood(rows: DataFrame, model, text: str = "text", keep_text: bool
     kept = rows if keep_text else rows.drop(text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return rows.mapInArrow(
-        _liker(table, text, keep_text), f"{schema}, likelihood array<double>, letters bigint"
+        lean(_liker(table, text, keep_text)), f"{schema}, likelihood array<double>, letters bigint"
     )
 
 

@@ -9,20 +9,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from murmur.llm.common import ship, worker_store
+from murmur.llm.common import lean, ship, worker_store
+from murmur.llm.units import Memory
 
 ship(__name__)
 
 BLANK = "▁"
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
-# Words and pairs remembered by a worker (about 200 bytes each); when full, they are
-# emptied and filled anew.
-REMEMBERED = 400_000
+# Words (about 60 bytes each) and pairs (about 120) remembered by a worker; when full, they are
+# emptied and filled anew. Workers outlive the stage, so this adds to what other stages need.
+REMEMBERED, REMEMBERED_PAIRS = 400_000, 1 << 17
 BATCH_ROWS = 500
-
-
-# Longer words are worked out anew each time, so that what is kept stays small.
-KEPT_LETTERS = 100
+# Texts of about so many letters are looked up together.
+GROUP_LETTERS = 1 << 16
+# Words of more bytes are worked out anew each time, so that what is kept stays small.
+KEPT_BYTES = 100
 
 
 class Pieces:
@@ -78,7 +79,7 @@ class Pieces:
             p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in made), None) for p in usable
         }
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.memory = Memory()
         known = {p for p in self.ids if len(p) == 1}
         self.lacking = re.compile("([^" + "".join(re.escape(c) for c in sorted(known)) + "])")
         self.line_feed = "\n" not in known
@@ -143,37 +144,77 @@ class Pieces:
                 ids += [self.ids[p] for p in self.backtracked(part)]
         return np.array(ids, "<u4").tobytes()
 
-    def cut(self, text: str) -> list[str]:
-        """Words of a normalised text."""
+    @property
+    def words(self) -> list[str]:
+        """The words that are remembered."""
+        cuts = self.memory.body_begins[: self.memory.count + 1].tolist()
+        body = self.memory.body.tobytes()
+        return [body[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        ids = [self.word_ids(w.decode()) for w in words]
+        sizes = np.array([len(i) // 4 for i in ids], np.int64)
+        self.memory.add(hashes, np.frombuffer(b"".join(ids), "<u4"), sizes, words)
+
+    def cut(self, text: str) -> list[bytes]:
+        """Words of a text."""
+        quick = self.quick(text)
+        if quick is not None:
+            return quick
+        text = self.library.normalize(text)
         if not self.cuts_before_blank:
-            return [text]
-        return re.split(f"(?<=[^{BLANK}])(?={BLANK})", text)
+            return [text.encode()] if text else []
+        return [w.encode() for w in re.split(f"(?<=[^{BLANK}])(?={BLANK})", text) if w]
+
+    def ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after another, number of ids of each)."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        held = sizes <= KEPT_BYTES
+        counts = np.zeros(len(words), np.int64)
+        ids = np.zeros(0, np.uint32)
+        if held.any():
+            short = words if held.all() else [w for w in words if len(w) <= KEPT_BYTES]
+            ends = np.cumsum(sizes[held])
+            body = np.frombuffer(b"".join(short), np.uint8)
+            ids, n, same = self.memory.lookup(body, ends - sizes[held], ends, self.learn)
+            ids = ids[np.repeat(same, n)]
+            counts[held] = np.where(same, n, 0)
+            held[held] = same
+        if held.all():
+            return ids, counts
+        # Long words, and those whose hash is another word's.
+        apart = {i: np.frombuffer(self.word_ids(words[i].decode()), "<u4") for i in np.flatnonzero(~held).tolist()}
+        counts[list(apart)] = [len(a) for a in apart.values()]
+        ends = np.cumsum(counts)
+        out = np.zeros(ends[-1], np.uint32)
+        out[np.repeat(held, counts)] = ids
+        for i, a in apart.items():
+            out[ends[i] - len(a) : ends[i]] = a
+        return out, counts
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with begin and end id, as little-endian 32-bit integers."""
         begin = np.array([self.library.bos_id()], "<u4").tobytes()
         end = np.array([self.library.eos_id()], "<u4").tobytes()
-        words, word_ids = self.words, self.word_ids
-        if len(words) > REMEMBERED or len(self.pairs) > REMEMBERED:
-            words.clear()
-            self.pairs.clear()
-        out = []
-        for text in texts:
-            cut = self.quick(text)
-            if cut is None:
-                cut = self.cut(self.library.normalize(text))
-            ids = []
-            for word in cut:
-                found = words.get(word)
-                if found is None:
-                    found = word_ids(word)
-                    if len(word) <= KEPT_LETTERS:
-                        words[word] = found
-                ids.append(found)
-            out.append(begin + b"".join(ids) + end)
+        out: list[bytes] = []
+        while len(out) < len(texts):
+            if self.memory.count > REMEMBERED:
+                self.memory.clear()
+            if len(self.pairs) > REMEMBERED_PAIRS:
+                self.pairs.clear()
+            words, upto, letters = [], [0], 0
+            while letters < GROUP_LETTERS and len(out) + len(upto) <= len(texts):
+                text = texts[len(out) + len(upto) - 1]
+                letters += len(text)
+                words += self.cut(text)
+                upto.append(len(words))
+            ids, counts = self.ids_of(words)
+            cuts = (4 * np.append(0, np.cumsum(counts))[upto]).tolist()
+            data = ids.astype("<u4").tobytes()
+            out += [begin + data[a:b] + end for a, b in zip(cuts[:-1], cuts[1:])]
         return out
 
-    def quick(self, text: str) -> list[str] | None:
+    def quick(self, text: str) -> list[bytes] | None:
         """The words of a plain text, or None where blanks or marks need a closer look.
 
         Plain: what the library's normaliser does to it is to put a blank in front and
@@ -186,7 +227,7 @@ class Pieces:
             marked = marked.replace("\n", "\x00\n\x00")
         if marked.count("\x00") != text.count(" ") + 1 + 2 * text.count("\n") * self.line_feed:
             return None  # the text holds the mark itself
-        return [w for w in marked.split("\x00") if w]
+        return [w for w in marked.encode().split(b"\x00") if w]
 
     @property
     def plain(self) -> bool:
@@ -242,7 +283,7 @@ def encode_pieces(documents: DataFrame, model_path: str, name: str = "ids") -> D
     """
     keep = documents.drop(name)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema)
-    return keep.mapInArrow(_encoder(model_path, name), f"{schema}, `{name}` array<int>")
+    return keep.mapInArrow(lean(_encoder(model_path, name)), f"{schema}, `{name}` array<int>")
 
 
 def piece_digest(documents: DataFrame, model_path: str) -> DataFrame:
@@ -252,5 +293,5 @@ def piece_digest(documents: DataFrame, model_path: str) -> DataFrame:
     are not read.
     """
     return documents.select("doc_id", "text").mapInArrow(
-        _digest(model_path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        lean(_digest(model_path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import clean_text, ship
+from murmur.llm.common import clean_text, lean, ship
 from murmur.llm.words import groups, is_space, lower, mixed, slices, utf8, word_hashes
 
 ship(__name__)
@@ -223,7 +223,7 @@ def train(documents: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCU
         .repartition(1)
         .sortWithinPartitions("doc_id")
         .select("text", F.col("toxic").cast("int").alias("toxic"))
-        .mapInArrow(run, "columns array<bigint>, weights array<double>, bias double")
+        .mapInArrow(lean(run), "columns array<bigint>, weights array<double>, bias double")
         .collect()
     )
     if not model:  # no document to learn from
@@ -275,7 +275,7 @@ def with_scores(
     keep = documents.drop(score, found)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema)
     return keep.mapInArrow(
-        _scorer(model, score, found),
+        lean(_scorer(model, score, found)),
         f"{schema}, `{score}` double, `{found}` array<struct<{SENTENCE}>>",
     )
 

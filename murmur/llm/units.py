@@ -98,6 +98,26 @@ class Memory:
                 break
             self.levels[level] = (keys[:0], entry[:0])
 
+    def lookup(self, body: np.ndarray, starts: np.ndarray, ends: np.ndarray, learn):
+        """(ids, number of ids of each string, whether it is the one held by its hash) of the
+        strings of `body`. Those not held go to `learn` (hashes, strings), which adds them."""
+        words = eights(body)
+        hashes = string_hashes(body, starts, ends - starts, words)
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        entry = self.find(distinct)
+        fresh = np.flatnonzero(entry < 0)
+        if len(fresh):
+            raw = body.tobytes()
+            at = first[fresh]
+            learn(distinct[fresh], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            entry[fresh] = self.find(distinct[fresh])
+        of_string = entry[back]
+        begin = self.begins[of_string]
+        size = self.begins[of_string + 1] - begin
+        done = np.cumsum(size)
+        place = np.repeat(begin - (done - size), size) + np.arange(done[-1])
+        return self.tokens[place], size, self.same(of_string, words, starts, ends - starts)
+
 
 # The first 0 to 8 bytes of a number.
 MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
@@ -168,25 +188,11 @@ class ByteBpe:
         start[offsets[:-1]] = True
         starts = np.flatnonzero(start)
         ends = np.append(starts[1:], len(body))
-        words = eights(body)
-        hashes = string_hashes(body, starts, ends - starts, words)
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        entry = self.memory.find(distinct)
-        fresh = np.flatnonzero(entry < 0)
-        if len(fresh):
-            raw = body.tobytes()
-            at = first[fresh]
-            self.learn(distinct[fresh], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-            entry[fresh] = self.memory.find(distinct[fresh])
-        of_piece = entry[back]
-        other = starts[~self.memory.same(of_piece, words, starts, ends - starts)]
-        doubt = np.unique(np.searchsorted(offsets, other, side="right") - 1)
-        begin = self.memory.begins[of_piece]
-        size = self.memory.begins[of_piece + 1] - begin
+        ids, size, same = self.memory.lookup(body, starts, ends, self.learn)
+        doubt = np.unique(np.searchsorted(offsets, starts[~same], side="right") - 1)
         done = np.cumsum(size)
-        place = np.repeat(begin - (done - size), size) + np.arange(done[-1])
         counts = np.diff(np.append(0, done)[np.searchsorted(starts, offsets)])
-        return self.memory.tokens[place], counts, doubt
+        return ids, counts, doubt
 
     def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers, `end` after them."""

@@ -79,3 +79,31 @@ def test_long_words_take_linear_time(letters):
         assert np.frombuffer(got, "<u4").tolist() == library.encode(word, add_bos=True, add_eos=True)
     assert times[1] < 25 * max(times[0], 0.02)
     assert all(len(w) <= 100 for w in pieces.words)
+
+
+def test_a_worker_keeps_little(monkeypatch):
+    """Many distinct words, long ones and words of one hash among them, take few bytes each."""
+    import random
+    import sys
+
+    from murmur.llm import pieces as module
+    from murmur.llm import units
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(60_000)]
+    texts = [" ".join(words[i : i + 600]) + "\nx" + "y" * (i % 7) * 40 for i in range(0, len(words), 600)]
+    want = [np.array(i, "<u4").tobytes() for i in LIBRARY.encode(texts, add_bos=True, add_eos=True)]
+    made = Pieces(PATH)
+    before = sys.getallocatedblocks()
+    assert made.encode(texts) == want
+    made.pairs.clear()
+    assert sys.getallocatedblocks() - before < 20_000
+    monkeypatch.setattr(module, "REMEMBERED", 1000)
+    monkeypatch.setattr(module, "REMEMBERED_PAIRS", 100)
+    assert made.encode(texts[:3] * 2) == want[:3] * 2
+    assert made.memory.count < 60_000 and len(made.pairs) < 60_000
+    # Every word has the hash of the first one.
+    monkeypatch.setattr(units, "string_hashes", lambda body, starts, sizes, words: np.zeros(len(starts), np.uint64))
+    assert Pieces(PATH).encode(texts[:2] + ODD) == want[:2] + [
+        np.array(i, "<u4").tobytes() for i in LIBRARY.encode(ODD, add_bos=True, add_eos=True)
+    ]

@@ -84,3 +84,27 @@ def test_odd_rows_pass_every_stage(spark):
             texts = [r.text for r in kept.where("doc_id is not null").collect()]
             assert len(texts) == len(set(texts))
     assert set(kept.columns) >= {"doc_id", "lang", "source", "ids"}
+
+
+def test_batches_stay_small_in_every_stage(spark, monkeypatch):
+    """Neither a stage nor a table that an operator stores on the way raises the size of batches."""
+    from murmur.llm import common
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(20)
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, write = spark.conf.get(key), type(docs.write).parquet
+
+    def parquet(self, *args, **options):
+        seen.append(int(spark.conf.get(key)))
+        return write(self, *args, **options)
+
+    monkeypatch.setattr(type(docs.write), "parquet", parquet)
+    try:
+        spark.conf.set(key, "64m")
+        for name, stage in P.STAGES:
+            P.stored(stage(spark, docs, FOLDER), f"small-{name.replace(' ', '-')}")
+        assert len(seen) > 10 and max(seen) <= 2 << 20
+        spark.conf.set(key, "1m")
+        assert common.small_batches(spark) == "1m" and spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
