@@ -7,9 +7,10 @@ travel as one segment.
 1. Documents are packed into blocks of some megabytes, stored compressed.
 2. Blocks tell shards their anchors. What two documents share has an anchor that both
    have, so only those are told back: the rest of the text goes nowhere.
-3. Blocks send the segments of shared anchors, each distinct one once. A shard joins them
-   into one text, sorts its suffixes by induction, and windows are equal where permuted
-   common prefixes of neighbours reach `size`. Each window gets its smallest document.
+3. Blocks send the segments of shared anchors, each distinct one once. A shard joins what
+   may be equal (text around an anchor that another segment has, too) into one text, sorts
+   its suffixes by induction, and windows are equal where permuted common prefixes of
+   neighbours reach `size`. Each window gets its smallest document.
 4. Shards tell blocks, segment by segment, the windows that a smaller document has, and
    blocks cut the bytes that these cover.
 
@@ -39,6 +40,9 @@ BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 4 << 20
 # Starts of windows that are hashed together.
 CHUNK = 1 << 18
+# Windows are compared by what all those have in common whose anchor stands in one of so
+# many ranges of places.
+RANGES = 5
 # An anchor with more segments than this, each counted once a block, is dealt by windows.
 HOT = 4000
 # Compression of what travels once, and of texts, which are stored and travel twice.
@@ -87,9 +91,13 @@ def unpacked(payload: bytes, *types) -> list[np.ndarray]:
 def gram_hashes(body: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the GRAM bytes from each place on."""
     words = np.ndarray((len(body) - 7,), "<u8", body, strides=(1,)).astype(np.uint64)
-    x = words[:-8] * A
+    return gram_hash(words[:-8], words[8:])
+
+
+def gram_hash(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    x = head * A
     x ^= x >> np.uint64(29)
-    x += words[8:] * B
+    x += tail * B
     x ^= x >> np.uint64(32)
     x *= C
     x ^= x >> np.uint64(29)
@@ -379,14 +387,40 @@ def segments_of_block(table: pa.Table, shards: int, size: int) -> pa.Table:
     )
 
 
-def anchors_of(body: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """The anchor of the window at each start."""
-    hashes = gram_hashes(body) & ~PLACE
-    order = np.argsort(starts)
-    pairs = np.stack([starts[order], starts[order] + size - GRAM + 1], axis=1).reshape(-1)
-    out = np.empty(len(starts), np.uint64)
-    out[order] = np.minimum.reduceat(np.append(hashes, ~np.uint64(0)), pairs)[::2]
-    return out
+def anchor_places(body: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Where the anchor of the window at each start begins."""
+    words = np.ndarray((len(body) - 7,), "<u8", body, strides=(1,))
+    places, least = starts.copy(), np.full(len(starts), ~np.uint64(0))
+    for step in range(size - GRAM + 1):
+        here = starts + step
+        hashes = gram_hash(words[here], words[here + 8]) & ~PLACE
+        less = hashes < least
+        places[less], least[less] = here[less], hashes[less]
+    return places
+
+
+def alike(body: np.ndarray, starts: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, number of windows) of each segment that may be equal to another's.
+
+    Equal windows have their anchor at one place. All windows whose anchor stands at places
+    a to b of them hold the same `size - (b - a)` bytes around it: where no other segment
+    has these bytes, none of those windows is in another one.
+    """
+    places = anchor_places(body, starts, size)
+    most = places - starts
+    least = most - counts + 1
+    low, high = np.full(len(starts), size), np.full(len(starts), -1)
+    ranges = np.array_split(np.arange(size - GRAM + 1), min(RANGES, size - GRAM + 1))
+    for a, b in ((int(r[0]), int(r[-1])) for r in ranges):
+        has = np.flatnonzero((least <= b) & (most >= a))
+        around = content_hashes(body, places[has] - a, np.full(len(has), size - (b - a)))
+        order, first, _ = by_group(around)
+        group = np.diff(np.concatenate([first, [len(order)]]))
+        shared = has[order[np.repeat(group > 1, group)]]
+        low[shared] = np.minimum(low[shared], a)
+        high[shared] = b
+    low, high = np.maximum(low, least), np.minimum(high, most)
+    return most - high, np.maximum(high - low + 1, 0)
 
 
 def smallest_documents(
@@ -394,18 +428,18 @@ def smallest_documents(
 ) -> np.ndarray:
     """For every window of every segment, in order: the smallest document that has it.
 
-    low: the smallest document of each segment. Segments that share their anchor with
-    another one become one text, each ended by 0; equal windows are neighbours among its
-    sorted suffixes. What is alone with its anchor is equal to nothing else.
+    low: the smallest document of each segment. Windows that may be equal to another
+    segment's become one text, those of a segment ended by 0; equal windows are neighbours
+    among its sorted suffixes. The rest is equal to nothing else.
     """
-    order, first, _ = by_group(anchors_of(body, starts, size))
-    group = np.diff(np.concatenate([first, [len(order)]]))
-    several = np.zeros(len(starts), bool)
-    several[order] = np.repeat(group > 1, group)
+    skip, windows = alike(body, starts, counts, size)
+    some = np.flatnonzero(windows)
     out = np.repeat(low, counts)
-    if several.any():
-        among = np.repeat(several, counts)
-        out[among] = sorted_windows(body, starts[several], counts[several], low[several], size)
+    if len(some):
+        skip, windows = skip[some], windows[some]
+        begins = (np.cumsum(counts) - counts)[some] + skip
+        at = np.repeat(begins - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
+        out[at] = sorted_windows(body, starts[some] + skip, windows, low[some], size)
     return out
 
 

@@ -118,6 +118,61 @@ def test_windows_of_equal_content_share_an_anchor():
     assert len(anchors) == len(body) - 49 - 71
 
 
+@pytest.mark.parametrize("size", [16, 17, 20, 33, 50])
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_of_a_shard_against_brute_force(size, seed):
+    """Whatever is left out of the sort, each window gets the smallest document that has it."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(97, 99 + seed, 150).astype(np.uint8)
+    texts = [base, np.full(90, 97, np.uint8), np.tile(base[:7], 15)]
+    for _ in range(30):
+        text = base[int(rng.integers(0, 60)) : int(rng.integers(80, 150))].copy()
+        text[rng.integers(0, len(text), int(rng.integers(0, 3)))] = 122
+        texts.append(text)
+    body, offsets = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    starts, counts, _ = R.all_segments(body, offsets, size)
+    low = rng.integers(0, 25, len(starts))
+    got = R.smallest_documents(body, starts, counts, low, size)
+    windows = [(body[p : p + size].tobytes(), d) for s, c, d in zip(starts, counts, low) for p in range(s, s + c)]
+    least = {}
+    for w, d in windows:
+        least[w] = min(least.get(w, d), d)
+    assert got.tolist() == [least[w] for w, _ in windows]
+
+
+def test_only_what_may_repeat_is_sorted(monkeypatch):
+    """Two texts with one gram in common have no window in common; of two with 52 bytes in
+    common, little besides them is sorted."""
+    windows_sorted = []
+    sort = R.sorted_windows
+    monkeypatch.setattr(R, "sorted_windows", lambda *a: windows_sorted.extend(a[2].tolist()) or sort(*a))
+    rng = np.random.default_rng(1)
+    common = rng.integers(97, 123, 52).astype(np.uint8)
+
+    def run(shared):
+        texts = [rng.integers(48, 58, 300).astype(np.uint8) for _ in range(2)]
+        for t in texts:
+            t[120 : 120 + len(shared)] = shared
+        body = np.concatenate(texts)
+        # The segments around the shared bytes, all of whose windows hold the same gram.
+        starts, counts, anchor = R.all_segments(body, np.array([0, 300, 600]), 50)
+        both = np.isin(anchor, np.intersect1d(anchor[starts < 300], anchor[starts >= 300]))
+        starts, counts = starts[both], counts[both]
+        low = starts // 300
+        return counts, R.smallest_documents(body, starts, counts, low, 50), low
+
+    tried = 0
+    for k in range(37):
+        counts, got, low = run(common[k : k + 16])
+        tried += len(counts)
+        assert got.tolist() == np.repeat(low, counts).tolist()
+    assert tried and not windows_sorted
+    counts, got, low = run(common)
+    assert got.sum() == np.repeat(low, counts).sum() - 3
+    # Besides the equal ones, at most the rest of the ranges at either end.
+    assert windows_sorted and max(windows_sorted) <= 3 + 2 * 6 < counts.max()
+
+
 def test_unequal_strings_of_one_hash_stay_apart(monkeypatch, docs):
     """Were all hashes equal, bytes still decide."""
     monkeypatch.setattr(R, "content_hashes", lambda body, starts, sizes: np.zeros(len(starts), np.uint64))
